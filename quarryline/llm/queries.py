@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import first_rows, millis, table
-from . import contamination, mixing, nearest, packing, splitting
+from . import contamination, mixing, nearest, packing, pii, splitting
 
 CAPACITY, LIMIT, OVERLAP = 1_200, 8_000, 400
 SEGMENT_TOLERANCE_MS, CROP_TOLERANCE_MS = 2_500, 8_000
@@ -96,6 +96,16 @@ def p7_draw(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.draw(table(spark, directory, "documents", "doc_id", "source", "text"), _plan(spark, directory), "doc_id")
 
 
+def p8_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Personal information in the documents: one row per item."""
+    return pii.find(table(spark, directory, "documents", "doc_id", "text"), "doc_id").select("doc_id", "pii_type", "begin_pos")
+
+
+def p8_redacted(spark: SparkSession, directory: str) -> DataFrame:
+    """The texts with a typed placeholder in place of each item."""
+    return pii.redact(table(spark, directory, "documents", "doc_id", "text"), "doc_id")
+
+
 _SIZES = r"""
 WITH s AS (SELECT replace(lower(trim(source)), '-', '_') AS source, sum(len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\s\p{Z}\p{L}\p{N}_]'))) AS tokens FROM documents GROUP BY 1),
 t AS (SELECT mix_id, replace(lower(trim(source)), '-', '_') AS source, weight / sum(weight) OVER (PARTITION BY mix_id) AS share, max_repeats, total_tokens FROM mix_targets),
@@ -105,6 +115,7 @@ p AS (SELECT t.*, share * total_tokens AS target, max_repeats * coalesce(tokens,
 QUERIES = {
     "p1_found": p1_found, "p1_chunks": p1_chunks, "p3_found": p3_found, "p5_found": p5_found, "p5_pieces": p5_pieces,
     "p6_found": p6_found, "p7_found": p7_found, "p7_shares": p7_shares, "p7_draw": p7_draw,
+    "p8_found": p8_found, "p8_redacted": p8_redacted,
 }
 SQL = {
     "p1_found": f"SELECT DISTINCT lecture_id, id AS segment_id FROM transcript_segments WHERE length(trim(text)) > {CAPACITY}",
