@@ -55,10 +55,10 @@ def test_empty_table(documents):
 def test_em_recovers_reliable_labelers():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.6
-    votes = np.zeros((4000, 4), int)
-    for j, (hit, false) in enumerate(((0.9, 0.1), (0.8, 0.2), (0.7, 0.05))):
-        votes[:, j] = np.where(truth, rng.random(4000) < hit, rng.random(4000) < false)
-    votes[:, 3] = -np.where(truth, rng.random(4000) < 0.02, rng.random(4000) < 0.7).astype(int)
+    votes = np.zeros((4000, 5), int)
+    for j, right in enumerate((0.95, 0.9, 0.9, 0.8, 0.7)):
+        said = np.where(rng.random(4000) < right, truth, ~truth)
+        votes[:, j] = np.where(rng.random(4000) < 0.8, np.where(said, 1, -1), 0)
     belief, _ = dawid_skene(votes, np.ones(4000))
     assert ((belief > 0.5) == truth).mean() > 0.93
 
