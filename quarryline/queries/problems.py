@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import millis, table
-from .intervals import covered_periods, gaps
-from .lecture_refs import lecture_ledger
+from ..operators.intervals import covered_periods, gaps
+from ..operators.lecture_refs import lecture_ledger
 
 GAP_MIN_MS, GAP_MAX_MS = 2_000, 3_600_000
 
