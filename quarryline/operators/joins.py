@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.scan import running, with_position
@@ -40,8 +40,16 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, right
     return carried.where("_side = 1").select(*columns, F.when(F.col("_at").isNotNull(), F.col("_last")).alias(name))
 
 
-def nearest_by(pairs: DataFrame, keys: list[str], distance: Column, *ties: str) -> DataFrame:
-    """Per key the row of least distance, ties by the columns given; a partial minimum before the shuffle."""
-    rest = [c for c in pairs.columns if c not in keys]
-    order = F.struct(distance.alias("_d"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(ties)], F.struct(*rest).alias("_row"))
-    return pairs.groupBy(*keys).agg(F.min(order).alias("_m")).select(*keys, *[F.col("_m._row")[c].alias(c) for c in rest])
+def nearest_time(left: DataFrame, right: DataFrame, keys: list[str], at: str, right_at: str, value: str, name: str) -> DataFrame:
+    """``left`` with ``name``: the ``value`` of the right row of the entity nearest in time; the smaller value on a tie.
+
+    Two as-of joins, one in each direction of time, instead of all pairs of an entity.
+    """
+    columns = left.columns
+    one = lambda sign: right.select(*keys, (sign * F.col(right_at)).alias("_t"), F.struct((sign * F.col(right_at)).alias("t"), F.col(value).alias("v")).alias("_pick"))
+    back = asof_join(left.withColumn("_now", F.col(at)), one(1).groupBy(*keys, "_t").agg(F.min("_pick").alias("_pick")), keys, "_now", "_t", "_pick", "_before")
+    both = asof_join(back.withColumn("_now", -F.col(at)), one(-1).groupBy(*keys, "_t").agg(F.min("_pick").alias("_pick")), keys, "_now", "_t", "_pick", "_after")
+    before, after = F.abs(F.col("_before.t") - F.col(at)), F.abs(-F.col("_after.t") - F.col(at))
+    tie = F.least("_before.v", "_after.v")
+    best = F.when(before < after, F.col("_before.v")).when(after < before, F.col("_after.v")).when(before == after, tie).otherwise(F.coalesce("_before.v", "_after.v"))
+    return both.select(*columns, best.alias(name))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("problems", "shaping", "texts", "joining")
+FAMILIES = ("problems", "shaping", "texts", "joining", "totals", "windowing", "ranking", "sets")
 
 
 def modules() -> list:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import asof_join, nearest_by, overlap_join
+from ..operators.joins import asof_join, nearest_time, overlap_join
 from ..sources.tables import table
 from . import base
 from .base import CHUNK, OBS, SEG, ms
@@ -36,9 +36,9 @@ def window_fallback(spark: SparkSession, directory: str) -> DataFrame:
     c = base.chunks(spark, directory)
     named = o.join(c.select("lecture_id", F.col("id").alias("window_id")), ["lecture_id", "window_id"], "left_semi").select("lecture_id", "id", "window_id", F.lit("named").alias("how"))
     lost = o.join(c.select("lecture_id", F.col("id").alias("window_id")), ["lecture_id", "window_id"], "left_anti").where("m IS NOT NULL")
-    near = lost.drop("window_id").join(c.select("lecture_id", F.col("id").alias("window_id"), ((F.col("s") + F.col("e")) / 2).alias("wm")).where("wm IS NOT NULL"), "lecture_id")
-    best = nearest_by(near, ["lecture_id", "id"], F.abs(F.col("m") - F.col("wm")), "window_id")
-    return named.unionByName(best.select("lecture_id", "id", "window_id", F.lit("nearest").alias("how")))
+    middles = c.select("lecture_id", F.col("id").alias("w"), ((F.col("s") + F.col("e")) / 2).alias("wm"))
+    near = nearest_time(lost.drop("window_id"), middles, ["lecture_id"], "m", "wm", "w", "near").where("near IS NOT NULL")
+    return named.unionByName(near.select("lecture_id", "id", F.col("near").alias("window_id"), F.lit("nearest").alias("how")))
 
 
 def explained_evidence(spark: SparkSession, directory: str) -> DataFrame:
@@ -57,7 +57,7 @@ def unexplained_evidence(spark: SparkSession, directory: str) -> DataFrame:
 
 def substring_citations(spark: SparkSession, directory: str) -> DataFrame:
     """Observations whose LaTeX occurs literally in a block that cites one of their segments."""
-    o = base.observations(spark, directory).where("length(latex) >= 4").select("lecture_id", F.col("id").alias("observation_id"), "latex", F.explode("evidence_refs").alias("seg")).distinct()
+    o = base.observations(spark, directory).withColumn("latex", F.btrim("latex", F.lit("$"))).where("length(latex) >= 4").select("lecture_id", F.col("id").alias("observation_id"), "latex", F.explode("evidence_refs").alias("seg")).distinct()
     b = base.blocks(spark, directory).select("lecture_id", F.col("id").alias("block_id"), F.col("latex").alias("body"), F.explode("source_segment_ids").alias("seg")).distinct()
     return o.join(b, ["lecture_id", "seg"]).where(F.col("body").contains(F.col("latex"))).select("lecture_id", "observation_id", "block_id").distinct()
 
@@ -85,7 +85,7 @@ SQL = {
     "window_fallback": f"WITH o AS (SELECT lecture_id, id, window_id, ({ms('start_sec')} + {ms('end_sec')}) / 2 AS m FROM ({OBS})), c AS (SELECT lecture_id, id AS w, ({ms('start_sec')} + {ms('end_sec')}) / 2 AS wm FROM ({CHUNK})) SELECT o.lecture_id, id, window_id, 'named' AS how FROM o SEMI JOIN c ON o.lecture_id = c.lecture_id AND window_id = w UNION ALL SELECT o.lecture_id, id, first(w ORDER BY abs(m - wm), w), 'nearest' FROM (SELECT o.* FROM o ANTI JOIN c ON o.lecture_id = c.lecture_id AND window_id = w) o JOIN c ON o.lecture_id = c.lecture_id AND m IS NOT NULL AND wm IS NOT NULL GROUP BY 1, 2",
     "explained_evidence": _CITED + " SELECT o.lecture_id, o.id AS observation_id FROM o SEMI JOIN c ON o.lecture_id = c.lecture_id AND o.id = c.id",
     "unexplained_evidence": _CITED + " SELECT o.lecture_id, o.id AS observation_id FROM o ANTI JOIN c ON o.lecture_id = c.lecture_id AND o.id = c.id",
-    "substring_citations": "WITH o AS (SELECT lecture_id, id, latex, unnest(evidence_refs) AS seg FROM observations WHERE length(latex) >= 4), b AS (SELECT lecture_id, id, latex, unnest(source_segment_ids) AS seg FROM linear_blocks) SELECT DISTINCT o.lecture_id, o.id AS observation_id, b.id AS block_id FROM o JOIN b ON o.lecture_id = b.lecture_id AND o.seg = b.seg AND contains(b.latex, o.latex)",
+    "substring_citations": "WITH o AS (SELECT lecture_id, id, trim(latex, '$') AS latex, unnest(evidence_refs) AS seg FROM observations WHERE length(trim(latex, '$')) >= 4), b AS (SELECT lecture_id, id, latex, unnest(source_segment_ids) AS seg FROM linear_blocks) SELECT DISTINCT o.lecture_id, o.id AS observation_id, b.id AS block_id FROM o JOIN b ON o.lecture_id = b.lecture_id AND o.seg = b.seg AND contains(b.latex, o.latex)",
     "claims_of_observation": "WITH x AS (SELECT DISTINCT lecture_id, id, unnest(evidence_ids) AS observation_id FROM graph_nodes) SELECT lecture_id, observation_id, count(*) AS claims, min(id) AS first_claim FROM x WHERE observation_id IS NOT NULL GROUP BY 1, 2",
     "window_snapshot_diff": f"WITH c AS (SELECT DISTINCT lecture_id, CAST(regexp_extract(id, '([0-9]+)$', 1) AS INT) AS n, unnest(segment_ids) AS segment_id FROM ({CHUNK})), p AS (SELECT lecture_id, n + 1 AS n, segment_id FROM c WHERE (lecture_id, n + 1) IN (SELECT lecture_id, n FROM c)) SELECT lecture_id, n AS window_no, segment_id, 'added' AS change FROM (SELECT * FROM c EXCEPT SELECT * FROM p) UNION ALL SELECT lecture_id, n, segment_id, 'removed' FROM (SELECT * FROM p EXCEPT SELECT * FROM c)",
 }

@@ -91,7 +91,7 @@ SQL = {
     "normal_texts": rf"WITH o AS ({OBS}) SELECT lecture_id, id, lower(regexp_replace(coalesce(latex, ''), '\s+', '', 'g')) AS latex_key, lower(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS text_key, len({_tok.format('text')}) AS n_tokens FROM o",
     "jaccard_targets": f"WITH o AS ({OBS}), j AS (SELECT a.lecture_id, a.id, {_tok.format('a.text')} AS x, {_tok.format('b.text')} AS y FROM o a JOIN o b ON a.lecture_id = b.lecture_id AND a.target_observation_id = b.id) SELECT lecture_id, id, CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0.0 ELSE round(len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))), 6) END AS jaccard FROM j",
     "clock_times": f"WITH s AS ({SEG}), m AS (SELECT lecture_id, id, {base.ms('start_sec')} AS m FROM s WHERE start_sec >= 0) SELECT lecture_id, id, CASE WHEN m >= 3600000 THEN printf('%02d:', m // 3600000) ELSE '' END || printf('%02d:%02d.%03d', m // 60000 % 60, m // 1000 % 60, m % 1000) AS clock FROM m",
-    "symbol_sets": rf"WITH o AS ({OBS}) SELECT lecture_id, id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(coalesce(latex, ''), '\\[A-Za-z]+|[A-Za-z]')), x -> x NOT IN ('\text', '\left', '\right', '\quad', '\begin', '\end'))), ' ') AS symbols FROM o",
+    "symbol_sets": rf"WITH o AS ({OBS}) SELECT lecture_id, id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(coalesce(latex, ''), '\\[A-Za-z]+|[A-Za-z]')), lambda x: x NOT IN ('\text', '\left', '\right', '\quad', '\begin', '\end'))), ' ') AS symbols FROM o",
     "tex_balance": rf"WITH b AS ({BLOCK}), c AS (SELECT lecture_id, id, (len(regexp_extract_all(latex, '\$')) - len(regexp_extract_all(latex, '\\\$'))) % 2 = 0 AS dollars, len(regexp_extract_all(latex, '\\\(')) = len(regexp_extract_all(latex, '\\\)')) AS parentheses, len(regexp_extract_all(latex, '\\\[')) = len(regexp_extract_all(latex, '\\\]')) AS brackets FROM b) SELECT * FROM c WHERE NOT (dollars AND parentheses AND brackets)",
     "safe_ids": f"WITH n AS ({NODE}), s AS (SELECT lecture_id, id, regexp_replace(regexp_replace(id, '[^A-Za-z0-9_.-]+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g') AS s FROM n) SELECT lecture_id, id, lecture_id || '_' || CASE WHEN s = '' THEN 'request' ELSE s END AS safe_id FROM s",
     "content_hashes": f"WITH b AS ({BLOCK}) SELECT lecture_id, id, sha256(concat_ws(chr(31), coalesce(block_type, ''), coalesce(title, ''), coalesce(latex, ''), coalesce(caption, ''))) AS digest FROM b",
