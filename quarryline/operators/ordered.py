@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.grouped import fold_groups
 from ..plans.scan import running, shifted, with_position
 
 
@@ -39,7 +39,7 @@ def forward_fill(df: DataFrame, keys: list[str], time: str, ties: list[str], bou
     return running(placed, keys, "_pos", F.when(boundary, 1).otherwise(0), "sum", name).drop("_pos")
 
 
-def fold_islands(df: DataFrame, keys: list[str], start: str, end: str, ties: list[str], cut_ms: int, fold: Callable[[pd.DataFrame, bool], pd.DataFrame], schema: str) -> DataFrame:
+def fold_islands(df: DataFrame, keys: list[str], start: str, end: str, ties: list[str], cut_ms: int, fold: Callable[[list[dict], bool], list[dict]], schema: str) -> DataFrame:
     """A sequential fold per entity, run apart on each stretch that no row bridges.
 
     A fold whose step never looks across ``cut_ms`` without rows gives the same on stretches between such gaps, so
@@ -47,12 +47,7 @@ def fold_islands(df: DataFrame, keys: list[str], start: str, end: str, ties: lis
     """
     split = gap_sessions(df, keys, start, end, ties, cut_ms, "_stretch")
     split = split.join(split.groupBy(*keys).agg(F.max("_stretch").alias("_end")), keys)
-    order = [start, *ties]
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return fold(rows.sort_values(order, kind="stable").reset_index(drop=True), bool((rows["_stretch"] == rows["_end"]).iloc[0]))
-
-    return split.groupBy(*keys, "_stretch").applyInPandas(run, schema)
+    return fold_groups(split, [*keys, "_stretch"], [start, *ties], lambda rows: fold(rows, rows[0]["_stretch"] == rows[0]["_end"]), schema)
 
 
 def overlapping_windows(starts: list[int], ends: list[int], target: int, overlap: int, final: bool = True) -> list[tuple[int, int]]:

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.grouped import fold_groups
 from ..plans.scan import running, with_position
 from .ordered import gap_sessions
 
 
 def suppress(df: DataFrame, keys: list[str], at: str, order: list[tuple[str, bool]], within_ms: int, schema: str) -> DataFrame:
-    """Rows kept greedily in ``order`` (column, ascending): each unless a kept one lies within ``within_ms`` (inclusive).
+    """Rows kept greedily in ``order`` (column, ascending; the columns have no nulls): each unless a kept one lies within ``within_ms`` (inclusive).
 
     Rows further apart than ``within_ms`` never touch each other's fate, so each run of rows closer than that is a
     group of its own and an entity is spread over many tasks. Rows with a null time are left out.
@@ -24,19 +23,21 @@ def suppress(df: DataFrame, keys: list[str], at: str, order: list[tuple[str, boo
     runs = gap_sessions(rows, keys, at, at, [c for c, _ in order], within_ms + 1, "_run")
     columns = [f.strip().split()[0] for f in schema.split(",")]
 
-    def keep(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values([c for c, _ in order], ascending=[a for _, a in order], kind="stable")
-        kept: list[int] = []
+    def keep(part: list[dict]) -> list[dict]:
+        for c, ascending in reversed(order):
+            part.sort(key=lambda r: r[c], reverse=not ascending)  # noqa: B023
+        kept: list[dict] = []
         chosen: list[int] = []
-        for i, t in enumerate(part[at].tolist()):
-            j = int(np.searchsorted(chosen, t))
+        for row in part:
+            t = row[at]
+            j = bisect_left(chosen, t)
             if (j < len(chosen) and chosen[j] - t <= within_ms) or (j and t - chosen[j - 1] <= within_ms):
                 continue
             chosen.insert(j, t)
-            kept.append(i)
-        return part.iloc[kept][columns]
+            kept.append({c: row[c] for c in columns})
+        return kept
 
-    return runs.groupBy(*keys, "_run").applyInPandas(keep, schema)
+    return fold_groups(runs, [*keys, "_run"], [at], keep, schema)
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], limit: int, name: str = "rank") -> DataFrame:
@@ -59,11 +60,10 @@ def next_fit_bins(df: DataFrame, keys: list[str], order: list[str], size: str, c
     """Adds ``bin`` per row by ``next_fit`` in order within the keys, which must bound their rows (a window, a chunk)."""
     columns = [f.strip().split()[0] for f in schema.split(",")]
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        return rows.assign(bin=next_fit(rows[size].tolist(), capacity, most))[columns]
+    def pack(rows: list[dict]) -> list[dict]:
+        return [{**{c: r[c] for c in columns if c != "bin"}, "bin": n} for r, n in zip(rows, next_fit([r[size] for r in rows], capacity, most))]
 
-    return df.groupBy(*keys).applyInPandas(pack, schema)
+    return fold_groups(df, keys, order, pack, schema)
 
 
 def budget_prefix(df: DataFrame, keys: list[str], time: str, ties: list[str], size: Column, budget: int) -> DataFrame:
@@ -105,13 +105,3 @@ def uniform_picks(n: int, limit: int) -> list[int]:
     if limit <= 1:
         return [n - 1] if limit else []
     return list(dict.fromkeys(round(i * (n - 1) / (limit - 1)) for i in range(limit)))
-
-
-def per_row(function: Callable, schema: pa.DataType):
-    """An Arrow batch function for row-wise Python over arrays."""
-
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([function(v) for v in batch.to_pylist()], type=schema)
-
-    return run

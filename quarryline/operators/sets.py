@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,18 +86,12 @@ def reconcile(df: DataFrame, keys: list[str]) -> DataFrame:
     rows = df.select(*columns).withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
     typed = ", ".join(f"`{k}` string" for k in keys)
 
-    def fold(part: pd.DataFrame, final: bool) -> pd.DataFrame:
-        records = part[["id", "s", "e", "text", "latex", "confidence"]].astype(object).where(part[["id", "s", "e", "text", "latex", "confidence"]].notna(), None).to_dict("records")
-        merged = reconcile_rows(records)
-        made = pd.DataFrame({"id": [r["id"] for r, _ in merged], "canonical_id": [merged[k][0]["id"] for _, k in merged]})
-        for c in ("s", "e", "confidence"):
-            made[c] = [merged[k][0][c] for _, k in merged]
-        for k in keys:
-            made[k] = part[k].iloc[0]
-        return made
+    def fold(part: list[dict], final: bool) -> list[dict]:
+        merged = reconcile_rows(part)
+        return [{**{k: r[k] for k in keys}, "id": r["id"], "canonical_id": merged[i][0]["id"], **{c: merged[i][0][c] for c in ("s", "e", "confidence")}} for r, i in merged]
 
     schema = f"{typed}, id string, canonical_id string, s bigint, e bigint, confidence double"
-    usable = (F.col("s") <= F.col("e"))
+    usable = F.col("s") <= F.col("e")
     done = fold_islands(rows.where(usable), keys, "s", "e", ["e", "id"], 1, fold, schema)
     rest = rows.where(~usable | usable.isNull()).select(*keys, "id", F.col("id").alias("canonical_id"), "s", "e", "confidence")
     return done.unionByName(rest)

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ranking
+from ..plans.grouped import fold_groups
 from ..sources.tables import millis, table
 from . import base
 from .base import OBS, SEG, ms
@@ -61,11 +61,12 @@ def suppressed_boxes(spark: SparkSession, directory: str) -> DataFrame:
     c = table(spark, directory, "formula_crops", "lecture_id", "id", "ts_sec", "bbox", "detector_confidence").withColumns({"lecture_id": F.lower(F.trim("lecture_id")), "second": F.floor("ts_sec")})
     c = c.distinct().where("second IS NOT NULL AND size(bbox) = 4")
 
-    def keep(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["detector_confidence", "id"], ascending=[False, True], kind="stable")
-        return rows.iloc[ranking.suppress_boxes(np.stack(rows["bbox"].to_numpy()).astype(np.int64), 0.7)][["lecture_id", "second", "id"]]
+    def keep(rows: list[dict]) -> list[dict]:
+        rows.sort(key=lambda r: (-(r["detector_confidence"] or 0.0), r["id"]))
+        kept = ranking.suppress_boxes(np.array([r["bbox"] for r in rows], dtype=np.int64), 0.7)
+        return [{k: rows[i][k] for k in ("lecture_id", "second", "id")} for i in kept]
 
-    return c.groupBy("lecture_id", "second").applyInPandas(keep, "lecture_id string, second bigint, id string")
+    return fold_groups(c, ["lecture_id", "second"], ["id"], keep, "lecture_id string, second bigint, id string")
 
 
 def uniform_frames(spark: SparkSession, directory: str) -> DataFrame:

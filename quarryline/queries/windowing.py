@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from itertools import groupby
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +22,9 @@ def _timed(spark: SparkSession, directory: str) -> DataFrame:
 def chunk_windows(spark: SparkSession, directory: str) -> DataFrame:
     """Overlapping windows of at most eight minutes on segment ends, in stretches between gaps longer than a window."""
 
-    def fold(rows: pd.DataFrame, final: bool) -> pd.DataFrame:
-        found = ordered.overlapping_windows(rows["s"].tolist(), rows["e"].tolist(), TARGET_MS, OVERLAP_MS, final)
-        return pd.DataFrame({"lecture_id": rows["lecture_id"].iloc[0], "first_id": [rows["id"][a] for a, _ in found], "last_id": [rows["id"][b] for _, b in found], "start_ms": [rows["s"][a] for a, _ in found], "end_ms": [rows["e"][b] for _, b in found], "segments": [b - a + 1 for a, b in found]})
+    def fold(rows: list[dict], final: bool) -> list[dict]:
+        found = ordered.overlapping_windows([r["s"] for r in rows], [r["e"] for r in rows], TARGET_MS, OVERLAP_MS, final)
+        return [{"lecture_id": rows[a]["lecture_id"], "first_id": rows[a]["id"], "last_id": rows[b]["id"], "start_ms": rows[a]["s"], "end_ms": rows[b]["e"], "segments": b - a + 1} for a, b in found]
 
     rows = _timed(spark, directory).select("lecture_id", "id", "s", "e")
     return ordered.fold_islands(rows, ["lecture_id"], "s", "e", ["e", "id"], TARGET_MS, fold, "lecture_id string, first_id string, last_id string, start_ms bigint, end_ms bigint, segments bigint")
@@ -38,11 +39,11 @@ def gap_sessions(spark: SparkSession, directory: str) -> DataFrame:
 def span_sessions(spark: SparkSession, directory: str) -> DataFrame:
     """Passages of about 20 s: cut at pauses of a second, at sentence ends past the target, and at 1.5 times the target."""
 
-    def fold(rows: pd.DataFrame, final: bool) -> pd.DataFrame:
-        closes = rows["text"].fillna("").str.rstrip().str.endswith((".", "!", "?"))
-        number = ordered.word_sessions(rows["s"].tolist(), rows["e"].tolist(), closes.tolist(), 1000, SPAN_MS)
-        made = rows.assign(n=number).groupby("n", sort=True).agg(lecture_id=("lecture_id", "first"), first_id=("id", "first"), start_ms=("s", "first"), end_ms=("e", "last"), segments=("id", "size"))
-        return made.reset_index(drop=True)
+    def fold(rows: list[dict], final: bool) -> list[dict]:
+        closes = [(r["text"] or "").rstrip().endswith((".", "!", "?")) for r in rows]
+        numbers = ordered.word_sessions([r["s"] for r in rows], [r["e"] for r in rows], closes, 1000, SPAN_MS)
+        made = [list(g) for _, g in groupby(rows, key=lambda r, n=iter(numbers): next(n))]
+        return [{"lecture_id": g[0]["lecture_id"], "first_id": g[0]["id"], "start_ms": g[0]["s"], "end_ms": g[-1]["e"], "segments": len(g)} for g in made]
 
     rows = _timed(spark, directory).select("lecture_id", "id", "s", "e", "text")
     return ordered.fold_islands(rows, ["lecture_id"], "s", "e", ["e", "id"], GAP_MS, fold, "lecture_id string, first_id string, start_ms bigint, end_ms bigint, segments bigint")
