@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,16 +66,34 @@ def pareto(df: DataFrame, keys: list[str], hard: list[str], soft: list[str]) ->
     """The rows of each key with the least ``hard`` tuple that no other such row beats: none is as good in all ``soft``
     metrics and better in one. All metrics are to be small; rows with a null metric are left out.
 
-    Distinct tuples of metrics are compared, not rows, so copies cost nothing.
+    Each task keeps only the unbeaten points of what it has read so far, so what is shuffled and held is frontiers.
     """
     rows = df.dropna(subset=[*hard, *soft])
     least = rows.groupBy(*keys).agg(F.min(F.struct(*hard)).alias("_h"))
     best = rows.join(least, keys).where(F.struct(*hard) == F.col("_h")).drop("_h")
-    points = best.select(*keys, *soft).distinct()
-    other = points.select(*keys, *[F.col(c).alias(f"_{c}") for c in soft])
-    no_worse, better = F.lit(True), F.lit(False)
-    for c in soft:
-        no_worse &= F.col(f"_{c}") <= F.col(c)
-        better |= F.col(f"_{c}") < F.col(c)
-    beaten = points.join(other, keys).where(no_worse & better).select(*keys, *soft).distinct()
-    return best.join(points.join(beaten, [*keys, *soft], "left_anti"), [*keys, *soft], "left_semi")
+    points = best.select(*keys, *soft)
+    typed = ", ".join(f"`{c}` {points.schema[c].dataType.simpleString()}" for c in points.columns)
+    local = points.mapInArrow(_unbeaten(keys, soft), typed)
+    frontier = local.repartition(*keys).mapInArrow(_unbeaten(keys, soft), typed)
+    return best.join(frontier, [*keys, *soft], "left_semi")
+
+
+def _unbeaten(keys: list[str], soft: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fronts: dict[tuple, set[tuple]] = {}
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            columns = [batch.column(c).to_pylist() for c in (*keys, *soft)]
+            for row in zip(*columns):
+                front, point = fronts.setdefault(row[: len(keys)], set()), row[len(keys) :]
+                if point in front or any(all(a <= b for a, b in zip(p, point)) for p in front):
+                    continue
+                front -= {p for p in front if all(a <= b for a, b in zip(point, p))}
+                front.add(point)
+        if schema:
+            out = [(*k, *p) for k, front in fronts.items() for p in sorted(front)]
+            order = [*keys, *soft]
+            yield pa.RecordBatch.from_arrays([pa.array([r[order.index(f.name)] for r in out], f.type) for f in schema], schema=schema)
+
+    return run
