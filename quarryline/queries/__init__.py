@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("problems", "shaping", "texts", "joining", "totals", "windowing", "ranking", "sets", "patching", "graphs", "inference", "numeric", "functional")
+FAMILIES = ("problems", "shaping", "texts", "joining", "totals", "windowing", "ranking", "sets", "patching", "graphs", "inference", "numeric", "functional", "evidence")
 
 
 def modules() -> list:
