@@ -124,3 +124,16 @@ def cleanup_verdict(source: Column, target: Column) -> Column:
         .when(F.length(target) > 2 * F.length(source), "too long")
         .otherwise("ok")
     )
+
+
+def restored_commands(c: Column) -> Column:
+    """TeX commands whose backslash and first letter JSON had read as a control character: ``\\b \\f \\v \\t \\r`` before a letter."""
+    for control, letter in (("\x08", "b"), ("\x0c", "f"), ("\x0b", "v"), ("\t", "t"), ("\r", "r")):
+        c = F.regexp_replace(c, f"{control}(?=[A-Za-z])", "\\\\" + letter)
+    return c
+
+
+def without(c: Column, pattern: str) -> Column:
+    """A text without the sentences that match; null if none is left."""
+    left = F.filter(sentences(c), lambda s: ~s.rlike(pattern))
+    return F.when(F.size(left) > 0, F.array_join(left, " "))

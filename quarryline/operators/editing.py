@@ -53,5 +53,32 @@ def complete_pairs(wanted: DataFrame, scored: DataFrame, keys: list[str]) -> Dat
 def prune(states: DataFrame, signature: str, hard: list[str], soft: list[str], width: int) -> DataFrame:
     """The ``width`` best distinct states among those with the least ``hard`` tuple, by ``soft`` metrics, then signature."""
     distinct = states.groupBy(signature).agg(F.min(F.struct(*hard, *soft, *[c for c in states.columns if c not in (*hard, *soft, signature)])).alias("s")).select(signature, "s.*")
-    least = distinct.agg(F.min(F.struct(*hard)).alias("h"))
-    return distinct.join(F.broadcast(least), F.struct(*hard) == F.col("h")).drop("h").orderBy(*soft, signature).limit(width)
+    least = distinct.agg(F.min(F.struct(*hard)).alias("_hard"))  # one row
+    return distinct.join(F.broadcast(least), F.struct(*hard) == F.col("_hard")).drop("_hard").orderBy(*soft, signature).limit(width)
+
+
+def canonical(df: DataFrame, aliases: dict[str, list[str]], vocabulary: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """Columns under their own names: each the first that is neither null nor blank of the names it goes by, then mapped to a closed vocabulary.
+
+    Words outside a vocabulary become its entry for ``""``, null without one. Names that a frame lacks are passed over.
+    """
+    out = df
+    for name, others in aliases.items():
+        found = [F.when(F.trim(c) != "", F.col(c)) for c in (name, *others) if c in df.columns]
+        out = out.withColumn(name, F.coalesce(*found) if found else F.lit(None).cast("string"))
+    for name, words in (vocabulary or {}).items():
+        key = F.lower(F.trim(name))
+        out = out.withColumn(name, F.coalesce(*[F.when(key == w, F.lit(v)) for w, v in words.items() if w], F.lit(words.get("")).cast("string")))
+    return out.drop(*[c for others in aliases.values() for c in others if c in df.columns and c not in aliases])
+
+
+def halves(rows: list, fits) -> list[list]:
+    """A sequence halved until every part fits; a single row that does not is an error."""
+    if not rows:
+        return []
+    if fits(rows):
+        return [rows]
+    if len(rows) == 1:
+        raise PatchError("one row does not fit")
+    middle = len(rows) // 2
+    return halves(rows[:middle], fits) + halves(rows[middle:], fits)

@@ -85,4 +85,21 @@ def word_sessions(starts: Iterable[int], ends: Iterable[int], closes: Iterable[b
     return out
 
 
-__all__ = ["count_batches", "fold_islands", "forward_fill", "gap_sessions", "overlapping_windows", "running", "shifted", "with_position", "word_sessions"]
+def pieces(start: int, end: int, most: int, least: int = 50) -> list[tuple[int, int]]:
+    """An interval in pieces of ``most``; a last piece of ``least`` or less is left out unless it is the only one."""
+    cuts = [(a, min(a + most, end)) for a in range(start, end, most)]
+    return cuts[:-1] if len(cuts) > 1 and cuts[-1][1] - cuts[-1][0] <= least else cuts
+
+
+def capped_merge(intervals: list[tuple[int, int]], most: int, gap: int) -> list[tuple[int, int]]:
+    """Sorted intervals joined while the pause is at most ``gap`` and the whole at most ``most``."""
+    out: list[tuple[int, int]] = []
+    for start, end in intervals:
+        if out and start - out[-1][1] <= gap and max(end, out[-1][1]) - out[-1][0] <= most:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+__all__ = ["capped_merge", "pieces", "count_batches", "fold_islands", "forward_fill", "gap_sessions", "overlapping_windows", "running", "shifted", "with_position", "word_sessions"]

@@ -9,6 +9,7 @@ from ..operators import graphs
 from ..operators.joins import asof_join
 from ..plans.staging import staged
 from . import base
+from .sets import _S2, consensus_nodes
 from .totals import node_times
 
 _L = ["lecture_id"]
@@ -51,6 +52,16 @@ def topic_votes(spark: SparkSession, directory: str) -> DataFrame:
     return graphs.spread_topics(members, n, e, _L, rounds=3)
 
 
+def consensus_closure(spark: SparkSession, directory: str) -> DataFrame:
+    """Nodes on which both states agree and that depend, however far, on no node that is lost."""
+    kept = consensus_nodes(spark, directory).select("lecture_id", F.col("id").alias("node"))
+    needs = base.nodes(spark, directory).select("lecture_id", F.col("id").alias("src"), F.explode("derived_from").alias("dst")).withColumn("dst", F.trim("dst")).where("dst <> ''")
+    needs = staged(needs.join(kept.withColumnRenamed("node", "src"), ["lecture_id", "src"], "left_semi").select("lecture_id", "src", "dst"), "needs")
+    lost = needs.select("lecture_id", F.col("dst").alias("node")).distinct().join(kept, ["lecture_id", "node"], "left_anti")
+    gone = graphs.propagate(lost, kept, needs, _L)
+    return kept.join(gone, ["lecture_id", "node"], "left_anti")
+
+
 def _timed(spark: SparkSession, directory: str) -> DataFrame:
     n = base.nodes(spark, directory).select("lecture_id", F.col("id").alias("node"))
     own = node_times(spark, directory).select("lecture_id", F.col("node_id").alias("node"), F.col("start_ms").alias("t"))
@@ -81,10 +92,12 @@ _G = """n AS (SELECT DISTINCT lecture_id, id, kind, status FROM graph_nodes), e
 d0 AS (SELECT lecture_id, id AS src, trim(unnest(derived_from)) AS dst FROM graph_nodes UNION SELECT lecture_id, src, dst FROM e WHERE relation IN ('supported_by', 'uses', 'uses_result', 'follows_from', 'derived_from', 'based_on', 'about', 'refines', 'specialization_of') UNION SELECT lecture_id, dst, src FROM e WHERE relation = 'leads_to'),
 d AS (SELECT DISTINCT d0.* FROM d0 SEMI JOIN n a ON a.lecture_id = d0.lecture_id AND a.id = d0.src SEMI JOIN n b ON b.lecture_id = d0.lecture_id AND b.id = d0.dst)"""
 _T = f"t AS (SELECT lecture_id, node_id AS id, min({base.ms('start_sec')}) AS t FROM (SELECT DISTINCT lecture_id, id AS node_id, unnest(evidence_ids) AS id FROM graph_nodes) x JOIN (SELECT DISTINCT lecture_id, id, start_sec FROM observations) o USING (lecture_id, id) GROUP BY 1, 2)"
-QUERIES = {f.__name__: f for f in (dependency_pairs, unresolved_closure, proof_support, proof_components, topic_votes, effective_times, section_assignment, section_order)}
+QUERIES = {f.__name__: f for f in (dependency_pairs, unresolved_closure, proof_support, proof_components, topic_votes, consensus_closure, effective_times, section_assignment, section_order)}
 SQL = {
     "dependency_pairs": f"WITH {_G} SELECT lecture_id, src, dst FROM d",
     "unresolved_closure": f"WITH RECURSIVE {_G}, r AS (SELECT lecture_id, id AS node FROM n WHERE kind = 'provisional_unresolved' UNION SELECT d.lecture_id, d.src FROM r JOIN d ON d.lecture_id = r.lecture_id AND d.dst = r.node JOIN n ON n.lecture_id = d.lecture_id AND n.id = d.src WHERE n.status = 'active' AND n.kind <> 'provisional_unresolved') SELECT * FROM r",
     "proof_support": f"WITH RECURSIVE {_G}, s AS (SELECT lecture_id, src AS a, dst AS b FROM e WHERE relation = 'supported_by' UNION SELECT lecture_id, dst, src FROM e WHERE relation IN ('supports', 'leads_to')), r AS (SELECT lecture_id, id AS node FROM n WHERE kind = 'claim' AND status = 'suppressed' UNION SELECT s.lecture_id, b FROM r JOIN s ON s.lecture_id = r.lecture_id AND s.a = r.node WHERE b IS NOT NULL) SELECT * FROM r",
+    "proof_components": f"WITH RECURSIVE {_G}, k AS (SELECT lecture_id, id FROM n WHERE lower(kind) IN ('proof', 'claim', 'provisional_proof_step', 'provisional_claim')), u AS (SELECT lecture_id, src AS a, dst AS b FROM e WHERE lower(relation) IN ('leads_to', 'supports', 'uses') UNION SELECT lecture_id, dst, src FROM e WHERE lower(relation) IN ('leads_to', 'supports', 'uses')), v AS (SELECT u.* FROM u SEMI JOIN k x ON x.lecture_id = u.lecture_id AND x.id = u.a SEMI JOIN k y ON y.lecture_id = u.lecture_id AND y.id = u.b), r AS (SELECT lecture_id, id AS node, id AS other FROM k UNION SELECT r.lecture_id, node, v.b FROM r JOIN v ON v.lecture_id = r.lecture_id AND v.a = r.other) SELECT lecture_id, node, min(other) AS component FROM r GROUP BY 1, 2",
+    "consensus_closure": f"WITH RECURSIVE {_S2}, k AS (SELECT lecture_id, id FROM s GROUP BY lecture_id, id, kind, body HAVING count(DISTINCT state_id) = 2), d AS (SELECT DISTINCT lecture_id, id AS src, trim(unnest(derived_from)) AS dst FROM graph_nodes), q AS (SELECT d.* FROM d SEMI JOIN k ON k.lecture_id = d.lecture_id AND k.id = d.src WHERE dst <> ''), r AS (SELECT DISTINCT lecture_id, dst AS node FROM q ANTI JOIN k ON k.lecture_id = q.lecture_id AND k.id = q.dst UNION SELECT q.lecture_id, q.src FROM r JOIN q ON q.lecture_id = r.lecture_id AND q.dst = r.node) SELECT lecture_id, id AS node FROM k ANTI JOIN r ON r.lecture_id = k.lecture_id AND r.node = k.id",
     "section_assignment": f"WITH {_G}, {_T}, x AS (SELECT n.lecture_id, n.id, kind, t FROM n JOIN t ON t.lecture_id = n.lecture_id AND t.id = n.id), p AS (SELECT lecture_id, t, max(id) AS topic FROM x WHERE kind = 'topic' AND t IS NOT NULL GROUP BY 1, 2) SELECT x.lecture_id, x.id, coalesce(p.topic, 'prelude') AS section FROM x ASOF LEFT JOIN p ON x.lecture_id = p.lecture_id AND x.t >= p.t WHERE x.kind <> 'topic'",
 }

@@ -57,6 +57,13 @@ def best_candidates(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (sparse_edges, beam_readings, choice_marginals, pareto_windows, best_candidates)}
 SQL = {
+    "sparse_edges": rf"""WITH o AS (SELECT lecture_id, id, {ms('start_sec')} AS s, {ms('end_sec')} AS e, list_filter(list_distinct(regexp_extract_all(coalesce(latex, ''), '\\[A-Za-z]+|[A-Za-z]')), lambda x: length(x) > 1 AND x NOT IN ({', '.join(f"'{x}'" for x in _STRUCTURE)})) AS y FROM ({OBS}) WHERE start_sec IS NOT NULL AND end_sec IS NOT NULL),
+p AS (SELECT *, row_number() OVER (PARTITION BY lecture_id ORDER BY s, e, id) AS pos, count(*) OVER (PARTITION BY lecture_id) AS n FROM o),
+t AS (SELECT lecture_id, id, pos, s, e, n, unnest(y) AS g FROM p), f AS (SELECT lecture_id, g, count(*) AS df FROM t GROUP BY 1, 2),
+r AS (SELECT t.*, df FROM t JOIN f USING (lecture_id, g) WHERE df <= greatest(4, n // 3)),
+q AS (SELECT a.lecture_id, a.id AS left_id, b.id AS right_id, b.pos, sum(CAST(round(1e6 / a.df) AS BIGINT)) AS w, min(greatest(0, b.s - a.e)) AS gap FROM r a JOIN r b ON a.lecture_id = b.lecture_id AND a.g = b.g AND b.pos > a.pos AND greatest(0, b.s - a.e) <= 120000 GROUP BY 1, 2, 3, 4)
+SELECT a.lecture_id, a.id AS left_id, b.id AS right_id, 'temporal' AS reason FROM p a JOIN p b ON a.lecture_id = b.lecture_id AND b.pos = a.pos + 1 AND greatest(0, b.s - a.e) <= 30000
+UNION ALL SELECT lecture_id, left_id, right_id, 'shared_symbol' FROM q QUALIFY row_number() OVER (PARTITION BY lecture_id, left_id ORDER BY w DESC, gap, pos) <= 2""",
     "choice_marginals": f"WITH o AS (SELECT * FROM ({OBS}) WHERE confidence IS NOT NULL), w AS (SELECT *, exp(greatest(-60.0, confidence - max(confidence) OVER (PARTITION BY lecture_id, window_id))) AS w FROM o) SELECT DISTINCT lecture_id, window_id, source_status, round(sum(w) OVER (PARTITION BY lecture_id, window_id, source_status) / sum(w) OVER (PARTITION BY lecture_id, window_id), 6) AS mass FROM w",
     "pareto_windows": f"WITH w AS (SELECT lecture_id, window_id, count(*) FILTER (kind = 'unresolved') AS unresolved, count(*) FILTER (coalesce(confidence, 0) < 0.8) AS low, max({ms('end_sec')}) - min({ms('start_sec')}) AS length_ms FROM ({OBS}) WHERE start_sec IS NOT NULL AND end_sec IS NOT NULL GROUP BY 1, 2), b AS (SELECT * FROM w QUALIFY unresolved = min(unresolved) OVER (PARTITION BY lecture_id)) SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM b o WHERE o.lecture_id = b.lecture_id AND o.low <= b.low AND o.length_ms <= b.length_ms AND (o.low < b.low OR o.length_ms < b.length_ms))",
     "best_candidates": f"SELECT lecture_id, window_id, kind, first(id ORDER BY confidence DESC, id) AS id FROM ({OBS}) WHERE confidence IS NOT NULL GROUP BY 1, 2, 3",

@@ -87,6 +87,25 @@ def merged_speech(spark: SparkSession, directory: str) -> DataFrame:
     return covered_periods(rows, ["lecture_id"], "s", "e").select("lecture_id", F.col("period_start_ms").alias("start_ms"), F.col("period_end_ms").alias("end_ms"))
 
 
+def capped_speech(spark: SparkSession, directory: str) -> DataFrame:
+    """Speech joined over pauses of up to 800 ms into parts of at most 30 s."""
+
+    def fold(rows: list[dict], final: bool) -> list[dict]:
+        parts = sorted(p for r in rows for p in ordered.pieces(r["s"], r["e"], 30_000))
+        return [{"lecture_id": rows[0]["lecture_id"], "start_ms": a, "end_ms": b} for a, b in ordered.capped_merge(parts, 30_000, 800)]
+
+    rows = _timed(spark, directory).select("lecture_id", "id", "s", "e")
+    return ordered.fold_islands(rows, ["lecture_id"], "s", "e", ["e", "id"], 801, fold, "lecture_id string, start_ms bigint, end_ms bigint")
+
+
+def probe_times(spark: SparkSession, directory: str) -> DataFrame:
+    """Times to probe each window for changes: every minute, two at least, twelve at most, ends included."""
+    c = base.chunks(spark, directory).where("e > s")
+    n = F.least(F.lit(12), F.greatest(F.lit(2), F.floor((F.col("e") - F.col("s")) / 60_000).cast("int") + 1))
+    at = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.floor(F.col("s") + (F.col("e") - F.col("s")) * i / (n - 1)))
+    return c.select("lecture_id", "id", F.posexplode(at).alias("n", "at_ms"))
+
+
 def sample_times(spark: SparkSession, directory: str) -> DataFrame:
     """Six sample times in the middle of equal parts of each window."""
     c = base.chunks(spark, directory).where("e > s")
@@ -94,16 +113,22 @@ def sample_times(spark: SparkSession, directory: str) -> DataFrame:
     return c.select("lecture_id", "id", F.posexplode(at).alias("n", "at_ms"))
 
 
-QUERIES = {f.__name__: f for f in (chunk_windows, gap_sessions, span_sessions, count_batches, forward_filled_episodes, outline_islands, neighbour_context, merged_speech, sample_times)}
+QUERIES = {f.__name__: f for f in (chunk_windows, gap_sessions, span_sessions, count_batches, forward_filled_episodes, outline_islands, neighbour_context, merged_speech, capped_speech, probe_times, sample_times)}
 _S = f"s AS (SELECT lecture_id, id, {ms('start_sec')} AS s, {ms('end_sec')} AS e, text FROM ({SEG}) WHERE {ms('end_sec')} > {ms('start_sec')})"
 _O = f"o AS (SELECT lecture_id, id, {ms('start_sec')} AS s, {ms('end_sec')} AS e, kind FROM ({OBS}) WHERE start_sec IS NOT NULL)"
 _BY = "OVER (PARTITION BY lecture_id ORDER BY s, e NULLS FIRST, id"
 SQL = {
+    "chunk_windows": f"""WITH RECURSIVE {_S}, p AS (SELECT lecture_id, id, s, e, row_number() {_BY}) - 1 AS i, count(*) OVER (PARTITION BY lecture_id) AS n FROM s),
+l AS (SELECT a.lecture_id, a.i, a.n, coalesce(min(b.i), a.n) - 1 AS z FROM p a LEFT JOIN p b ON a.lecture_id = b.lecture_id AND b.i > a.i AND b.e - a.s > {TARGET_MS} GROUP BY 1, 2, 3),
+x AS (SELECT l.lecture_id, l.i, l.z, l.n, min(k.i) AS following FROM l JOIN p y ON y.lecture_id = l.lecture_id AND y.i = l.z LEFT JOIN p k ON k.lecture_id = l.lecture_id AND k.i > l.i AND k.i <= l.z + 1 AND (k.i = l.z + 1 OR k.e > y.e - {OVERLAP_MS}) GROUP BY 1, 2, 3, 4),
+w AS (SELECT * FROM x WHERE i = 0 UNION ALL SELECT x.* FROM w JOIN x ON x.lecture_id = w.lecture_id AND x.i = w.following WHERE w.z < w.n - 1)
+SELECT w.lecture_id, a.id AS first_id, b.id AS last_id, a.s AS start_ms, b.e AS end_ms, w.z - w.i + 1 AS segments FROM w JOIN p a ON a.lecture_id = w.lecture_id AND a.i = w.i JOIN p b ON b.lecture_id = w.lecture_id AND b.i = w.z""",
     "gap_sessions": f"WITH {_S}, r AS (SELECT *, max(e) {_BY} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM s), g AS (SELECT *, sum(CASE WHEN s - r >= {GAP_MS} THEN 1 ELSE 0 END) {_BY} ROWS UNBOUNDED PRECEDING) AS session FROM r) SELECT lecture_id, session, min(s) AS start_ms, max(e) AS end_ms, count(*) AS segments FROM g GROUP BY 1, 2",
     "count_batches": f"WITH {_O}, p AS (SELECT lecture_id, s, row_number() OVER (PARTITION BY lecture_id ORDER BY s, id) - 1 AS pos, count(*) OVER (PARTITION BY lecture_id) AS n FROM o), b AS (SELECT lecture_id, s, unnest(range(greatest(0, CAST(floor((pos - 30) / 20.0) AS BIGINT) + 1), least(CAST(greatest(0, ceil((n - 30) / 20.0)) AS BIGINT), pos // 20) + 1)) AS batch FROM p) SELECT lecture_id, batch, count(*) AS n, min(s) AS start_ms, max(s) AS end_ms FROM b GROUP BY 1, 2",
     "forward_filled_episodes": f"WITH {_O}, f AS (SELECT *, sum(CASE WHEN kind = 'transition' THEN 1 ELSE 0 END) {_BY} ROWS UNBOUNDED PRECEDING) AS episode FROM o) SELECT lecture_id, episode, count(*) AS observations, min(s) AS start_ms, max(e) AS end_ms FROM f GROUP BY 1, 2",
     "outline_islands": f"WITH {_O}, l AS (SELECT *, lag(kind) {_BY}) AS k, row_number() {_BY}) AS n FROM o), f AS (SELECT *, sum(CASE WHEN n > 1 AND kind IS NOT DISTINCT FROM k THEN 0 ELSE 1 END) {_BY} ROWS UNBOUNDED PRECEDING) AS section FROM l) SELECT lecture_id, section, min(kind) AS kind, count(*) AS n, min(s) AS start_ms FROM f GROUP BY 1, 2",
     "neighbour_context": f"WITH {_O} SELECT lecture_id, id, concat_ws(' ', lag(id, 2) {_BY}), lag(id) {_BY}), lead(id) {_BY}), lead(id, 2) {_BY})) AS neighbours FROM o",
     "merged_speech": f"WITH {_S}, t AS (SELECT lecture_id, greatest(0, s - 200) AS s, e + 200 AS e FROM s), r AS (SELECT *, max(e) OVER (PARTITION BY lecture_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM t), g AS (SELECT *, sum(CASE WHEN r IS NULL OR s > r THEN 1 ELSE 0 END) OVER (PARTITION BY lecture_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS n FROM r) SELECT lecture_id, min(s) AS start_ms, max(e) AS end_ms FROM g GROUP BY lecture_id, n",
+    "probe_times": f"WITH c AS (SELECT lecture_id, id, {ms('start_sec')} AS s, {ms('end_sec')} AS e FROM ({base.CHUNK})), k AS (SELECT *, least(12, greatest(2, (e - s) // 60000 + 1)) AS k FROM c WHERE e > s), x AS (SELECT *, unnest(range(0, k)) AS n FROM k) SELECT lecture_id, id, n, CAST(floor(s + (e - s) * n / (k - 1)) AS BIGINT) AS at_ms FROM x",
     "sample_times": f"WITH c AS (SELECT lecture_id, id, {ms('start_sec')} AS s, {ms('end_sec')} AS e FROM ({base.CHUNK})), x AS (SELECT *, unnest(range(0, 6)) AS n FROM c WHERE e > s) SELECT lecture_id, id, n, CAST(floor(s + (e - s) * (2 * n + 1) / 12) AS BIGINT) AS at_ms FROM x",
 }

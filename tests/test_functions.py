@@ -24,6 +24,12 @@ def test_text(spark):
     assert [one(spark, T.cleanup_verdict(F.col("s"), col), s="x = 1 holds", t=t) for t in ("", "x = 1", "x = 2", "x = y 1")] == ["empty", "ok", "numbers", "new symbols"]
 
 
+def test_restoring(spark):
+    col = F.col("t")
+    assert one(spark, T.restored_commands(col), t="\x08eta \theta\ta \x0crac 5\t6") == "\\beta \\theta\\ta \\frac 5\t6"
+    assert one(spark, T.without(col, "board"), t="On the board. Kept. The board!") == "Kept." and one(spark, T.without(col, "board"), t="board") is None
+
+
 def test_tex():
     assert tex.escaped("50% & a_b\\") == r"50\% \& a\_b\textbackslash{}"
     assert tex.escaped_outside_math("a_b $x_1$ c_d") == r"a\_b $x_1$ c\_d" and tex.escaped_outside_math("a_$b") == r"a\_\$b"

@@ -112,3 +112,31 @@ def test_suppression_and_packing(spark):
     import numpy as np
 
     assert suppress_boxes(np.array([[0, 0, 10, 10], [1, 0, 10, 10], [20, 20, 30, 30]]), 0.7) == [0, 2]
+
+
+def test_pieces_and_caps():
+    assert ordered.pieces(0, 100, 40) == [(0, 40), (40, 80)] and ordered.pieces(0, 20, 40) == [(0, 20)] and ordered.pieces(0, 140, 40, 10) == [(0, 40), (40, 80), (80, 120), (120, 140)]
+    assert ordered.capped_merge([(0, 5), (6, 9), (30, 31), (32, 50)], 15, 3) == [(0, 9), (30, 31), (32, 50)]
+
+
+def test_edits(spark):
+    import pytest
+
+    from quarryline.operators import editing
+    from quarryline.operators.patching import PatchError
+
+    blocks = spark.createDataFrame([("k", x) for x in "abc"], "k string, id string")
+    plan = lambda *rows: spark.createDataFrame([("k", *r) for r in rows], "k string, id string, action string, section string, into string")
+    got = editing.edit_plan(blocks, plan(("a", "keep", "s", None), ("b", "merge", None, "a"), ("c", "drop", None, None)), ["k"]).collect()
+    assert [(r["section"], r["id"], r["sources"]) for r in got] == [("s", "a", ["a", "b"])]
+    for bad in ([("a", "keep", "s", None)], [("a", "keep", "s", None), ("b", "merge", None, "c"), ("c", "drop", None, None)], [(x, "keep", "s", None) for x in "abcc"], [(x, "keep", "s", None) for x in "abcd"]):
+        with pytest.raises(PatchError):
+            editing.edit_plan(blocks, plan(*bad), ["k"])
+    df = spark.createDataFrame([("a", None, "HIGH"), (" ", "b", "odd")], "id string, node_id string, level string")
+    rows = editing.canonical(df, {"id": ["node_id", "missing"]}, {"level": {"high": "3", "": "1"}}).collect()
+    assert [(r["id"], r["level"]) for r in rows] == [("a", "3"), ("b", "1")]
+    assert editing.halves([1, 2, 3, 9], lambda p: sum(p) < 10) == [[1, 2], [3], [9]] and editing.halves([], len) == []
+    with pytest.raises(PatchError):
+        editing.halves([20], lambda p: sum(p) < 10)
+    states = spark.createDataFrame([("x", 1, 5), ("x", 1, 5), ("y", 1, 3), ("z", 2, 0)], "sig string, h int, s int")
+    assert [r["sig"] for r in editing.prune(states, "sig", ["h"], ["s"], 5).collect()] == ["y", "x"]
