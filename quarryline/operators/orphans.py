@@ -85,11 +85,11 @@ class OrphanLedger:
         merged = delta if self.index is None else self.index.unionByName(delta)
         merged = merged.groupBy(*KEY).agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.max("deleted_at").alias("deleted_at"))
         index = merged if last else staged(merged, "parents")
-        fresh = new_refs.groupBy(*REF).agg(F.min("ref_at").alias("ref_at"))
+        fresh = staged(new_refs.groupBy(*REF).agg(F.min("ref_at").alias("ref_at")), "arrived")  # read several times below
         if self.refs is None:
             refs = self._probe(fresh, index)
         else:
-            changed = delta.select(*KEY).unionByName(new_refs.select(*KEY)).distinct()
+            changed = staged(delta.select(*KEY).unionByName(fresh.select(*KEY)).distinct(), "changed")
             touched = self.refs.join(changed, KEY, "left_semi").drop("status")
             rest = self.refs.join(changed, KEY, "left_anti")
             again = touched.unionByName(fresh).groupBy(*REF).agg(F.min("ref_at").alias("ref_at"))
