@@ -30,6 +30,7 @@ from .pii_lists import ADDRESS_CUES, GIVEN, ID_CUES, NAME_CUES, NAME_FOLLOWS, NU
 EMAIL, PHONE, ID, ADDRESS, NAME = "email", "phone", "id_number", "address", "person_name"
 PLACEHOLDER = {EMAIL: "[EMAIL]", PHONE: "[PHONE]", ID: "[ID_NUMBER]", ADDRESS: "[ADDRESS]", NAME: "[PERSON_NAME]"}
 BUCKETS = 1 << 18
+_COUNTS = ("total", "capital", "near", "broken")
 
 _i = regex.IGNORECASE
 _or = "|".join
@@ -115,11 +116,13 @@ def _bucket(word: str) -> int:
 
 @dataclass
 class Lexicon:
-    """Statistics of words over the corpus, hashed to a table of fixed size: occurrences, capitalised, next to a given name."""
+    """Statistics of words over the corpus, hashed to a table of fixed size: occurrences, capitalised, next to a given name
+    on a line, next to one across a line break."""
 
     total: np.ndarray
     capital: np.ndarray
     near: np.ndarray
+    broken: np.ndarray
     known: dict[str, str] = field(default_factory=dict)
 
     def kind(self, word: str) -> str:
@@ -136,10 +139,13 @@ class Lexicon:
     def _one(self, low: str) -> str:
         i = _bucket(low)
         total, near = int(self.total[i]), int(self.near[i])
+        frequent, near = total >= 50 and near < 0.002 * total, near + int(self.broken[i])
         if len(low) >= 4 and near >= 2 and near >= 0.1 * total and self.capital[i] >= 0.4 * total:
             return "S"
         if len(low) >= 5 and total < 10 and 0 < near and near >= 0.1 * total and low not in _FOLLOWS:
             return "R"
+        if frequent:  # and beside no name, so no name itself, though it may start every sentence
+            return "c"
         if len(low) >= 4 and total and self.capital[i] >= 0.6 * total:
             return "N"
         return "c" if total >= 20 and near < 0.02 * total and self.capital[i] < 0.3 * total else ""
@@ -290,7 +296,8 @@ def _names(text: str, taken: list[tuple[int, int]], lexicon: Lexicon) -> Iterato
         left, right = open_text[max(0, begin - 40) : begin], open_text[end : end + 40]
         first, last = members[0], members[-1]
         around = low[max(0, first - 2) : first] + low[last + 1 : last + 3]
-        near_left, near_right = low[first - 1 : first], low[last + 1 : last + 2]
+        near_left = low[first - 1 : first] if first and open_text[spans[first - 1][1] : begin] == " " else []
+        near_right = low[last + 1 : last + 2] if last + 1 < len(spans) and open_text[end : spans[last + 1][0]] == " " else []
         possessive = bool(regex.match(r"['’]s\b", right)) or bool(regex.search(r"['’]s$", text[begin:end]))
         result = bool(_RESULT.intersection(near_left + near_right)) or possessive or (len(members) == 1 and bool(_RESULT.intersection(around)))
         surnames = [low[i] for i in members if kinds[i] in "SC"]
@@ -385,11 +392,11 @@ def fit(patterns: dict[str, int]) -> dict[str, float]:
 
 # ---------------------------------------------------------------- over tables
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, capital, near = (np.zeros(BUCKETS, np.int64) for _ in range(3))
+    total, capital, near, broken = (np.zeros(BUCKETS, np.int64) for _ in range(4))
     split = regex.compile(r"[-'’]").split
     for batch in batches:
         seen: Counter[str] = Counter()
-        beside: Counter[str] = Counter()
+        beside: Counter[tuple[str, bool]] = Counter()
         for text in batch.column("text").to_pylist():
             if not text:
                 continue
@@ -401,29 +408,29 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             given = [w.lower() in _GIVEN for w in words]
             if any(given):
                 for i, (a, b) in enumerate(zip(given, given[1:])):
-                    if a != b and text[found[i].end() : found[i + 1].start()] in (" ", "\n", ", ", ",\n"):
-                        beside[words[i + 1] if a else words[i]] += 1
+                    if a != b and (gap := text[found[i].end() : found[i + 1].start()]) in (" ", "\n", ", ", ",\n"):
+                        beside[words[i + 1] if a else words[i], "\n" in gap] += 1
         for word, n in seen.items():
             for part in (word,) if word.isalpha() else split(word):
                 if part:
                     i = _bucket(part.lower())
                     total[i] += n
                     capital[i] += n * part[0].isupper()
-        for word, n in beside.items():
+        for (word, across), n in beside.items():
             for part in split(word):
                 if part:
-                    near[_bucket(part.lower())] += n
+                    (broken if across else near)[_bucket(part.lower())] += n
     used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(a[used]) for a in (total, capital, near))], names=["bucket", "total", "capital", "near"])
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(a[used]) for a in (total, capital, near, broken))], names=["bucket", *_COUNTS])
 
 
 def word_statistics(documents: DataFrame) -> Lexicon:
     """The lexicon over all documents; at most ``BUCKETS`` rows reach the driver, however many words there are."""
-    partial = documents.select("text").mapInArrow(_statistics, "bucket int, total bigint, capital bigint, near bigint")
-    rows = partial.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("total", "capital", "near")]).toArrow()
-    lexicon = Lexicon(*(np.zeros(BUCKETS, np.int64) for _ in range(3)))
+    partial = documents.select("text").mapInArrow(_statistics, "bucket int, " + ", ".join(f"{c} bigint" for c in _COUNTS))
+    rows = partial.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in _COUNTS]).toArrow()
+    lexicon = Lexicon(*(np.zeros(BUCKETS, np.int64) for _ in _COUNTS))
     at = rows.column("bucket").to_numpy()
-    for name in ("total", "capital", "near"):
+    for name in _COUNTS:
         getattr(lexicon, name)[at] = rows.column(name).to_numpy()
     return lexicon
 
@@ -451,7 +458,7 @@ def find(documents: DataFrame, doc_id: str) -> DataFrame:
     """
     spark = documents.sparkSession
     lexicon = word_statistics(documents)
-    shared = spark.sparkContext.broadcast((lexicon.total, lexicon.capital, lexicon.near))
+    shared = spark.sparkContext.broadcast(tuple(getattr(lexicon, c) for c in _COUNTS))
     texts = documents.select(F.col(doc_id).cast("bigint").alias("doc"), "text")
     proposed = staged(texts.mapInArrow(_proposals(shared), f"doc bigint, spans {_SPANS}"), "spans")
     each = proposed.select("doc", F.explode("spans").alias("s")).select("doc", "s.*")

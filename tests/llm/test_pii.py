@@ -64,6 +64,6 @@ def test_em_recovers_reliable_labelers():
 
 
 def test_very_long_text():
-    lexicon = pii.Lexicon(*(np.zeros(pii.BUCKETS, np.int64) for _ in range(3)))
+    lexicon = pii.Lexicon(*(np.zeros(pii.BUCKETS, np.int64) for _ in range(4)))
     text = "1 " * 100_000 + "a@b.example " * 2000 + "x" * 200_000
     assert sum(c.kind == "email" for c in pii.candidates(text, lexicon)) == 2000
