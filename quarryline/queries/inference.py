@@ -11,6 +11,7 @@ from ..plans.grouped import fold_groups
 from . import base
 from .base import OBS, ms
 
+#: Commands of structure that link nothing.
 _STRUCTURE = ("\\in", "\\quad", "\\text", "\\to", "\\le", "\\ge", "\\left", "\\right", "\\frac", "\\begin", "\\end", "\\cdot")
 
 
