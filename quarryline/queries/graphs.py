@@ -44,12 +44,12 @@ def proof_components(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def topic_votes(spark: SparkSession, directory: str) -> DataFrame:
-    """Topics of nodes: by the topic that contains them, else by three rounds of weighted votes of neighbours."""
+    """Topics of nodes: by the topic that contains them, else by up to eight rounds of weighted votes of neighbours."""
     n, e = base.nodes(spark, directory), base.edges(spark, directory)
     topics = n.where("kind = 'topic'").select("lecture_id", F.col("id").alias("topic"))
     said = e.where("relation = 'contains'").select("lecture_id", F.col("src").alias("topic"), F.col("dst").alias("node")).unionByName(e.where("relation = 'part_of'").select("lecture_id", F.col("dst").alias("topic"), F.col("src").alias("node")))
     members = said.join(topics, ["lecture_id", "topic"], "left_semi").join(n.select("lecture_id", F.col("id").alias("node")), ["lecture_id", "node"], "left_semi")
-    return graphs.spread_topics(members, n, e, _L, rounds=3)
+    return graphs.spread_topics(members, n, e, _L)
 
 
 def consensus_closure(spark: SparkSession, directory: str) -> DataFrame:

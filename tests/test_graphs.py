@@ -6,6 +6,7 @@ import pytest
 from quarryline.operators import graphs, inference, sets
 from quarryline.operators.patching import GraphState, PatchError, event_status, guarded
 from quarryline.plans.fixpoint import components, reach, resolve_aliases
+from quarryline.queries.graphs import topic_votes
 from pyspark.sql import functions as F
 
 
@@ -56,6 +57,16 @@ def test_topics_times_and_order(spark):
     assert [r["node"] for r in order] == ["a", "b", "c", "d"]
 
 
+def test_topic_votes_run_all_rounds(spark, tmp_path):
+    columns = "lecture_id string, id string, kind string, title string, semantic_text string, latex string, evidence_ids array<string>, derived_from array<string>, aliases array<string>, status string, ingested_at timestamp"
+    row = lambda i, kind: ("l", i, kind, None, None, None, [], [], [], "active", None)
+    spark.createDataFrame([row("t", "topic"), *[row(f"n{i}", "claim") for i in range(10)]], columns).write.parquet(f"{tmp_path}/graph_nodes.parquet")
+    edges = [("e", "l", "t", "n0", "contains"), *[(f"e{i}", "l", f"n{i}", f"n{i + 1}", "refines") for i in range(9)]]
+    spark.createDataFrame(edges, "edge_id string, lecture_id string, source string, target string, relation string").write.parquet(f"{tmp_path}/graph_edges.parquet")
+    got = {r["node"]: (r["topic"], r["round"]) for r in topic_votes(spark, str(tmp_path)).collect()}
+    assert got == {f"n{i}": ("t", i) for i in range(9)}  # round 8 is the last
+
+
 def test_beam_is_exact_when_wide():
     rng = random.Random(2)
     unary = [[(f"{i}{c}", rng.random()) for c in "xyz"] for i in range(5)]
