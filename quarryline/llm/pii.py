@@ -76,15 +76,18 @@ _EN = rf"(?:(?:Flat|Apt|Apartment|Unit|Suite)\s\d+[A-Z]?,\s)?(?<!\d)\d{{1,4}}[A-
 _RU_KIND = r"(?:ул\.|улица|пр-т|проспект|просп\.|пер\.|переулок|пл\.|площадь|наб\.|набережная|шоссе|бульвар|б-р)"
 _RU_NAME = r"[\p{Cyrillic}][\p{Cyrillic}-]+(?:\s(?!ул\.|пер\.|пр-т|д\.|дом\b)\p{Lu}[\p{Cyrillic}-]+)?"
 _RU_HOUSE = r"(?:,?\s?(?:д\.|дом)\s?\d+\p{L}?|,?\s\d+(?:-\d+|\p{L}\b)?)(?:,?\s?(?:к\.|корп\.|корпус|стр\.)\s?\d+)?(?:,?\s?(?:кв\.|квартира|оф\.)\s?\d+)?"
+_RU_LANE = r"(?:ая|ой|ый|ий|ов|ев),\s\d+-\d+"
 _RU_TOWN = r"(?:(?:\d{6},\s)?(?<!\p{L}\.\s?)(?<!\p{L})(?-i:г\.\s?|город\s|Г\.\s?(?=\p{Lu}{3}))\p{Cyrillic}[\p{Cyrillic}-]+,\s|\d{6},\s(?:\p{Cyrillic}[\p{Cyrillic}-]+,\s)?)"
-_RU = rf"{_RU_TOWN}?(?:(?<!\p{{L}}){_RU_KIND}\s{_RU_NAME}{_RU_HOUSE}|(?<!\p{{L}}){_RU_NAME}\s{_RU_KIND}{_RU_HOUSE})|{_RU_TOWN}(?=(?-i:\p{{Lu}})){_RU_NAME}{_RU_HOUSE}|(?<!\p{{L}})(?:\p{{Lu}}[\p{{Cyrillic}}-]+\s)?\p{{Cyrillic}}+(?:ая|ой|ый|ий|ов|ев),\s\d+-\d+(?!-)"
-_DE_STREET = r"(?:(?<!\p{L})\p{L}[\p{L}-]*(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|damm)|(?<!\p{L})(?:Am|An\sder|Im|Auf\sdem|Zum|Zur)\s\p{L}+)\s\d{1,4}\s?[a-z]?\b"
+_RU = rf"{_RU_TOWN}?(?:(?<!\p{{L}}){_RU_KIND}\s{_RU_NAME}{_RU_HOUSE}|(?<!\p{{L}}){_RU_NAME}\s{_RU_KIND}{_RU_HOUSE})|{_RU_TOWN}(?=(?-i:\p{{Lu}})){_RU_NAME}{_RU_HOUSE}|(?<!\p{{L}})(?:\p{{Lu}}[\p{{Cyrillic}}-]+\s)?\p{{Cyrillic}}+{_RU_LANE}(?!-)"
+_DE_END, _DE_AT = r"(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|damm)", r"(?<!\p{L})(?:Am|An\sder|Im|Auf\sdem|Zum|Zur)\s\p{L}+"
+_DE_STREET = rf"(?:(?<!\p{{L}})\p{{L}}[\p{{L}}-]*{_DE_END}|{_DE_AT})\s\d{{1,4}}\s?[a-z]?\b"
 _DE_TOWN = r"(?<!\d)\d{5}\s\p{L}[\p{L}-]+"
 _DE = rf"{_DE_TOWN},\s{_DE_STREET}|{_DE_STREET}(?:,\s{_DE_TOWN})?"
 _FR_KIND = r"(?:rue|avenue|av\.|boulevard|bd|impasse|chemin|place|allée|quai|cours|route|square)"
 _FR = rf"(?<!\d)\d{{1,4}}(?:\s(?:bis|ter|quater))?,?\s{_FR_KIND}\s(?:de\sla\s|de\sl['’]|des\s|du\s|de\s|d['’])?[\p{{L}}'’]+(?:-[\p{{L}}'’]+)*(?:,\s(?:appt|apt|app\.|bât\.)\s?\d+)?(?:,\s\d{{5}}\s\p{{L}}[\p{{L}}-]*)?"
 _ADDRESS = regex.compile("|".join(f"(?P<{k}>{v})" for k, v in (("fr", _FR), ("ru", _RU), ("de", _DE), ("en", _EN))).replace(r"\s?", r"\s{0,2}").replace(r"\s(", r"\s{1,2}("), _i)
-_ADDRESS_HINT = regex.compile(rf"\b{_EN_STREET}\b|{_RU_KIND}|\b{_FR_KIND}\b|(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|damm)\b|\b(?:Am|Im|Zum|Zur|Auf)\b|(?:ая|ой|ый|ий|ов|ев),\s\d+-\d+|\bг\.|\d{{6}},", _i)
+#: A part of every alternative of ``_ADDRESS``: a text without it has no address, and only then the search is skipped.
+_ADDRESS_HINT = regex.compile(rf"\s{_FR_KIND}\s|{_RU_KIND}|{_RU_LANE}|(?<!\p{{L}})(?:г\.|город\s)|\d{{6}},|{_DE_END}\s\d|{_DE_AT}\s\d|\b{_EN_STREET}\b", _i)
 _POSTAL = regex.compile(r"(?<!\d)\d{5,6}(?!\d)|\b(?:apt|flat|appt|кв\.|корп\.|г\.)\s?\d*", _i)
 
 # ---------------------------------------------------------------- names

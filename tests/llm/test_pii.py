@@ -52,6 +52,19 @@ def test_empty_table(documents):
     assert find(documents.limit(0), "d").collect() == []
 
 
+#: Addresses whose only sign of one is an abbreviation, a place or a preposition.
+BARE = ["Kelmoorstr. 66b, 00047 Orvathstadt", "12 av. Foch, 00020 Orville", "An der Lohe 5", "Auf dem Berg 12", "Zur Mühle 3a", "город Речной, Садовая, д. 5", "г. Речной, Садовая, д. 5", "000042, Садовая, д. 5", "Садовая, 5-12", "Садовая наб. 7", "12 Orchard Hill Rd", "Gartenweg 7b", "17 bis, rue des Tilleuls"]
+
+
+@pytest.mark.parametrize("address", BARE)
+def test_no_address_is_skipped_for_want_of_a_hint(address):
+    lexicon = pii.Lexicon(*(np.zeros(pii.BUCKETS, np.int64) for _ in range(4)))
+    for text in (address, f"x\n{address}\n(x)", address.lower(), address.upper()):
+        for m in pii._ADDRESS.finditer(text):
+            assert pii._ADDRESS_HINT.search(m.group()) and pii._ADDRESS_HINT.search(text)
+    assert [(c.begin, c.end) for c in pii.candidates(f"x\n{address}\n(x)", lexicon) if c.kind == pii.ADDRESS] == [(2, 2 + len(address))]
+
+
 def test_em_recovers_reliable_labelers():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.6
