@@ -93,7 +93,9 @@ _POSTAL = regex.compile(r"(?<!\d)\d{5,6}(?!\d)|\b(?:apt|flat|appt|кв\.|кор
 # ---------------------------------------------------------------- names
 _TOKEN = regex.compile(r"\p{L}\p{M}*(?:\p{L}|\p{M})*(?:[-'’]\p{L}+)*")
 _PATRONYMIC = regex.compile(r"\p{Cyrillic}{2,}(?:ович|евич|ич|овна|евна|ична|инична)", _i)
-_TEXMATH = regex.compile(r"\$[^$]{0,400}\$|\\\[.{0,400}?\\\]|\\(?:ref|cite|label|eqref|begin|end)\{[^}]*\}|\\\p{L}+", regex.DOTALL)
+_TEXMATH = regex.compile(r"(?<!(?<!\\)\\)(?:\$\$(?P<math>(?:[^$\\]|\\.)*+)\$\$|\$(?![\s$])(?P<math>(?:[^$\\]|\\.)*+)(?<!\s)\$)|\\\[.{0,400}?\\\]|\\(?:ref|cite|label|eqref|begin|end)\{[^}]*\}|\\\p{L}+", regex.DOTALL)
+#: What no formula holds: an empty line, or two words in a row that are no commands.
+_PROSE = regex.compile(r"\n[^\S\n]*\n|(?<![\\\p{L}])\p{L}{2,}\s+\p{L}{2,}")
 _GIVEN = frozenset(g for names in GIVEN.values() for g in names)
 _TITLES, _RESULT, _FOLLOWS = frozenset(TITLES), frozenset(RESULT_NOUNS), frozenset(NAME_FOLLOWS)
 #: Kinds of tokens: G given name, P patronymic, I initial, S surname, C capitalised or rare word, other. Separators: _ space, ~ line break, comma, | any other.
@@ -253,8 +255,20 @@ def _blank(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
+def _tex(text: str) -> Iterator[tuple[int, int]]:
+    """Formulas, references and commands. A dollar opens a formula only if the next one can close it; one that cannot is left open, so an unpaired dollar does not turn the prose after it into a formula."""
+    at = 0
+    while m := _TEXMATH.search(text, at):
+        body = m.group("math")
+        if body and _PROSE.search(body):
+            at = m.start("math")
+        else:
+            yield m.span()
+            at = m.end()
+
+
 def _names(text: str, taken: list[tuple[int, int]], lexicon: Lexicon) -> Iterator[Candidate]:
-    open_text = _blank(text, taken + [m.span() for m in _TEXMATH.finditer(text)])
+    open_text = _blank(text, taken + list(_tex(text)))
     kinds: list[str] = []
     spans: list[tuple[int, int]] = []
     low: list[str] = []

@@ -65,6 +65,18 @@ def test_no_address_is_skipped_for_want_of_a_hint(address):
     assert [(c.begin, c.end) for c in pii.candidates(f"x\n{address}\n(x)", lexicon) if c.kind == pii.ADDRESS] == [(2, 2 + len(address))]
 
 
+def test_unpaired_dollars_hide_no_names():
+    open_text = lambda t: pii._blank(t, list(pii._tex(t))).replace("\x00", "")
+    assert open_text("pay 5$ now\nRuth Hartwell asks\n$x_1$ and $y$\nAnke Hartwell") == "pay 5$ now\nRuth Hartwell asks\n and \nAnke Hartwell"
+    assert open_text("$5 says Ruth Hartwell. $x$ is 3") == "$5 says Ruth Hartwell.  is 3"
+    assert open_text("US$5, Ruth Hartwell, 3$ and $x$") == "US$5, Ruth Hartwell, 3$ and "
+    assert open_text("$" + "x+" * 300 + "y$\nRuth Hartwell asks\n$z$") == "\nRuth Hartwell asks\n"
+    assert open_text("a $\\ker P = \\{z : Sw = 5v\\}$ b $$f\n= g$$ c \\$5 Ruth $\\operatorname{dist}(x, M)$") == "a  b  c \\$5 Ruth "
+    lexicon = pii.Lexicon(*(np.zeros(pii.BUCKETS, np.int64) for _ in range(4)))
+    text = "cut $\\ge 2\nand Глеб Петрович asks\n$x$ and $y$"
+    assert [text[c.begin : c.end] for c in pii.candidates(text, lexicon)] == ["Глеб Петрович"]
+
+
 def test_em_recovers_reliable_labelers():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.6
