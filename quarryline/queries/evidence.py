@@ -26,7 +26,7 @@ def focus_windows(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def catalog_prefix(spark: SparkSession, directory: str) -> DataFrame:
-    """Per window, what fits into 1,500 characters: first what the window itself cites, then the nearest by kind, then the rest."""
+    """Per window, the prefix of its own observations that fits into 1,500 characters: statements first, then formulas, then the rest, by id."""
     o = base.observations(spark, directory).select("lecture_id", "window_id", "id", "kind", F.coalesce(F.length("text"), F.lit(0)).alias("n"))
     bucket = F.when(F.col("kind").isin("definition", "theorem", "claim"), 0).when(F.col("kind").isin("equation", "notation"), 1).otherwise(2)
     ranked = with_position(o.withColumn("bucket", bucket), ["lecture_id", "window_id"], "bucket", ["id"], 1)
