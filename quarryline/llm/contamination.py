@@ -4,7 +4,7 @@ Size-partitioned MinHash containment. A short item inside a long document has a
 sides are cut into sets of one size first: the *passages* of ``run`` consecutive words. A document contains part of an
 item exactly where a passage of each has the same word shingles, which is a containment, and a Jaccard similarity, of
 1; sets that are equal have equal MinHash signatures, so no leak is lost at this step whatever the lengths of document
-and item. The signature of a passage is the minimum of each of ``hashes`` permutations over its shingles of ``shingle``
+and item. (Hyphens at line breaks are read all joined or all split; a passage that needs both readings is not seen.) The signature of a passage is the minimum of each of ``hashes`` permutations over its shingles of ``shingle``
 words, read off by a sliding minimum in linear time. Passages with a signature of the items are verified by exact
 comparison of their words.
 
