@@ -5,9 +5,11 @@ the whole corpus, and the context) each vote for, against or not at all. Nobody
 maximisation (Dawid and Skene) estimates from the votes alone how reliable each labeler is, and its posteriors train
 the final classifier, a logistic regression on the votes and the shape of a span, which decides.
 
-Three stages, each a map over the documents without a shuffle of texts: word statistics (hashed to a table of fixed
-size), votes (aggregated to counts per pattern of votes, of which there are few), and the spans. What reaches the driver
-is bounded by the size of the table and the number of patterns, not by the corpus.
+Three stages. Words are counted exactly, in a table of their own, and what a word is (given name, surname, ...) follows
+from *rates* alone, so a corpus delivered many times over gives the same names. Given names beyond the seed list are
+learned: a word that mostly stands before surnames or patronymics. Then a map over the documents proposes spans with
+their votes, and the counts per pattern of votes, of which there are few, train the model. The table of words goes to
+the tasks as a broadcast while it has at most ``lexicon_words`` rows; beyond that each text gets its own words' rows by a join.
 """
 
 from __future__ import annotations
@@ -15,22 +17,23 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.skew import split_hot_join
 from ..plans.staging import staged
 from .pii_lists import ADDRESS_CUES, GIVEN, ID_CUES, NAME_CUES, NAME_FOLLOWS, NUMBER_WORDS, PHONE_CUES, RESULT_NOUNS, TITLES, UNITS
 
 EMAIL, PHONE, ID, ADDRESS, NAME = "email", "phone", "id_number", "address", "person_name"
 PLACEHOLDER = {EMAIL: "[EMAIL]", PHONE: "[PHONE]", ID: "[ID_NUMBER]", ADDRESS: "[ADDRESS]", NAME: "[PERSON_NAME]"}
-BUCKETS = 1 << 18
-_COUNTS = ("total", "capital", "near", "broken")
+#: Counts of a word: occurrences, capitalised, beside a given name or patronymic on a line, beside one across a line
+#: break, beside an initial or title.
+_COUNTS = ("total", "capital", "near", "broken", "hint")
 
 _i = regex.IGNORECASE
 _or = "|".join
@@ -41,7 +44,8 @@ _DOT = r"(?:\.|\s*[(\[{]\s*(?:dot|точка|point|punkt)\s*[)\]}]\s*|\s+(?:dot|
 _ATOM = r"(?:[\p{L}\p{M}\p{N}_+%-]|\\[_%&-])+"
 _LABEL = r"[\p{L}\p{N}](?:[\p{L}\p{M}\p{N}-]*[\p{L}\p{N}])?"
 _EMAIL = regex.compile(rf"(?<![\p{{L}}\p{{N}}._+%-])(?P<local>{_ATOM}(?:{_DOT}{_ATOM})*+)(?P<at>{_AT})(?P<domain>{_LABEL}(?:{_DOT}{_LABEL})+)", _i)
-_EMAIL_HINT = regex.compile(r"@|\bat\b|\bät\b|собака|arobase|klammeraffe", _i)
+#: What follows an ``at`` written out, bracketed or not, in an address.
+_AFTER_AT = regex.compile(rf"\s*[)\]}}]?\s*{_LABEL}{_DOT}{_LABEL}", _i)
 
 # ---------------------------------------------------------------- numbers
 _S = r"[\s ]"
@@ -86,14 +90,15 @@ _DE = rf"{_DE_TOWN},\s{_DE_STREET}|{_DE_STREET}(?:,\s{_DE_TOWN})?"
 _FR_KIND = r"(?:rue|avenue|av\.|boulevard|bd|impasse|chemin|place|allée|quai|cours|route|square)"
 _FR = rf"(?<!\d)\d{{1,4}}(?:\s(?:bis|ter|quater))?,?\s{_FR_KIND}\s(?:de\sla\s|de\sl['’]|des\s|du\s|de\s|d['’])?[\p{{L}}'’]+(?:-[\p{{L}}'’]+)*(?:,\s(?:appt|apt|app\.|bât\.)\s?\d+)?(?:,\s\d{{5}}\s\p{{L}}[\p{{L}}-]*)?"
 _ADDRESS = regex.compile("|".join(f"(?P<{k}>{v})" for k, v in (("fr", _FR), ("ru", _RU), ("de", _DE), ("en", _EN))).replace(r"\s?", r"\s{0,2}").replace(r"\s(", r"\s{1,2}("), _i)
-#: A part of every alternative of ``_ADDRESS``: a text without it has no address, and only then the search is skipped.
-_ADDRESS_HINT = regex.compile(rf"\s{_FR_KIND}\s|{_RU_KIND}|{_RU_LANE}|(?<!\p{{L}})(?:г\.|город\s)|\d{{6}},|{_DE_END}\s\d|{_DE_AT}\s\d|\b{_EN_STREET}\b", _i)
+_AT_HERE = regex.compile(rf"{_DE_AT}\s{{1,2}}\d", _i)
+_HOUSE_AFTER = regex.compile(r"\.?\s{1,2}\d")
+_RU_BARE = regex.compile(r"\d{6},|,\s{1,2}\d+-\d")
 _POSTAL = regex.compile(r"(?<!\d)\d{5,6}(?!\d)|\b(?:apt|flat|appt|кв\.|корп\.|г\.)\s?\d*", _i)
 
 # ---------------------------------------------------------------- names
 _TOKEN = regex.compile(r"\p{L}\p{M}*(?:\p{L}|\p{M})*(?:[-'’]\p{L}+)*")
 _PATRONYMIC = regex.compile(r"\p{Cyrillic}{2,}(?:ович|евич|ич|овна|евна|ична|инична)", _i)
-_TEXMATH = regex.compile(r"(?<!(?<!\\)\\)(?:\$\$(?P<math>(?:[^$\\]|\\.)*+)\$\$|\$(?![\s$])(?P<math>(?:[^$\\]|\\.)*+)(?<!\s)\$)|\\\[.{0,400}?\\\]|\\(?:ref|cite|label|eqref|begin|end)\{[^}]*\}|\\\p{L}+", regex.DOTALL)
+_TEXMATH = regex.compile(r"(?<!(?<!\\)\\)(?:\$\$(?P<math>(?:[^$\\]|\\.)*+)\$\$|\$(?![\s$])(?P<math>(?:[^$\\]|\\.)*+)(?<!\s)\$)|\\\[(?P<math>(?:[^\\]|\\[^\[\]])*+)\\\]|\\(?:ref|cite|label|eqref|begin|end)\{[^}]*\}|\\\p{L}+", regex.DOTALL)
 #: What no formula holds: an empty line, or two words in a row that are no commands.
 _PROSE = regex.compile(r"\n[^\S\n]*\n|(?<![\\\p{L}])\p{L}{2,}\s+\p{L}{2,}")
 _GIVEN = frozenset(g for names in GIVEN.values() for g in names)
@@ -115,45 +120,74 @@ _NAME_AFTER = regex.compile(rf"\s?(?:\(|:\s\d|<|;\S|,?\s(?:{_or(regex.escape(w)
 _EDGE_BEFORE, _EDGE_AFTER = regex.compile(r"(?:^|\n)[^\S\n]*$"), regex.compile(r"[^\S\n]*(?:\n|$)")
 
 
-def _bucket(word: str) -> int:
-    return xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass"), seed=7) & (BUCKETS - 1)
+_JOINT = regex.compile(r"[-'’]")
+_AT_WORD, _FR_WORD, _DE_WORD, _DE_PLACE, _EN_WORD, _RU_WORD, _COUNT_WORD = (1 << i for i in range(7))
+_HINTS = (
+    (_AT_WORD, {"at", "ät", "собака", "arobase", "klammeraffe"}),
+    (_FR_WORD, {"rue", "avenue", "av", "boulevard", "bd", "impasse", "chemin", "place", "allée", "quai", "cours", "route", "square"}),
+    (_DE_PLACE, {"am", "an", "im", "auf", "zum", "zur"}),
+    (_EN_WORD, {"road", "rd", "street", "st", "lane", "ln", "avenue", "ave", "court", "ct", "drive", "close", "square", "terrace", "boulevard", "blvd", "crescent"}),
+    (_RU_WORD, {"ул", "улица", "пр-т", "проспект", "просп", "пер", "переулок", "пл", "площадь", "наб", "набережная", "шоссе", "бульвар", "б-р", "г", "город"}),
+    (_COUNT_WORD, frozenset(NUMBER_WORDS)),
+)
+_DE_ENDS = ("strasse", "str", "weg", "gasse", "platz", "allee", "ufer", "damm")
+
+
+class _Flags(dict):
+    """What a written word may be a part of: a bit per kind of hint. Each word is looked at once."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        low, folded = word.lower(), word.casefold()
+        names = {low, folded, _JOINT.split(low)[0]}
+        self[word] = bits = sum(bit for bit, some in _HINTS if not names.isdisjoint(some)) | (_DE_WORD if folded.endswith(_DE_ENDS) else 0)
+        return bits
+
+
+_FLAGS = _Flags()
 
 
-@dataclass
 class Lexicon:
-    """Statistics of words over the corpus, hashed to a table of fixed size: occurrences, capitalised, next to a given name
-    on a line, next to one across a line break."""
+    """What is known of words: ``G`` given name, ``S`` behaves as a surname, ``R`` beside given names though in lower case,
+    ``N`` another proper noun, ``c`` common; see ``lexicon_of``. Words are in lower case, compounds are judged by all their parts."""
 
-    total: np.ndarray
-    capital: np.ndarray
-    near: np.ndarray
-    broken: np.ndarray
-    known: dict[str, str] = field(default_factory=dict)
+    def __init__(self, known: dict[str, str]):
+        self.known = known
+        self.tokens = _Tokens(self)
 
     def kind(self, word: str) -> str:
-        """``S`` for a word that behaves as a surname, ``R`` for a rare one beside a given name, ``N`` for another proper noun, ``c`` for a common word, else nothing. Compounds by all their parts."""
-        low = word.lower()
-        found = self.known.get(low)
-        if found is None:
-            if len(self.known) > 300_000:
-                self.known.clear()
-            kinds = {self._one(p) for p in regex.split(r"[-'’]", low) if p}
-            found = self.known[low] = "S" if kinds == {"S"} else "c" if "c" in kinds else "R" if kinds and kinds <= {"R", "S"} else "N" if kinds and kinds <= {"N", "R", "S"} else ""
-        return found
-
-    def _one(self, low: str) -> str:
-        i = _bucket(low)
-        total, near = int(self.total[i]), int(self.near[i])
-        frequent, near = total >= 50 and near < 0.002 * total, near + int(self.broken[i])
-        if len(low) >= 4 and near >= 2 and near >= 0.1 * total and self.capital[i] >= 0.4 * total:
-            return "S"
-        if len(low) >= 5 and total < 10 and 0 < near and near >= 0.1 * total and low not in _FOLLOWS:
-            return "R"
-        if frequent:  # and beside no name, so no name itself, though it may start every sentence
-            return "c"
-        if len(low) >= 4 and total and self.capital[i] >= 0.6 * total:
-            return "N"
-        return "c" if total >= 20 and near < 0.02 * total and self.capital[i] < 0.3 * total else ""
+        kinds = {self.known.get(p, "") for p in _JOINT.split(word.lower()) if p}
+        return "S" if kinds == {"S"} else "c" if "c" in kinds else "R" if kinds and kinds <= {"R", "S"} else "N" if kinds and kinds <= {"N", "R", "S"} else ""
+
+    def given(self, lower: str) -> bool:
+        return lower in _GIVEN or self.known.get(lower) == "G" or "-" in lower and all(p in _GIVEN or self.known.get(p) == "G" for p in lower.split("-"))
+
+
+class _Tokens(dict):
+    """Kind of a written word in ``_NAME``; ``i`` for one that is an initial if a full stop follows."""
+
+    def __init__(self, lexicon: Lexicon):
+        self.lexicon = lexicon
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > 500_000:
+            self.clear()
+        lower = word.lower()
+        if len(word) == 1 and word.isupper():
+            kind = "i"
+        elif self.lexicon.given(lower):
+            kind = "G"
+        elif len(word) > 4 and _PATRONYMIC.fullmatch(word):
+            kind = "P"
+        elif lower in _RESULT:
+            kind = "o"
+        else:
+            known = self.lexicon.kind(word)
+            rare = known in ("R", "N") or word[0].isupper() and len(word) > 3 and known != "c"
+            kind = "S" if known == "S" else "C" if rare and lower not in _TITLES else "o"
+        self[word] = kind
+        return kind
 
 
 @dataclass(frozen=True)
@@ -169,9 +203,30 @@ class Candidate:
         return f"{self.kind}/{self.shape}/" + "".join("-0+"[v + 1] for v in self.votes)
 
 
+def _may_hold_email(text: str, found: list[regex.Match], flags: list[int]) -> bool:
+    """Whether ``_EMAIL`` can match: there is an at sign, or an ``at`` written out before a domain."""
+    return "@" in text or any(f & _AT_WORD and _AFTER_AT.match(text, m.end()) for m, f in zip(found, flags) if f)
+
+
+def _may_hold_address(text: str, found: list[regex.Match], flags: list[int]) -> bool:
+    """Whether ``_ADDRESS`` can match: a word that every one of its alternatives needs, with a number where it needs one."""
+    if _RU_BARE.search(text):
+        return True
+    for m, f in zip(found, flags):
+        if not f:
+            continue
+        if f & _RU_WORD:
+            return True
+        if f & _FR_WORD and any(c.isdigit() for c in text[max(0, m.start() - 14) : m.start()]):
+            return True
+        if f & _EN_WORD and any(c.isdigit() for c in text[max(0, m.start() - 200) : m.start()]):
+            return True
+        if f & _DE_WORD and _HOUSE_AFTER.match(text, m.end()) or f & _DE_PLACE and _AT_HERE.match(text, m.start()):
+            return True
+    return False
+
+
 def _emails(text: str) -> Iterator[Candidate]:
-    if not _EMAIL_HINT.search(text):
-        return
     for m in _EMAIL.finditer(text):
         domain, at = m.group("domain"), m.group("at")
         labels = regex.split(_DOT, domain, flags=_i)
@@ -228,8 +283,6 @@ def _spelled(text: str) -> Iterator[Candidate]:
 
 
 def _addresses(text: str) -> Iterator[Candidate]:
-    if not _ADDRESS_HINT.search(text):
-        return
     for m in _ADDRESS.finditer(text):
         span, left = m.group(), text[max(0, m.start() - 40) : m.start()]
         words_ = [w for w in regex.findall(r"\p{L}{4,}", span)]
@@ -238,7 +291,7 @@ def _addresses(text: str) -> Iterator[Candidate]:
             1 if _POSTAL.search(span) else 0,
             1 if _ADDRESS_CUE.search(left) or regex.search(r"[,;]\s$", left) else 0,
             1 if capital else -1,
-            -1 if regex.search(r"\d\s$|\b(?:step|steps|page|section|minute|group)\s$", left, _i) else 0,
+            -1 if regex.search(r"\d[^\S\n]\Z|\b(?:step|steps|page|section|minute|group)[^\S\n]\Z", left, _i) else 0,
             1 if _EDGE_BEFORE.search(left) else 0,
         ))
 
@@ -269,27 +322,18 @@ def _tex(text: str) -> Iterator[tuple[int, int]]:
 
 def _names(text: str, taken: list[tuple[int, int]], lexicon: Lexicon) -> Iterator[Candidate]:
     open_text = _blank(text, taken + list(_tex(text)))
-    kinds: list[str] = []
-    spans: list[tuple[int, int]] = []
-    low: list[str] = []
-    for m in _TOKEN.finditer(open_text):
-        word = m.group()
-        lower = word.lower()
-        begin, end = m.span()
-        if len(word) == 1 and word.isupper() and open_text[end : end + 1] == ".":
-            kind, end = "I", end + 1
-        elif lower in _GIVEN:
-            kind = "G"
-        elif len(word) > 4 and _PATRONYMIC.fullmatch(word):
-            kind = "P"
-        else:
-            known = lexicon.kind(word)
-            kind = "S" if known == "S" and lower not in _RESULT else "C" if known in ("R", "N") and lower not in _RESULT and lower not in _TITLES or word[0].isupper() and len(word) > 3 and known != "c" and lower not in _RESULT and lower not in _TITLES else "o"
-        kinds.append(kind)
-        spans.append((begin, end))
-        low.append(lower)
+    found = list(_TOKEN.finditer(open_text))
+    spans = [m.span() for m in found]
+    written = [m.group() for m in found]
+    kinds = [lexicon.tokens[w] for w in written]
+    for i, kind in enumerate(kinds):
+        if kind == "i":
+            begin, end = spans[i]
+            stop = open_text[end : end + 1] == "."
+            kinds[i], spans[i] = ("I", (begin, end + 1)) if stop else ("o", (begin, end))
     if not any(k in "GSPI" for k in kinds):
         return
+    low = [w.lower() for w in written]
     line: list[str] = []
     token_of: list[int] = []
     for i, kind in enumerate(kinds):
@@ -346,15 +390,27 @@ def candidates(text: str, lexicon: Lexicon) -> list[Candidate]:
                 fresh.append(c)
         kept[:] = sorted(kept + fresh, key=lambda c: c.begin)
 
-    take(_emails(text))
-    take(_addresses(text))
+    found = list(_TOKEN.finditer(text))
+    written = [m.group() for m in found]
+    flags = [_FLAGS[w] for w in written]
+    if _may_hold_email(text, found, flags):
+        take(_emails(text))
+    if _may_hold_address(text, found, flags):
+        take(_addresses(text))
     take(_numbers(text))
-    take(_spelled(text))
-    take(_names(text, [(c.begin, c.end) for c in kept], lexicon))
+    if sum(w.count("-") + 1 for w, f in zip(written, flags) if f & _COUNT_WORD) >= 7:
+        take(_spelled(text))
+    kinds = [lexicon.tokens[w] for w in written]
+    if not {"G", "S", "P"}.isdisjoint(kinds) or any(k == "i" and text[m.end() : m.end() + 1] == "." for m, k in zip(found, kinds)):
+        take(_names(text, [(c.begin, c.end) for c in kept], lexicon))
     return kept
 
 
 # ---------------------------------------------------------------- the model
+#: Weight of all patterns of a kind together, against the priors.
+SAMPLE = 2_000.0
+
+
 def dawid_skene(votes: np.ndarray, counts: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of each vote pattern being true, and per labeler the log odds that its vote for and against add.
 
@@ -398,6 +454,7 @@ def fit(patterns: dict[str, int]) -> dict[str, float]:
             continue
         votes = np.array([["-0+".index(v) - 1 for v in p.rpartition("/")[2]] for p in own])
         counts = np.array([patterns[p] for p in own], dtype=float)
+        counts *= SAMPLE / counts.sum()  # so that the same corpus, delivered many times over, gives the same model
         belief, _ = dawid_skene(votes, counts)
         shapes = [p.split("/")[1] for p in own]
         names = sorted(set(shapes))
@@ -408,94 +465,201 @@ def fit(patterns: dict[str, int]) -> dict[str, float]:
 
 
 # ---------------------------------------------------------------- over tables
-def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, capital, near, broken = (np.zeros(BUCKETS, np.int64) for _ in range(4))
-    split = regex.compile(r"[-'’]").split
-    for batch in batches:
-        seen: Counter[str] = Counter()
-        beside: Counter[tuple[str, bool]] = Counter()
-        for text in batch.column("text").to_pylist():
-            if not text:
-                continue
-            if _EMAIL_HINT.search(text):
-                text = _blank(text, [m.span() for m in _EMAIL.finditer(text)])
-            found = list(_TOKEN.finditer(text))
-            words = [m.group() for m in found]
-            seen.update(words)
-            given = [w.lower() in _GIVEN for w in words]
-            if any(given):
-                for i, (a, b) in enumerate(zip(given, given[1:])):
-                    if a != b and (gap := text[found[i].end() : found[i + 1].start()]) in (" ", "\n", ", ", ",\n"):
-                        beside[words[i + 1] if a else words[i], "\n" in gap] += 1
+_BEFORE_PATRONYMIC = "\x01"
+_TRIGGER, _PAIR, _WORTH = regex.compile("[GPIT]"), regex.compile("u[uP]"), regex.compile("[GPT]|u[uP]|I")
+_WORD_ROWS = "word string, mate string, " + ", ".join(f"{c} bigint" for c in _COUNTS)
+
+
+class _Triggers(dict):
+    """``G`` for a given name, ``P`` a patronymic, ``I`` what may be an initial, ``T`` a title, ``u`` another capitalised word, ``.`` any other."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > 500_000:
+            self.clear()
+        lower = word.lower()
+        seeds = lower in _GIVEN or "-" in lower and all(p in _GIVEN for p in lower.split("-"))
+        known = "G" if seeds else "P" if len(word) > 4 and _PATRONYMIC.fullmatch(word) else "T" if lower in _TITLES else ""
+        self[word] = kind = "I" if len(word) == 1 and word.isupper() else known or ("u" if word[0].isupper() and len(word) > 2 else ".")
+        return kind
+
+
+def _statistics(flush: int = 400_000):
+    """Counts of words, and of pairs of capitalised words (``word`` before ``mate``), of the texts of a task; at most about ``flush`` keys are held."""
+
+    def rows(seen: Counter, beside: Counter, pairs: Counter) -> pa.RecordBatch:
+        words: dict[str, list[int]] = {}
         for word, n in seen.items():
-            for part in (word,) if word.isalpha() else split(word):
+            for part in (word,) if word.isalpha() else _JOINT.split(word):
                 if part:
-                    i = _bucket(part.lower())
-                    total[i] += n
-                    capital[i] += n * part[0].isupper()
-        for (word, across), n in beside.items():
-            for part in split(word):
+                    row = words.setdefault(part.lower(), [0] * 5)
+                    row[0] += n
+                    row[1] += n * part[0].isupper()
+        for (word, place), n in beside.items():
+            for part in _JOINT.split(word):
                 if part:
-                    (broken if across else near)[_bucket(part.lower())] += n
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(a[used]) for a in (total, capital, near, broken))], names=["bucket", *_COUNTS])
+                    words.setdefault(part.lower(), [0] * 5)[place] += n
+        mates = [(a, b, n, 0, 0, 0, 0) for (a, b), n in pairs.items()]
+        out = [(w, None, *row) for w, row in words.items()] + mates
+        types = [pa.string(), pa.string(), *[pa.int64()] * 5]
+        return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out) if out else [[]] * 7, types)], names=["word", "mate", *_COUNTS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, beside, pairs, triggers = Counter(), Counter(), Counter(), _Triggers()
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                if not text:
+                    continue
+                emails = [m.span() for m in _EMAIL.finditer(text)] if "@" in text else []
+                text = _blank(text, emails + list(_tex(text)))
+                words = _TOKEN.findall(text)
+                seen.update(words)
+                marks = "".join([triggers[w] for w in words])
+                if not _WORTH.search(marks):
+                    continue
+                spans = [m.span() for m in _TOKEN.finditer(text)]
+                for m in _TRIGGER.finditer(marks):
+                    i, mark = m.start(), m.group()
+                    begin, end = spans[i]
+                    if mark in "IT" and text[end : end + 1] == ".":
+                        end += 1
+                    elif mark == "I":
+                        continue
+                    if i + 1 < len(words) and marks[i + 1] not in "GPI" and (mark != "P" or words[i + 1][0].isupper()):
+                        gap = text[end : spans[i + 1][0]]
+                        if len(gap) <= 4 and gap.strip() in ("", ","):
+                            beside[words[i + 1], 4 if mark in "IT" else 3 if "\n" in gap else 2] += 1
+                    if i and mark not in "PT" and marks[i - 1] not in "GPI":
+                        gap = text[spans[i - 1][1] : begin]
+                        if len(gap) <= 4 and gap.strip() in ("", ","):
+                            beside[words[i - 1], 4 if mark == "I" else 3 if "\n" in gap else 2] += 1
+                for m in _PAIR.finditer(marks, overlapped=True):
+                    i = m.start()
+                    if text[spans[i][1] : spans[i + 1][0]] == " ":
+                        pairs[words[i].lower(), _BEFORE_PATRONYMIC if marks[i + 1] == "P" else words[i + 1].lower()] += 1
+            if len(seen) + len(beside) + len(pairs) > flush:
+                yield rows(seen, beside, pairs)
+                seen, beside, pairs = Counter(), Counter(), Counter()
+        yield rows(seen, beside, pairs)
+
+    return run
 
 
-def word_statistics(documents: DataFrame) -> Lexicon:
-    """The lexicon over all documents; at most ``BUCKETS`` rows reach the driver, however many words there are."""
-    partial = documents.select("text").mapInArrow(_statistics, "bucket int, " + ", ".join(f"{c} bigint" for c in _COUNTS))
-    rows = partial.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in _COUNTS]).toArrow()
-    lexicon = Lexicon(*(np.zeros(BUCKETS, np.int64) for _ in _COUNTS))
-    at = rows.column("bucket").to_numpy()
-    for name in _COUNTS:
-        getattr(lexicon, name)[at] = rows.column(name).to_numpy()
-    return lexicon
+def _surname(near: str = "near") -> Column:
+    """A word that is capitalised as a rule and stands beside a given name often enough."""
+    return F.expr(f"length(word) >= 4 AND {near} + broken >= 0.1 * total AND capital >= 0.4 * total")
+
+
+def lexicon_of(documents: DataFrame) -> DataFrame:
+    """``word, class`` of the words that ever stand beside a given name, patronymic, initial or title, from counts over all documents.
+
+    Classes follow from rates, never from sizes: a surname (``S``) stands beside a given name in a tenth of its occurrences
+    and is capitalised in two fifths; ``R`` is beside one as often but mostly in lower case; a common word (``c``) is so in less than
+    2 of 1,000, or of 100 if mostly in lower case, and beside initials and titles in less than a tenth; ``N`` is another word mostly
+    capitalised. A word is a given name (``G``) if half of its occurrences stand before surnames, of which two are different, or
+    before patronymics; words beside learned names count as beside a given name. Words without a class are left out.
+    """
+    rows = documents.select("text").mapInArrow(_statistics(), _WORD_ROWS)
+    counted = staged(rows.groupBy("word", "mate").agg(*[F.sum(c).alias(c) for c in _COUNTS]), "words")
+    words, pairs = counted.where("mate IS NULL").drop("mate"), counted.where("mate IS NOT NULL").select("word", "mate", F.col("total").alias("n"))
+    before = pairs.join(words.where(_surname()).select(F.col("word").alias("mate")), "mate").withColumn("sure", F.lit(False)).select("word", "mate", "n", "sure")
+    before = before.unionByName(pairs.where(F.col("mate") == _BEFORE_PATRONYMIC).withColumn("sure", F.lit(True)))
+    often = before.groupBy("word").agg(F.sum("n").alias("before"), F.count("*").alias("mates"), F.max("sure").alias("sure"))
+    listed = [*_RESULT, *_TITLES, *_FOLLOWS, *_GIVEN]
+    learned = words.join(often, "word").where("before >= 0.5 * total AND capital >= 0.9 * total AND (mates >= 2 OR sure)").where(~_surname() & ~F.col("word").isin(listed)).select("word", F.lit(True).alias("learned"))
+    learned = staged(learned, "given")
+    extra = pairs.join(learned, "word").where(F.col("mate") != _BEFORE_PATRONYMIC).groupBy(F.col("mate").alias("word")).agg(F.sum("n").alias("extra"))
+    joined = words.join(learned, "word", "left").join(extra, "word", "left").withColumn("by", F.col("near") + F.coalesce("extra", F.lit(0)))
+    follows = [w for w in _FOLLOWS if " " not in w]
+    kind = (
+        F.when(F.col("learned"), "G")
+        .when(_surname("by"), "S")
+        .when(F.expr("length(word) >= 5 AND by + broken > 0 AND by + broken >= 0.1 * total") & ~F.col("word").isin(follows), "R")
+        .when(F.expr("by < 0.002 * total AND hint < 0.1 * total"), "c")
+        .when(F.expr("length(word) >= 4 AND capital >= 0.6 * total"), "N")
+        .when(F.expr("by + broken < 0.02 * total AND hint < 0.1 * total AND capital < 0.3 * total"), "c")
+    )
+    return joined.where("by + broken + hint > 0 OR learned").select("word", kind.alias("class")).where("class IS NOT NULL")
 
 
 _SPANS = "array<struct<kind:string,begin:bigint,stop:bigint,pattern:string>>"
 
 
-def _proposals(shared):
+def _proposals(shared, keep_text: bool):
+    """Spans of each text. ``shared`` holds the lexicon, or is None if each row brings its own words' classes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(*shared.value)
+        lexicon = Lexicon(dict(zip(*shared.value))) if shared else Lexicon({})
         spans_type = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("stop", pa.int64()), ("pattern", pa.string())]))
         for batch in batches:
-            found = [[{"kind": c.kind, "begin": c.begin, "stop": c.end, "pattern": c.pattern} for c in candidates(t, lexicon)] if t else [] for t in batch.column("text").to_pylist()]
+            found = []
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                if not shared:
+                    lexicon = Lexicon({x["word"]: x["class"] for x in batch.column("known")[i].as_py() or []})
+                found.append([{"kind": c.kind, "begin": c.begin, "stop": c.end, "pattern": c.pattern} for c in candidates(text, lexicon)] if text else [])
+            if keep_text:
+                yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text"), pa.array(found, type=spans_type)], names=["doc", "text", "spans"])
+                continue
             some = pa.array([i for i, f in enumerate(found) if f], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("doc").take(some), pa.array([f for f in found if f], type=spans_type)], names=["doc", "spans"])
 
     return run
 
 
-def find(documents: DataFrame, doc_id: str) -> DataFrame:
+def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+            words = sorted({p.lower() for m in _TOKEN.finditer(text) for p in _JOINT.split(m.group()) if p})
+            yield pa.RecordBatch.from_arrays([pa.array([key] * len(words), pa.int64()), pa.array(words, pa.string())], names=["key", "word"])
+
+
+def _proposed(documents: DataFrame, doc_id: str, keep_text: bool, lexicon_words: int) -> tuple[DataFrame, list[str]]:
+    """The documents with their proposed spans, written out, and the accepted patterns of votes."""
+    spark = documents.sparkSession
+    texts = documents.select(F.col(doc_id).alias("doc"), "text")
+    lexicon = staged(lexicon_of(documents), "lexicon")
+    typed = f"doc {texts.schema['doc'].dataType.simpleString()}, " + ("text string, " if keep_text else "") + f"spans {_SPANS}"
+    if lexicon.count() <= lexicon_words:
+        rows = lexicon.toArrow()
+        shared = spark.sparkContext.broadcast((rows.column("word").to_pylist(), rows.column("class").to_pylist()))
+        proposed = texts.mapInArrow(_proposals(shared, keep_text), typed)
+    else:
+        keyed = texts.withColumn("key", F.xxhash64("text"))
+        words = keyed.where("text <> ''").groupBy("key").agg(F.max("text").alias("text")).mapInArrow(_words_of, "key bigint, word string")
+        known = split_hot_join(staged(words, "text-words"), lexicon, ["word"], how="inner").groupBy("key").agg(F.collect_list(F.struct("word", "class")).alias("known"))
+        proposed = split_hot_join(keyed, known, ["key"]).select("doc", "text", "known").mapInArrow(_proposals(None, keep_text), typed)
+    proposed = staged(proposed, "spans")
+    counted = proposed.select(F.explode("spans.pattern").alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n"))
+    chance = fit({r["pattern"]: r["n"] for r in counted.toLocalIterator()})
+    return proposed, [p for p, c in chance.items() if c >= 0.5]
+
+
+def _accepted(patterns: list[str]) -> Column:
+    return F.filter("spans", lambda s: F.array_contains(F.lit(patterns), s["pattern"]) if patterns else F.lit(False))
+
+
+def find(documents: DataFrame, doc_id: str, lexicon_words: int = 1_000_000) -> DataFrame:
     """``doc_id, pii_type, begin_pos, end_pos``: one row per item, positions in characters from 0.
 
-    ``documents`` has a ``text`` and a BIGINT id; null and empty texts give no rows, repeated rows give repeated rows,
-    an empty table none. Items of a document do not overlap.
+    ``documents`` has a ``text`` and an id; null and empty texts give no rows, null ids are ids like others, repeated rows
+    give repeated rows, an empty table none. Items of a document do not overlap.
     """
-    spark = documents.sparkSession
-    lexicon = word_statistics(documents)
-    shared = spark.sparkContext.broadcast(tuple(getattr(lexicon, c) for c in _COUNTS))
-    texts = documents.select(F.col(doc_id).cast("bigint").alias("doc"), "text")
-    proposed = staged(texts.mapInArrow(_proposals(shared), f"doc bigint, spans {_SPANS}"), "spans")
-    each = proposed.select("doc", F.explode("spans").alias("s")).select("doc", "s.*")
-    chance = fit({r["pattern"]: r["n"] for r in each.groupBy("pattern").agg(F.count("*").alias("n")).toLocalIterator()})
-    accepted = [p for p, c in chance.items() if c >= 0.5]
-    decided = spark.createDataFrame([(p,) for p in accepted], "pattern string")
-    kept = each.join(F.broadcast(decided), "pattern")  # a row per pattern of votes: bounded by their number
+    proposed, accepted = _proposed(documents, doc_id, False, lexicon_words)
+    kept = proposed.select("doc", F.explode(_accepted(accepted)).alias("s")).select("doc", "s.*")
     return kept.select(F.col("doc").alias(doc_id), F.col("kind").alias("pii_type"), F.col("begin").alias("begin_pos"), F.col("stop").alias("end_pos"))
 
 
-def redact(documents: DataFrame, doc_id: str) -> DataFrame:
-    """``doc_id, text, items``: each text with placeholders in place of the items, the rest unchanged; null stays null."""
-    found = find(documents, doc_id).groupBy(doc_id).agg(F.sort_array(F.collect_list(F.struct("begin_pos", "end_pos", "pii_type"))).alias("spans"))
-    joined = documents.select(doc_id, "text").join(found.withColumnRenamed(doc_id, "of"), F.col(doc_id) == F.col("of"), "left")
+def redact(documents: DataFrame, doc_id: str, lexicon_words: int = 1_000_000) -> DataFrame:
+    """``doc_id, text, items``: each text with placeholders in place of the items, the rest unchanged; null stays null.
+
+    One row per row of ``documents``: the spans travel with their text, so null and repeated ids make no difference.
+    """
+    proposed, accepted = _proposed(documents, doc_id, True, lexicon_words)
     marks = F.create_map(*[F.lit(x) for pair in PLACEHOLDER.items() for x in pair])
-    joined = joined.withColumn("spans", F.coalesce("spans", F.expr("slice(array(named_struct('begin_pos', 0L, 'end_pos', 0L, 'pii_type', '')), 1, 0)"))).withColumn("marks", marks)
+    rows = proposed.withColumn("spans", _accepted(accepted)).withColumn("marks", marks)
     parts = F.expr(
         """concat(array_join(transform(spans, (s, i) -> concat(
-             substring(text, cast(if(i = 0, 1, spans[greatest(i - 1, 0)].end_pos + 1) AS int), cast(s.begin_pos - if(i = 0, 0, spans[greatest(i - 1, 0)].end_pos) AS int)),
-             try_element_at(marks, s.pii_type))), ''),
-           substring(text, cast(if(size(spans) = 0, 1, try_element_at(spans, -1).end_pos + 1) AS int)))"""
+             substring(text, cast(if(i = 0, 1, spans[greatest(i - 1, 0)].stop + 1) AS int), cast(s.begin - if(i = 0, 0, spans[greatest(i - 1, 0)].stop) AS int)),
+             try_element_at(marks, s.kind))), ''),
+           substring(text, cast(if(size(spans) = 0, 1, try_element_at(spans, -1).stop + 1) AS int)))"""
     )
-    return joined.select(doc_id, parts.alias("text"), F.size("spans").alias("items"))
+    return rows.select(F.col("doc").alias(doc_id), parts.alias("text"), F.size("spans").alias("items"))

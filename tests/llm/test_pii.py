@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarryline.llm import pii
 from quarryline.llm.pii import dawid_skene, find, redact
@@ -30,6 +31,47 @@ LABELLED = [
 ]
 
 
+FAR = [
+    "reach lev точка petrov собака math точка example", "owen.hartwell (at) stud (dot) example (dot) net", "OWEN AT STUD DOT EXAMPLE", "x klammeraffe y punkt de", "a@b.de",
+]
+
+
+@pytest.mark.parametrize("text", FAR)
+def test_no_email_is_skipped_for_want_of_a_hint(text):
+    found = list(pii._TOKEN.finditer(text))
+    assert pii._EMAIL.search(text) and pii._may_hold_email(text, found, [pii._FLAGS[m.group()] for m in found])
+
+
+def _corpus(spark, copies):
+    heads = [f"{g} Zelinkova {v} the proof" for g, v in zip(("Ruth", "Anna", "Clara", "Helen", "Nora"), ("wrote", "found", "checked", "read", "sent"))]
+    texts = [*heads, "and then ruth zelinkova asked why", *[f"the {w} set is open and the map is closed" for w in "abcdefghij"], *[f"Jorunn {s} came" for s in ("Zelinkova", "Hartwell", "Zelinkova")], "Ruth Hartwell left", "Jorunn Kvalheim came late", "Prof. Kvalheim"]
+    rows = [(i + 1000 * n, t) for n in range(copies) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "d bigint, text string")
+
+
+def test_names_do_not_depend_on_the_size_of_the_corpus(spark):
+    found = []
+    for copies in (1, 2, 10, 100):
+        got = {(r["d"] % 1000, r["pii_type"], r["begin_pos"], r["end_pos"]) for r in find(_corpus(spark, copies).repartition(4), "d").collect()}
+        found.append(got)
+    assert all(f == found[0] for f in found)
+    assert (5, "person_name", 9, 23) in found[0]  # ruth zelinkova, in lower case
+    assert (20, "person_name", 0, 15) in found[0]  # after a given name that is learned
+
+
+def test_lexicon_beyond_the_broadcast(spark):
+    documents = _corpus(spark, 3)
+    assert sorted(map(tuple, find(documents, "d", lexicon_words=0).collect())) == sorted(map(tuple, find(documents, "d").collect()))
+
+
+def test_null_and_repeated_ids_are_redacted(spark):
+    texts = [r["text"] for r in _corpus(spark, 1).collect()]
+    rows = [(None, "Write to jane.doe@mail.example.org now"), (7, "Write to jane.doe@mail.example.org now"), (7, "Nothing personal at all here"), (7, "call +44 20 7946 0958 please"), (None, None), (8, "")]
+    frame = spark.createDataFrame([*rows, *((i + 100, t) for i, t in enumerate(texts))], "d bigint, text string").withColumn("items", F.lit("clash"))
+    got = sorted((str(r["d"]), str(r["text"])) for r in redact(frame, "d").collect() if r["d"] is None or r["d"] < 100)
+    assert got == sorted([("None", "Write to [EMAIL] now"), ("7", "Write to [EMAIL] now"), ("7", "Nothing personal at all here"), ("7", "call [PHONE] please"), ("None", "None"), ("8", "")])
+
+
 @pytest.fixture(scope="module")
 def documents(spark):
     rows = [(i, t, "x") for i, (t, _) in enumerate(LABELLED * 12)]
@@ -58,11 +100,11 @@ BARE = ["Kelmoorstr. 66b, 00047 Orvathstadt", "12 av. Foch, 00020 Orville", "An
 
 @pytest.mark.parametrize("address", BARE)
 def test_no_address_is_skipped_for_want_of_a_hint(address):
-    lexicon = pii.Lexicon(*(np.zeros(pii.BUCKETS, np.int64) for _ in range(4)))
     for text in (address, f"x\n{address}\n(x)", address.lower(), address.upper()):
-        for m in pii._ADDRESS.finditer(text):
-            assert pii._ADDRESS_HINT.search(m.group()) and pii._ADDRESS_HINT.search(text)
-    assert [(c.begin, c.end) for c in pii.candidates(f"x\n{address}\n(x)", lexicon) if c.kind == pii.ADDRESS] == [(2, 2 + len(address))]
+        if pii._ADDRESS.search(text):
+            found = list(pii._TOKEN.finditer(text))
+            assert pii._may_hold_address(text, found, [pii._FLAGS[m.group()] for m in found])
+    assert [(c.begin, c.end) for c in pii.candidates(f"x\n{address}\n(x)", pii.Lexicon({})) if c.kind == pii.ADDRESS] == [(2, 2 + len(address))]
 
 
 def test_unpaired_dollars_hide_no_names():
@@ -72,7 +114,7 @@ def test_unpaired_dollars_hide_no_names():
     assert open_text("US$5, Ruth Hartwell, 3$ and $x$") == "US$5, Ruth Hartwell, 3$ and "
     assert open_text("$" + "x+" * 300 + "y$\nRuth Hartwell asks\n$z$") == "\nRuth Hartwell asks\n"
     assert open_text("a $\\ker P = \\{z : Sw = 5v\\}$ b $$f\n= g$$ c \\$5 Ruth $\\operatorname{dist}(x, M)$") == "a  b  c \\$5 Ruth "
-    lexicon = pii.Lexicon(*(np.zeros(pii.BUCKETS, np.int64) for _ in range(4)))
+    lexicon = pii.Lexicon({})
     text = "cut $\\ge 2\nand Глеб Петрович asks\n$x$ and $y$"
     assert [text[c.begin : c.end] for c in pii.candidates(text, lexicon)] == ["Глеб Петрович"]
 
@@ -89,6 +131,6 @@ def test_em_recovers_reliable_labelers():
 
 
 def test_very_long_text():
-    lexicon = pii.Lexicon(*(np.zeros(pii.BUCKETS, np.int64) for _ in range(4)))
+    lexicon = pii.Lexicon({})
     text = "1 " * 100_000 + "a@b.example " * 2000 + "x" * 200_000
     assert sum(c.kind == "email" for c in pii.candidates(text, lexicon)) == 2000
