@@ -1,20 +1,23 @@
 """Evaluation items that occur, wholly or in part, in documents.
 
-Size-partitioned MinHash containment. A short item inside a long document has a tiny Jaccard similarity to it, so both
-sides are cut into sets of one size first: the *passages* of ``run`` consecutive words. A document contains part of an
-item exactly where a passage of each has the same word shingles, which is a containment, and a Jaccard similarity, of
-1; sets that are equal have equal MinHash signatures, so no leak is lost at this step whatever the lengths of document
-and item. (Hyphens at line breaks are read all joined or all split; a passage that needs both readings is not seen.) The signature of a passage is the minimum of each of ``hashes`` permutations over its shingles of ``shingle``
-words, read off by a sliding minimum in linear time. Passages with a signature of the items are verified by exact
-comparison of their words.
-
-Documents are read once and never shuffled. The items' passages go to the tasks in blocks of at most ``block``
-passages, each block a pass over the documents, so what is broadcast is bounded however many items there are.
+Size-partitioned MinHash containment search. A short item inside a long document has a tiny Jaccard similarity to it, so
+both sides are cut until sizes compare: an item into blocks of at most ``SIZES[-1]`` words, a document into windows as wide
+as the items of a *partition*. Blocks are partitioned by size; consecutive blocks and windows overlap by ``run - 1`` words,
+so every passage of ``run`` words lies whole in one of each. A block that holds a passage of a window shares at least
+``run - shingle + 1`` of its word shingles with it: that containment, with the sizes of the partition, gives the least Jaccard
+similarity of the two, and from it follow the bands and rows of the MinHash signatures such that a passage is missed with a
+chance below ``miss``. Candidates are blocks and windows with a band in common; they are verified by exact comparison of their passages.
+
+Documents are read once and never shuffled. While the items have at most ``broadcast_rows`` bands, these go to the tasks and
+candidates are verified where they arise. Beyond that a Bloom filter of bounded size goes to the tasks, and only
+windows that pass it are shuffled to the items' bands.
 """
 
 from __future__ import annotations
 
+import math
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +27,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.skew import split_hot_join
+from ..plans.staging import staged
+
+#: Upper bounds, in words, of the partitions for runs of 12 words; see ``partitions``.
+SIZES = (14, 18, 24)
+#: Line-end hyphens in a row that are read in every combination of joined and split.
+MIXED = 4
+
 _COMMAND = regex.compile(r"\\\\|\\\p{L}+")
 _BREAK = regex.compile(r"(?<=\p{L}\p{M}*)[-­‐‑]\p{Cf}*[^\S\n]*\r?\n\s*(?=\p{Cf}*\p{L})")
 _INVISIBLE = regex.compile(r"\p{Cf}+")
@@ -31,43 +42,61 @@ _MARKS = regex.compile(r"\p{M}+")
 _WORDS = regex.compile(r"[\p{L}\p{N}]+")
 
 
-def words(text: str, joined: bool = True) -> list[str]:
+def words(text: str, joined: int = -1) -> list[str]:
     """The words of a text: runs of letters and digits.
 
     Case, accents, Unicode form, punctuation, spacing, line breaks, invisible characters and TeX commands make no
-    difference. A word hyphenated at a line break is one word if ``joined``, else two.
+    difference. A word hyphenated at a line end is one word if the bit of its break (by its number modulo ``MIXED``) is set in ``joined``, else two.
     """
     if "\\" in text:
         text = _COMMAND.sub(lambda m: "\n" if m.group() == "\\\\" else " ", text)
     if "\n" in text:
-        text = _BREAK.sub("" if joined else " ", text)
+        number = iter(range(len(text)))
+        text = _BREAK.sub(lambda m: "" if joined >> next(number) % MIXED & 1 else " ", text)
     if not text.isascii():
         text = _MARKS.sub("", unicodedata.normalize("NFKD", _INVISIBLE.sub("", text)))
     return _WORDS.findall(text.casefold())
 
 
 def readings(text: str | None) -> list[list[str]]:
-    """The ways to read a text as words: one, or two if it has a hyphen at a line break."""
+    """The ways to read a text as words: each hyphen at a line end joins or splits, ``MIXED`` in a row in all combinations."""
     if not text:
         return []
-    one = words(text)
-    if "\n" not in text or not _BREAK.search(text):
-        return [one]
-    return [one, words(text, joined=False)]
+    breaks = sum(1 for _ in _BREAK.finditer(_COMMAND.sub(lambda m: "\n" if m.group() == "\\\\" else " ", text))) if "\n" in text or "\\" in text else 0
+    return [words(text, joined) for joined in reversed(range(1 << min(breaks, MIXED)))]
+
+
+def partitions(run: int, shingle: int, miss: float, most: int = 64) -> list[tuple[int, int, int]]:
+    """``(upper bound in words, bands, rows)`` per partition by size.
+
+    A block and a window of at most ``size`` words that share a passage have ``run - shingle + 1`` shingles in common, hence a
+    Jaccard similarity of at least that over the shingles of both. Rows are as many as ``most`` hashes allow.
+    """
+    if not 0 < shingle <= run:
+        raise ValueError("shingles must fit into a run")
+    shared, out = run - shingle + 1, []
+    for size in sorted({max(run, round(run * s / 12)) for s in SIZES}):
+        least = shared / (2 * (size - shingle + 1) - shared)
+        rows = 1
+        bands = lambda r: math.ceil(math.log(miss) / math.log(1 - min(least**r, 1 - 1e-9)))
+        while bands(rows + 1) * (rows + 1) <= most:
+            rows += 1
+        out.append((size, bands(rows), rows))
+    return out
 
 
 class Signatures:
-    """MinHash signatures of the passages of word sequences."""
-
-    def __init__(self, run: int, shingle: int, hashes: int):
-        if not 0 < shingle <= run:
-            raise ValueError("shingles must fit into a run")
-        self.run, self.shingle, self.hashes = run, shingle, hashes
-        odd = np.random.default_rng(20240131).integers(1, 2**63, size=(hashes + 1, max(hashes, shingle)), dtype=np.uint64)
-        self.weights, self.factors, self.shifts = odd[0, :shingle] * np.uint64(2) + np.uint64(1), odd[1:, 0] * np.uint64(2) + np.uint64(1), odd[1:, -1]
+    """Banded MinHash signatures of the windows of word sequences."""
+
+    def __init__(self, run: int, shingle: int, miss: float):
+        self.run, self.shingle, self.parts = run, shingle, partitions(run, shingle, miss)
+        rng = np.random.default_rng(20240131)
+        odd = lambda n: rng.integers(1, 2**63, size=n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.weights = odd(shingle)
+        self.factors = [odd(bands * rows) for _, bands, rows in self.parts]
         self.known: dict[str, int] = {}
 
-    def codes(self, sequence: list[str]) -> list[int]:
+    def codes(self, sequence: list[str]) -> np.ndarray:
         known = self.known
         if len(known) > 500_000:
             known.clear()
@@ -77,100 +106,169 @@ class Signatures:
             if code is None:
                 code = known[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
             out.append(code)
-        return out
+        return np.array(out, dtype=np.uint64)
+
+    def part_of(self, size: int) -> int:
+        """The partition of a block of so many words."""
+        return next(i for i, (most, _, _) in enumerate(self.parts) if size <= most)
 
-    def of(self, codes: np.ndarray) -> np.ndarray:
-        """The signature of every passage of a sequence of word codes, in order."""
+    def cuts(self, n: int, size: int) -> list[int]:
+        """Where the windows of ``size`` words begin in ``n`` words; consecutive ones overlap by ``run - 1``."""
+        if n < self.run:
+            return []
+        step = size - self.run + 1
+        return [*range(0, max(1, n - size), step), *([n - size] if n > size else [])]
+
+    def shingles(self, codes: np.ndarray) -> np.ndarray:
         n = len(codes) - self.shingle + 1
-        if len(codes) < self.run:
-            return np.empty(0, np.uint64)
+        out = np.zeros(n, np.uint64)
         with np.errstate(over="ignore"):
-            shingles = np.zeros(n, np.uint64)
             for j in range(self.shingle):
-                shingles += codes[j : j + n] * self.weights[j]
-            wide = self.run - self.shingle + 1
-            signature = np.zeros(n - wide + 1, np.uint64)
-            for factor, shift in zip(self.factors, self.shifts):
-                mixed = (shingles ^ (shingles >> np.uint64(29))) * factor + shift
-                mixed ^= mixed >> np.uint64(32)
-                low, width = mixed, 1  # sliding minimum by doubling
-                while width * 2 <= wide:
-                    low = np.minimum(low[:-width], low[width:])
-                    width *= 2
-                if width < wide:
-                    low = np.minimum(low[: len(low) - (wide - width)], low[wide - width :])
-                signature = (signature ^ low) * np.uint64(0x9E3779B97F4A7C15)
-        return signature
-
-
-def _search(block: dict[int, list[tuple]], wanted: np.ndarray, run: int, shingle: int, hashes: int):
-    """block: signature to [(item position, words of the passage)]; emits (item position, document id)."""
+                out += codes[j : j + n] * self.weights[j]
+            return (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+    def bands(self, shingles: np.ndarray, begins: np.ndarray, wide: int, part: int) -> np.ndarray:
+        """The bands, windows by bands, of windows of ``wide`` shingles that begin at ``begins``."""
+        _, bands, rows = self.parts[part]
+        where = begins[:, None] + np.arange(wide)[None, :]
+        keys = np.zeros((len(begins), bands), np.uint64)
+        with np.errstate(over="ignore"):
+            for i, factor in enumerate(self.factors[part]):
+                mixed = ((shingles ^ (shingles >> np.uint64(31))) * factor) >> np.uint64(32)
+                band = keys[:, i % bands]
+                band *= np.uint64(0x9E3779B97F4A7C15)
+                band += mixed[where].min(axis=1) + np.uint64(i % bands + 1 + (part << 16))
+            keys ^= keys >> np.uint64(32)
+            keys *= np.uint64(0x9E3779B97F4A7C15)
+        return keys
+
+    def windows(self, sequence: list[str], parts: list[int]) -> Iterator[tuple[int, list[int], int, np.ndarray]]:
+        """For each partition: where the windows begin, their width in words, and their bands."""
+        if len(sequence) < self.run:
+            return
+        shingles = self.shingles(self.codes(sequence))
+        for part in parts:
+            wide = min(self.parts[part][0], len(sequence))
+            begins = self.cuts(len(sequence), self.parts[part][0])
+            yield part, begins, wide, self.bands(shingles, np.array(begins), wide - self.shingle + 1, part)
+
+
+def _passages(sequence: list[str], run: int) -> set[tuple]:
+    return {tuple(sequence[i : i + run]) for i in range(len(sequence) - run + 1)}
+
+
+def _blocks(run: int, shingle: int, miss: float):
+    """Items to rows of ``item, part, words, bands``, a row per block."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signatures = Signatures(run, shingle, miss)
+        largest = signatures.parts[-1][0]
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            for item, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                for sequence in readings(text):
+                    for begin in signatures.cuts(len(sequence), largest):
+                        block = sequence[begin : begin + largest]
+                        part = signatures.part_of(len(block))
+                        bands = signatures.bands(signatures.shingles(signatures.codes(block)), np.array([0]), len(block) - shingle + 1, part)[0]
+                        for column, value in zip(out, (item, part, block, np.unique(bands).astype(np.int64))):
+                            column.append(value)
+            types = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, types)], names=["item", "part", "words", "bands"])
+
+    return cut
+
+
+def _verified(shared, parts: list[int], run: int, shingle: int, miss: float):
+    """Candidates by bands, verified on the spot; emits ``item, doc``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signatures = Signatures(run, shingle, hashes)
+        signatures = Signatures(run, shingle, miss)
+        items, texts, keys, block_of = shared.value
+        exact = [None] * len(texts)
         for batch in batches:
-            pieces: list[tuple[int, list[str], int]] = []  # row, words, first place in the codes of the batch
-            codes: list[int] = []
+            pairs: list[tuple] = []
             for row, text in enumerate(batch.column("text").to_pylist()):
+                found: set[int | None] = set()
                 for sequence in readings(text):
-                    if len(sequence) >= run:
-                        pieces.append((row, sequence, len(codes)))
-                        codes += signatures.codes(sequence)
-            found: set[tuple[int, int]] = set()
-            if codes:
-                all_of = signatures.of(np.array(codes, dtype=np.uint64))
-                hits = np.flatnonzero(np.isin(all_of, wanted))
-                firsts = np.array([p[2] for p in pieces])
-                for hit, piece in zip(hits.tolist(), (np.searchsorted(firsts, hits, side="right") - 1).tolist()):
-                    row, sequence, first = pieces[piece]
-                    passage = tuple(sequence[hit - first : hit - first + run])  # shorter across the end of a document
-                    for item, same in block[int(all_of[hit])]:
-                        if same == passage:
-                            found.add((item, row))
-            pairs = sorted(found)
-            rows = pa.array([r for _, r in pairs], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in pairs], pa.int64()), batch.column("doc").take(rows)], names=["item", "doc"])
+                    for _, begins, wide, bands in signatures.windows(sequence, parts):
+                        at = np.minimum(np.searchsorted(keys, bands), len(keys) - 1)
+                        hits = np.argwhere(keys[at] == bands)
+                        candidates = {(int(w), int(block)) for w, b in hits for block in block_of[at[w, b]]}
+                        for window, block in candidates:
+                            if items[block] not in found:
+                                if exact[block] is None:
+                                    exact[block] = _passages(texts[block], run)
+                                if exact[block] & _passages(sequence[begins[window] : begins[window] + wide], run):
+                                    found.add(items[block])
+                pairs += [(item, row) for item in found]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in pairs], pa.int64()), batch.column("doc").take(pa.array([r for _, r in pairs], pa.int32()))], names=["item", "doc"])
 
     return scan
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str, item_id: str, run: int = 12, shingle: int = 5, hashes: int = 2, block: int = 200_000) -> DataFrame:
+def _passing(shared, parts: list[int], run: int, shingle: int, miss: float):
+    """Windows with a band that the filter lets pass: ``doc, words, band``."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signatures = Signatures(run, shingle, miss)
+        table = shared.value
+        size = np.uint64(len(table) * 64)
+        for batch in batches:
+            out: list[list] = [[], [], []]
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                for sequence in readings(text):
+                    for _, begins, wide, bands in signatures.windows(sequence, parts):
+                        place = bands % size
+                        for w, b in np.argwhere(table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)):
+                            for column, value in zip(out, (row, sequence[begins[w] : begins[w] + wide], bands[w, b].astype(np.int64))):
+                                column.append(value)
+            yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(out[0], pa.int32())), pa.array(out[1], pa.list_(pa.string())), pa.array(out[2], pa.int64())], names=["doc", "words", "band"])
+
+    return scan
+
+
+def _filter(bands: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter with one hash: a bit per band; at most ``bits / 64`` numbers reach the driver."""
+    place = F.expr(f"band & {bits - 1}L")  # modulo the number of bits, a power of two
+    rows = bands.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("mask")).toArrow()
+    table = np.zeros(bits // 64, np.int64)
+    table[rows.column("at").to_numpy()] = rows.column("mask").to_numpy()
+    return table.view(np.uint64)
+
+
+def leaked_items(
+    documents: DataFrame, items: DataFrame, doc_id: str, item_id: str, run: int = 12, shingle: int = 5, miss: float = 1e-6, broadcast_rows: int = 1_000_000, filter_bits: int = 1 << 27
+) -> DataFrame:
     """``item_id, doc_id``, once each: the document has ``run`` or more consecutive words of the item.
 
-    Both tables have a ``text``; null, empty and shorter texts match nothing. Ids are BIGINT; a null id is an id like any other.
-    Repeated rows and items that share passages give each pair once. ``items`` is read through the driver block by
-    block and is meant to be far smaller than ``documents``, of which nothing reaches the driver.
+    Both tables have a ``text``; null, empty and shorter texts match nothing. Ids are BIGINT; a null id is an id like any
+    other. Repeated rows and items that share passages give each pair once. A passage of just ``run`` words is missed with
+    a chance of at most ``miss``; what is found is exact. A passage with more than ``MIXED`` words broken at line ends, of which some
+    are compounds and some are not, is read in part of the possible ways only.
     """
     spark = documents.sparkSession
-    texts = documents.select(F.col(doc_id).cast("bigint").alias("doc"), "text").where(F.length("text") >= 2 * run - 1)
-    signatures = Signatures(run, shingle, hashes)
-    results: list[DataFrame] = []
-    pending: dict[int, list[tuple]] = {}
-    ids: list[int | None] = []
-    held = 0
-
-    def search() -> None:
-        nonlocal pending, held, ids
-        block_of, known = pending, list(ids)
-        wanted = np.array(sorted(block_of), dtype=np.uint64)
-        pairs = texts.mapInArrow(_search(block_of, wanted, run, shingle, hashes), "item bigint, doc bigint")
-        names = spark.createDataFrame(list(enumerate(known)), "item bigint, name bigint")
-        results.append(pairs.join(F.broadcast(names), "item").select(F.col("name").alias(item_id), F.col("doc").alias(doc_id)))
-        pending, held, ids = {}, 0, []
-
-    for row in items.select(F.col(item_id).cast("bigint").alias("id"), "text").toLocalIterator():
-        ids.append(row["id"])
-        for sequence in readings(row["text"]):
-            if len(sequence) < run:
-                continue
-            for place, signature in enumerate(signatures.of(np.array(signatures.codes(sequence), dtype=np.uint64)).tolist()):
-                pending.setdefault(signature, []).append((len(ids) - 1, tuple(sequence[place : place + run])))
-                held += 1
-        if held >= block:
-            search()
-    if pending or not results:
-        search()
-    union = results[0]
-    for more in results[1:]:
-        union = union.unionByName(more)
-    return union.distinct()
+    texts = documents.select(F.col(doc_id).cast("bigint").alias("doc"), "text")
+    named = items.select(F.col(item_id).cast("bigint").alias("id"), "text").distinct()
+    blocks = staged(named.mapInArrow(_blocks(run, shingle, miss), "item bigint, part int, words array<string>, bands array<bigint>"), "blocks")
+    summary = blocks.agg(F.coalesce(F.sum(F.size("bands")), F.lit(0)), F.sort_array(F.collect_set("part"))).first()
+    parts = list(summary[1])
+    if summary[0] <= broadcast_rows:
+        rows = blocks.toArrow()
+        of_key: dict[int, list[int]] = defaultdict(list)
+        for block, bands in enumerate(rows.column("bands").to_pylist()):
+            for band in bands:
+                of_key[band & 0xFFFFFFFFFFFFFFFF].append(block)
+        keys = sorted(of_key)
+        if not keys:
+            return texts.select(F.lit(None).cast("bigint").alias(item_id), F.col("doc").alias(doc_id)).where("false")
+        shared = spark.sparkContext.broadcast((rows.column("item").to_pylist(), rows.column("words").to_pylist(), np.array(keys, dtype=np.uint64), [of_key[k] for k in keys]))
+        pairs = texts.mapInArrow(_verified(shared, parts, run, shingle, miss), "item bigint, doc bigint")
+    else:
+        bands = blocks.select("item", F.col("words").alias("block"), F.explode("bands").alias("band"))
+        bits = 1 << min(max(6, (16 * summary[0]).bit_length()), filter_bits.bit_length() - 1)
+        shared = spark.sparkContext.broadcast(_filter(bands, bits))
+        passing = staged(texts.mapInArrow(_passing(shared, parts, run, shingle, miss), "doc bigint, words array<string>, band bigint"), "windows")
+        grams = lambda c: F.transform(F.sequence(F.lit(1), F.size(c) - run + 1), lambda i: F.array_join(F.slice(c, i, run), " "))
+        pairs = split_hot_join(passing, bands, ["band"], how="inner").where(F.arrays_overlap(grams(F.col("words")), grams(F.col("block"))))
+    return pairs.select(F.col("item").alias(item_id), F.col("doc").alias(doc_id)).distinct()
