@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from quarryline.llm.mixing import draw, edf, mix_plan, shares, source_name, tokens
+from quarryline.llm.mixing import deviations, draw, edf, mix_plan, shares, sized, source_name, tokens
 
 
 def test_deviation_is_below_one_block():
@@ -33,8 +33,10 @@ def test_plan_and_draw(spark):
     targets = [(1, "a_x", 1.0, 2, 3000), (1, "B", 2.0, 1, 3000), (1, "gone", 0.5, 3, 3000), (2, "c", 1.0, 9, 4000), (3, None, 1.0, 1, 10), (2, "b", None, 1, 4000)]
     df = spark.createDataFrame(docs, "d bigint, source string, text string")
     of = spark.createDataFrame(targets, "mix_id bigint, source string, weight double, max_repeats int, total_tokens bigint")
-    plan = mix_plan(df, of, blocks=64)
-    rows = {(r["mix_id"], r["source"]): r for r in shares(plan).collect()}
+    sizes_of = sized(df, "d")
+    plan = mix_plan(sizes_of, of, blocks=64)
+    rows = {(r["mix_id"], r["source"]): r for r in shares(plan, draw(sizes_of, plan, "d")).collect()}
+    assert all(r["deviation"] < 1 + 1e-9 for r in deviations(plan, 64).collect())
     sizes = defaultdict(int)
     for _, s, t in docs:
         if s:
@@ -42,15 +44,31 @@ def test_plan_and_draw(spark):
     assert set(rows) == {(1, "a_x"), (1, "b"), (1, "gone"), (2, "c"), (2, "b")}
     for (m, s), share, repeats, total in (((1, "a_x"), 1 / 3.5, 2, 3000), ((1, "b"), 2 / 3.5, 1, 3000), ((1, "gone"), 0.5 / 3.5, 3, 3000), ((2, "c"), 1, 9, 4000)):
         r = rows[m, s]
-        assert r["short"] == (repeats * sizes[s] < share * total) and abs(r["drawn_tokens"] - min(share * total, repeats * sizes[s])) < 1e-6
+        assert r["short"] == (repeats * sizes[s] < share * total) and abs(r["planned_tokens"] - min(share * total, repeats * sizes[s])) < 1e-5
+    rows_of = {(r["mix_id"], r["source"]): r for r in plan.collect()}
     for bucket_rows in (100_000, 10):
-        drawn = draw(df, plan, "d", bucket_rows=bucket_rows).collect()
+        drawn = draw(sizes_of, plan, "d", bucket_rows=bucket_rows).collect()
         got = defaultdict(int)
         for r in drawn:
             got[r["mix_id"], r["source"]] += len((dict((d, t) for d, _, t in docs)[r["d"]] or "").split())
             assert 0 <= r["copy_no"] <= rows[r["mix_id"], r["source"]]["repeats"]
         assert len({(r["mix_id"], r["d"], r["copy_no"]) for r in drawn}) == len(drawn)
         for key, r in rows.items():
-            assert r["drawn_tokens"] - 1e-6 <= got[key] <= r["drawn_tokens"] + 30
-    assert mix_plan(df.limit(0), of).where("NOT short AND target_tokens > 0").collect() == []
-    assert mix_plan(df, of.limit(0)).collect() == []
+            assert r["planned_tokens"] - 1e-5 <= got[key] <= r["planned_tokens"] + 30 and got[key] == r["drawn_tokens"]
+        for r in drawn:  # a document lies in a block that was served
+            assert r["slot"] == rows_of[r["mix_id"], r["source"]]["slots"][min(r["block_no"], len(rows_of[r["mix_id"], r["source"]]["slots"]) - 1)] is not None
+    assert mix_plan(sizes_of.limit(0), of).where("NOT short AND target_tokens > 0").collect() == []
+    assert mix_plan(sizes_of, of.limit(0)).collect() == []
+
+
+def test_a_block_that_nothing_fills_leaves_its_slot():
+    left = {0: 2}
+
+    def serve(i, k, late):
+        if i == 0 and not left[0]:
+            return False
+        left[0] -= i == 0
+        return not late
+
+    slots = edf([1.0, 1.0], 8, serve)
+    assert slots[0] == [0, 2, None, None] and sorted(s for own in slots for s in own if s is not None) == sorted({0, 2, *slots[1]}) and None not in slots[1]
