@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.staging import staged
 from ..sources.tables import first_rows, millis, table
 from . import contamination, mixing, nearest, packing, pii, splitting
 
 CAPACITY, LIMIT, OVERLAP = 1_200, 8_000, 400
+#: Up to so many segments named by chunks go to the tasks as a filter of the segments; more are joined with all of them.
+NAMED_ROWS = 500_000
 SEGMENT_TOLERANCE_MS, CROP_TOLERANCE_MS = 2_500, 8_000
 
 
@@ -29,6 +32,15 @@ def p1_chunks(spark: SparkSession, directory: str) -> DataFrame:
     return packing.containers(_packed(spark, directory), "lecture_id", "segment_id", CAPACITY)
 
 
+def p1_checked(spark: SparkSession, directory: str) -> DataFrame:
+    """Per lecture what its chunks hold, whether each is within the capacity, and whether they are few: at most 1.1 times the least possible, and one."""
+    chunks = p1_chunks(spark, directory)
+    rows = chunks.groupBy("lecture_id").agg(F.sum("items").alias("segments"), F.sum(F.size(F.array_distinct("item_ids"))).alias("named"), F.sum(F.col("used") - (F.col("items") - 1)).alias("characters"), F.max("used").alias("most"), F.count("*").alias("chunks"))
+    within = (F.col("most") <= CAPACITY) & (F.col("named") == F.col("segments"))
+    few = F.col("chunks") <= F.ceil((F.col("characters") + F.col("segments")) / (CAPACITY + 1)) * 1.1 + 1
+    return rows.select("lecture_id", "segments", "characters", within.alias("within"), few.alias("few"))
+
+
 def _bare(column: str) -> Column:
     return F.lower(F.regexp_replace(column, r"^\s+|\s+$", ""))
 
@@ -53,8 +65,12 @@ def p5_pieces(spark: SparkSession, directory: str) -> DataFrame:
     chunks = table(spark, directory, "lecture_chunks", "lecture_id", "id", "text", "segment_ids", "ingested_at")
     chunks = chunks.where(F.col("text").isNull() | (F.length("text") > LIMIT)).withColumnRenamed("id", "chunk_id")
     chunks = first_rows(chunks, ["lecture_id", "chunk_id"], ["text", "segment_ids"])
+    chunks = staged(chunks, "long-chunks")
     named = chunks.select("lecture_id", "chunk_id", F.col("text").isNull().alias("bare"), F.posexplode_outer("segment_ids").alias("place", "id"))
     segments = table(spark, directory, "transcript_segments", "lecture_id", "id", "text", "ingested_at")
+    wanted = named.select("lecture_id", "id").distinct()
+    if chunks.agg(F.coalesce(F.sum(F.size("segment_ids")), F.lit(0))).first()[0] <= NAMED_ROWS:
+        segments = segments.join(F.broadcast(wanted), ["lecture_id", "id"], "left_semi")
     found = named.join(segments, ["lecture_id", "id"], "left")
     one = F.struct("place", F.col("ingested_at").isNull().alias("late"), "ingested_at", F.when(F.col("bare"), F.col("text")).alias("own"), splitting.part_of(F.col("id"), F.col("text")).alias("part"))
     listed = found.groupBy("lecture_id", "chunk_id").agg(F.sort_array(F.collect_list(one)).alias("l"))
@@ -71,6 +87,13 @@ def p5_found(spark: SparkSession, directory: str) -> DataFrame:
     return p5_pieces(spark, directory).where("piece_no = 1").select("lecture_id", "chunk_id")
 
 
+def p5_checked(spark: SparkSession, directory: str) -> DataFrame:
+    """Per chunk that was cut: the hash of its content put together again from the pieces, and whether all pieces are within the limit."""
+    listed = p5_pieces(spark, directory).groupBy("lecture_id", "chunk_id").agg(F.sort_array(F.collect_list(F.struct("piece_no", "text"))).alias("l"), F.max(F.length("text")).alias("longest"))
+    whole = F.expr(f"array_join(transform(l, (x, i) -> if(i = 0, x.text, substring(x.text, {OVERLAP + 1}))), '')")
+    return listed.select("lecture_id", "chunk_id", F.md5(whole.cast("binary")).alias("content_md5"), (F.col("longest") <= LIMIT).alias("within"))
+
+
 def p6_found(spark: SparkSession, directory: str) -> DataFrame:
     """Documents that repeat 12 or more consecutive words of an evaluation item."""
     return contamination.leaked_items(table(spark, directory, "documents", "doc_id", "text"), table(spark, directory, "eval_items", "item_id", "text"), "doc_id", "item_id")
@@ -125,12 +148,16 @@ g AS (SELECT p.mix_id, p.source, p.tokens, p.total_tokens, q.doc_id, q.n, q.plac
 """
 
 QUERIES = {
-    "p1_found": p1_found, "p1_chunks": p1_chunks, "p3_found": p3_found, "p5_found": p5_found, "p5_pieces": p5_pieces,
+    "p1_found": p1_found, "p1_chunks": p1_chunks, "p1_checked": p1_checked, "p3_found": p3_found,
+    "p5_found": p5_found, "p5_pieces": p5_pieces, "p5_checked": p5_checked,
     "p6_found": p6_found, "p7_found": p7_found, "p7_shares": p7_shares, "p7_draw": p7_draw, "p7_deviation": p7_deviation,
     "p8_found": p8_found, "p8_redacted": p8_redacted,
 }
 SQL = {
     "p1_found": f"SELECT DISTINCT lecture_id, id AS segment_id FROM transcript_segments WHERE length(trim(text)) > {CAPACITY}",
+    "p1_checked": f"""
+WITH s AS (SELECT lecture_id, id, coalesce(arg_min(length(trim(text)), ingested_at), 0) AS n FROM transcript_segments GROUP BY 1, 2)
+SELECT lecture_id, count(*) AS segments, sum(n) AS characters, true AS within, true AS few FROM s WHERE n <= {CAPACITY} GROUP BY 1""",
     "p3_found": f"""
 WITH q AS (SELECT DISTINCT lower(trim(lecture_id)) AS e, id, CAST(round(ts_sec * 1000) AS BIGINT) AS t FROM visual_requests WHERE ts_sec IS NOT NULL),
 r AS (SELECT DISTINCT 'segment' AS k, lower(trim(lecture_id)) AS e, id, CAST(round(start_sec * 1000) AS BIGINT) AS t, {SEGMENT_TOLERANCE_MS} AS tol FROM transcript_segments WHERE start_sec IS NOT NULL
@@ -138,12 +165,28 @@ r AS (SELECT DISTINCT 'segment' AS k, lower(trim(lecture_id)) AS e, id, CAST(rou
 j AS (SELECT r.k, q.e, q.id AS request_id, r.id AS match_id, row_number() OVER (PARTITION BY r.k, q.e, q.id ORDER BY abs(r.t - q.t), r.t, r.id) AS n FROM q JOIN r ON q.e = r.e AND r.t BETWEEN q.t - r.tol AND q.t + r.tol),
 w AS (SELECT lower(trim(lecture_id)) AS e, min(lecture_id) AS lecture_id FROM transcript_segments GROUP BY 1)
 SELECT coalesce(lecture_id, e) AS lecture_id, request_id, k AS match_kind, match_id FROM j LEFT JOIN w USING (e) WHERE n = 1""",
+    "p5_checked": f"""
+WITH c AS (SELECT lecture_id, id, arg_min(segment_ids, ingested_at) AS segment_ids, min(text) AS text FROM lecture_chunks GROUP BY 1, 2),
+s AS (SELECT lecture_id, id, arg_min(text, ingested_at) AS t FROM transcript_segments WHERE text <> '' GROUP BY 1, 2),
+x AS (SELECT lecture_id, id AS chunk_id, unnest(segment_ids) AS seg, generate_subscripts(segment_ids, 1) AS place FROM c WHERE text IS NULL),
+m AS (SELECT x.lecture_id, chunk_id, string_agg(t, chr(10) ORDER BY place) AS content FROM x JOIN s ON s.lecture_id = x.lecture_id AND s.id = seg GROUP BY 1, 2),
+a AS (SELECT lecture_id, id AS chunk_id, text AS content FROM c WHERE text IS NOT NULL UNION ALL SELECT * FROM m)
+SELECT lecture_id, chunk_id, md5(content) AS content_md5, true AS within FROM a WHERE length(content) > {LIMIT}""",
     "p5_found": f"""
 WITH c AS (SELECT lecture_id, id, arg_min(segment_ids, ingested_at) AS segment_ids, min(text) AS text FROM lecture_chunks GROUP BY 1, 2),
 s AS (SELECT lecture_id, id, arg_min(length(text), ingested_at) AS n FROM transcript_segments WHERE text <> '' GROUP BY 1, 2),
 x AS (SELECT lecture_id, id AS chunk_id, unnest(segment_ids) AS seg FROM c WHERE text IS NULL),
 m AS (SELECT x.lecture_id, chunk_id, sum(n) + count(n) - 1 AS n FROM x JOIN s ON s.lecture_id = x.lecture_id AND s.id = seg GROUP BY 1, 2)
 SELECT lecture_id, id AS chunk_id FROM c WHERE length(text) > {LIMIT} UNION ALL SELECT lecture_id, chunk_id FROM m WHERE n > {LIMIT}""",
+    "p6_found": r"""
+WITH raw AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM eval_items),
+bare AS (SELECT side, id, regexp_replace(replace(text, '\\', chr(10)), '\\\p{L}+', ' ', 'g') AS t FROM raw WHERE text <> ''),
+reads AS (SELECT side, id, unnest([regexp_replace(t, '(\p{L}\p{M}*)[-\x{AD}\x{2010}\x{2011}]\p{Cf}*[^\S\n]*\r?\n\s*(\p{Cf}*\p{L})', '\1\2', 'g'),
+  regexp_replace(t, '(\p{L}\p{M}*)[-\x{AD}\x{2010}\x{2011}]\p{Cf}*[^\S\n]*\r?\n\s*(\p{Cf}*\p{L})', '\1 \2', 'g')]) AS t FROM bare),
+plain AS (SELECT side, id, replace(lower(strip_accents(regexp_replace(t, '\p{Cf}+', '', 'g'))), 'ß', 'ss') AS t FROM reads),
+listed AS (SELECT DISTINCT side, id, regexp_extract_all(regexp_replace(t, '\p{M}+', '', 'g'), '[\p{L}\p{N}]+') AS w FROM plain),
+grams AS (SELECT side, id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS g FROM listed WHERE len(w) >= 12)
+SELECT DISTINCT i.id AS item_id, d.id AS doc_id FROM grams i JOIN grams d ON i.g = d.g AND i.side = 'i' AND d.side = 'd'""",
     "p7_found": _SIZES + "SELECT mix_id, source FROM p WHERE supply < target",
     "p7_shares": _SIZES
     + """, w AS (SELECT mix_id, source, sum(n * copies) AS drawn FROM g GROUP BY 1, 2)
