@@ -120,37 +120,63 @@ class Signatures:
         return [*range(0, max(1, n - size), step), *([n - size] if n > size else [])]
 
     def shingles(self, codes: np.ndarray) -> np.ndarray:
-        n = len(codes) - self.shingle + 1
-        out = np.zeros(n, np.uint64)
+        """Hashes of the shingles of a sequence of word codes; the last ``shingle - 1`` places hold none."""
+        out = np.zeros(len(codes), np.uint64)
         with np.errstate(over="ignore"):
             for j in range(self.shingle):
-                out += codes[j : j + n] * self.weights[j]
+                out[: len(codes) - j] += codes[j:] * self.weights[j]
             return (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
-    def bands(self, shingles: np.ndarray, begins: np.ndarray, wide: int, part: int) -> np.ndarray:
-        """The bands, windows by bands, of windows of ``wide`` shingles that begin at ``begins``."""
+    def bands(self, shingles: np.ndarray, begins: np.ndarray, ends: np.ndarray, part: int) -> np.ndarray:
+        """The bands, bands by windows, of windows of shingles from ``begins`` to before ``ends``."""
         _, bands, rows = self.parts[part]
-        where = begins[:, None] + np.arange(wide)[None, :]
-        keys = np.zeros((len(begins), bands), np.uint64)
+        wide = int((ends - begins).max())
+        where = np.minimum(begins[None, :] + np.arange(wide)[:, None], ends[None, :] - 1)  # repeats change no minimum
+        keys = np.zeros((bands, len(begins)), np.uint64)
         with np.errstate(over="ignore"):
+            shingles = shingles ^ (shingles >> np.uint64(31))
             for i, factor in enumerate(self.factors[part]):
-                mixed = ((shingles ^ (shingles >> np.uint64(31))) * factor) >> np.uint64(32)
-                band = keys[:, i % bands]
+                mixed = ((shingles * factor) >> np.uint64(32)).astype(np.uint32)
+                band = keys[i % bands]
                 band *= np.uint64(0x9E3779B97F4A7C15)
-                band += mixed[where].min(axis=1) + np.uint64(i % bands + 1 + (part << 16))
+                band += mixed[where].min(axis=0) + np.uint64(i % bands + 1 + (part << 16))
             keys ^= keys >> np.uint64(32)
             keys *= np.uint64(0x9E3779B97F4A7C15)
         return keys
 
-    def windows(self, sequence: list[str], parts: list[int]) -> Iterator[tuple[int, list[int], int, np.ndarray]]:
-        """For each partition: where the windows begin, their width in words, and their bands."""
-        if len(sequence) < self.run:
+    def windows(self, sequences: list[tuple[int, list[str]]], parts: list[int], step: int = 50_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Windows of (row, words) sequences, at most ``step`` at a time: which sequence, first word, and bands by windows."""
+        long = [(i, s) for i, (_, s) in enumerate(sequences) if len(s) >= self.run]
+        if not long:
             return
-        shingles = self.shingles(self.codes(sequence))
+        sizes = np.array([len(s) for _, s in long])
+        firsts = np.cumsum(sizes) - sizes
+        shingles = self.shingles(np.concatenate([self.codes(s) for _, s in long]))
         for part in parts:
-            wide = min(self.parts[part][0], len(sequence))
-            begins = self.cuts(len(sequence), self.parts[part][0])
-            yield part, begins, wide, self.bands(shingles, np.array(begins), wide - self.shingle + 1, part)
+            size = self.parts[part][0]
+            cuts = [self.cuts(int(n), size) for n in sizes]
+            which = np.repeat(np.arange(len(long)), [len(c) for c in cuts])
+            begins = np.concatenate([np.array(c) for c in cuts])
+            for at in range(0, len(begins), step):
+                of, begin = which[at : at + step], begins[at : at + step]
+                low = int(firsts[of[0]])
+                high = int(firsts[of[-1]] + sizes[of[-1]])
+                start = firsts[of] + begin - low
+                stop = start + np.minimum(sizes[of], size) - self.shingle + 1
+                yield np.array([long[i][0] for i in of]), begin, self.bands(shingles[low:high], start, stop, part)
+
+
+def _read(batch: pa.RecordBatch, words_held: int = 2_000_000) -> Iterator[list[tuple[int, list[str]]]]:
+    """The readings of the texts of a batch with their rows, about ``words_held`` words at a time."""
+    out, held = [], 0
+    for row, text in enumerate(batch.column("text").to_pylist()):
+        for sequence in readings(text):
+            out.append((row, sequence))
+            held += len(sequence)
+        if held > words_held:
+            yield out
+            out, held = [], 0
+    yield out
 
 
 def _passages(sequence: list[str], run: int) -> set[tuple]:
@@ -170,7 +196,7 @@ def _blocks(run: int, shingle: int, miss: float):
                     for begin in signatures.cuts(len(sequence), largest):
                         block = sequence[begin : begin + largest]
                         part = signatures.part_of(len(block))
-                        bands = signatures.bands(signatures.shingles(signatures.codes(block)), np.array([0]), len(block) - shingle + 1, part)[0]
+                        bands = signatures.bands(signatures.shingles(signatures.codes(block)), np.array([0]), np.array([len(block) - shingle + 1]), part)[:, 0]
                         for column, value in zip(out, (item, part, block, np.unique(bands).astype(np.int64))):
                             column.append(value)
             types = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64())]
@@ -186,23 +212,26 @@ def _verified(shared, parts: list[int], run: int, shingle: int, miss: float):
         signatures = Signatures(run, shingle, miss)
         items, texts, keys, block_of = shared.value
         exact = [None] * len(texts)
+        sieve = np.zeros(1 << max(16, (16 * len(keys)).bit_length()), bool)
+        mask = np.uint64(len(sieve) - 1)
+        sieve[(keys & mask).astype(np.int64)] = True
         for batch in batches:
-            pairs: list[tuple] = []
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                found: set[int | None] = set()
-                for sequence in readings(text):
-                    for _, begins, wide, bands in signatures.windows(sequence, parts):
-                        at = np.minimum(np.searchsorted(keys, bands), len(keys) - 1)
-                        hits = np.argwhere(keys[at] == bands)
-                        candidates = {(int(w), int(block)) for w, b in hits for block in block_of[at[w, b]]}
-                        for window, block in candidates:
-                            if items[block] not in found:
-                                if exact[block] is None:
-                                    exact[block] = _passages(texts[block], run)
-                                if exact[block] & _passages(sequence[begins[window] : begins[window] + wide], run):
-                                    found.add(items[block])
-                pairs += [(item, row) for item in found]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in pairs], pa.int64()), batch.column("doc").take(pa.array([r for _, r in pairs], pa.int32()))], names=["item", "doc"])
+            found: set[tuple[int, int | None]] = set()
+            for sequences in _read(batch):
+                for which, begins, bands in signatures.windows(sequences, parts):
+                    near = np.argwhere(sieve[(bands & mask).astype(np.int64)])
+                    values = bands[near[:, 0], near[:, 1]]
+                    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+                    candidates = {(int(w), block) for w, k in zip(near[keys[at] == values, 1], at[keys[at] == values]) for block in block_of[k]}
+                    for window, block in candidates:
+                        row, sequence = sequences[which[window]]
+                        if (row, items[block]) not in found:
+                            if exact[block] is None:
+                                exact[block] = _passages(texts[block], run)
+                            if exact[block] & _passages(sequence[begins[window] : begins[window] + signatures.parts[-1][0]], run):
+                                found.add((row, items[block]))
+            pairs = list(found)
+            yield pa.RecordBatch.from_arrays([pa.array([i for _, i in pairs], pa.int64()), batch.column("doc").take(pa.array([r for r, _ in pairs], pa.int32()))], names=["item", "doc"])
 
     return scan
 
@@ -216,13 +245,13 @@ def _passing(shared, parts: list[int], run: int, shingle: int, miss: float):
         size = np.uint64(len(table) * 64)
         for batch in batches:
             out: list[list] = [[], [], []]
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                for sequence in readings(text):
-                    for _, begins, wide, bands in signatures.windows(sequence, parts):
-                        place = bands % size
-                        for w, b in np.argwhere(table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)):
-                            for column, value in zip(out, (row, sequence[begins[w] : begins[w] + wide], bands[w, b].astype(np.int64))):
-                                column.append(value)
+            for sequences in _read(batch):
+                for which, begins, bands in signatures.windows(sequences, parts):
+                    place = bands % size
+                    for b, w in np.argwhere(table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)):
+                        row, sequence = sequences[which[w]]
+                        for column, value in zip(out, (row, sequence[begins[w] : begins[w] + signatures.parts[-1][0]], bands[b, w].astype(np.int64))):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(out[0], pa.int32())), pa.array(out[1], pa.list_(pa.string())), pa.array(out[2], pa.int64())], names=["doc", "words", "band"])
 
     return scan
