@@ -41,7 +41,7 @@ def lecture_ledger(spark: SparkSession, directory: str, cuts: tuple[str, ...] |
     if cuts is None:
         low, high = table(spark, directory, "graph_edges", "ingested_at").agg(*[F.unix_micros(f("ingested_at").cast("timestamp")) for f in (F.min, F.max)]).first()
         cuts = () if low is None or low == high else (str(spark.range(1).select(F.timestamp_micros(F.lit(low + (high - low) * 9 // 10)).cast("string")).first()[0]),)
-    ledger, bounds = OrphanLedger(spark), [None, *cuts, None]
+    ledger, bounds = OrphanLedger(spark, buckets=16), [None, *cuts, None]
     for since, until in zip(bounds, bounds[1:]):
         ledger.advance(*reference_batch(spark, directory, since, until), last=until is None)
     return ledger

@@ -1,10 +1,11 @@
 """References to records that do not exist, kept up to date as records arrive and are deleted.
 
-``OrphanLedger`` holds two keyed tables: the parent index (first and last arrival and last deletion of each key) and
-the references with their status. ``advance`` takes one batch of arrivals and touches only what the batch concerns:
-new references probe the index, arriving parents resolve waiting references, deletions reopen resolved ones;
-references whose key does not occur in the batch are carried over unread by the probe. ``snapshot`` counts per table
-and period. Batches may be cut anywhere: the result is the same as for one batch of everything.
+``OrphanLedger`` holds three keyed tables: the parent index (first and last arrival and last deletion of each key), the
+references that wait (orphans), and those that are held. ``advance`` takes one batch of arrivals: new references probe the
+index, arriving parents resolve waiting references, deletions reopen held ones. The tables lie in buckets of keys, a few
+for each entity, and a batch reads and writes only the buckets that its keys fall into, so its cost follows the entities it
+concerns, not the history. ``snapshot`` counts per table and period, ``snapshots`` keeps such counts from batch to batch. Batches may
+be cut anywhere: the result is the same as for one batch of everything.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.skew import split_hot_join
-from ..plans.staging import staged
+from ..plans.staging import Buckets, staged
 
 KEY = ["parent_table", "entity", "ref_key"]
 REF = ["ref_table", "ref_field", "record_id", *KEY]
@@ -23,6 +24,7 @@ MISSING, LATE, DELETED, HELD = "missing", "late", "deleted", "held"
 
 _INDEX = "parent_table string, entity string, ref_key string, first_at timestamp, last_at timestamp, deleted_at timestamp"
 _REFS = "ref_table string, ref_field string, record_id string, parent_table string, entity string, ref_key string, ref_at timestamp, status string"
+_COUNTS = "batch int, ref_table string, ref_field string, period timestamp, orphans bigint, missing bigint, late bigint, deleted bigint"
 
 
 def clean_key(column: Column) -> Column:
@@ -64,51 +66,79 @@ class OrphanLedger:
     """Pending-orphan state over batches. A reference is an orphan while its status is not ``held``:
 
     ``missing``: no row has the key; ``late``: the key arrived after the reference first did (it waited, and stays
-    listed as having been dangling); ``deleted``: the key was deleted and no row of it arrived after that.
+    listed as having been dangling); ``deleted``: the key was deleted and no row of it arrived after that. A null entity is an
+    entity like any other. A reference repeated in any batches counts once, from its first arrival.
+
+    An entity's keys are spread over ``spread`` of the ``buckets``; choose their number so that a bucket has a few GB.
+    Every ``snapshot_every`` batches the counts per month are kept (0: never).
     """
 
-    def __init__(self, spark: SparkSession, hot_rows: int = 500_000):
-        self.spark, self.hot_rows = spark, hot_rows
-        self.index: DataFrame | None = None
-        self.refs: DataFrame | None = None
+    def __init__(self, spark: SparkSession, hot_rows: int = 500_000, buckets: int = 64, spread: int = 4, snapshot_every: int = 0):
+        self.spark, self.hot_rows, self.buckets, self.spread, self.snapshot_every = spark, hot_rows, buckets, spread, snapshot_every
+        self.index = Buckets(spark, "parents", f"{_INDEX}, bucket int")
+        self.waiting = Buckets(spark, "waiting", f"{_REFS}, bucket int")
+        self.held = Buckets(spark, "held", f"{_REFS}, bucket int")
+        self.last: DataFrame | None = None  # the orphans of the batch that was not written
+        self.touched: set[int] = set()  # buckets of the last batch
         self.batches = 0
+        self.kept: list[DataFrame] = []
+
+    def _bucket(self) -> Column:
+        part = F.pmod(F.xxhash64("ref_key"), F.lit(self.spread))
+        return F.pmod(F.xxhash64(F.coalesce("entity", F.lit("")), part), F.lit(self.buckets)).cast("int").alias("bucket")
 
     def advance(self, new_refs: DataFrame, new_parents: DataFrame, deletions: DataFrame, last: bool = False) -> OrphanLedger:
         """Take one batch: references (`references`), parent arrivals and deletions (`arrivals`).
 
-        With ``last`` the statuses are left as a plan instead of being written.
+        With ``last`` the new state is left as a plan instead of being written, and no batch can follow.
         """
+        if self.last is not None:
+            raise RuntimeError("the last batch was taken")
         nothing = F.lit(None).cast("timestamp")
         seen = new_parents.groupBy(*KEY).agg(F.min("at").alias("first_at"), F.max("at").alias("last_at")).withColumn("deleted_at", nothing)
         dropped = deletions.groupBy(*KEY).agg(F.max("at").alias("deleted_at")).select(*KEY, nothing.alias("first_at"), nothing.alias("last_at"), "deleted_at")
-        delta = seen.unionByName(dropped)
-        merged = delta if self.index is None else self.index.unionByName(delta)
-        merged = merged.groupBy(*KEY).agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.max("deleted_at").alias("deleted_at"))
-        index = merged if last else staged(merged, "parents")
-        fresh = staged(new_refs.groupBy(*REF).agg(F.min("ref_at").alias("ref_at")), "arrived")  # read several times below
-        if self.refs is None:
-            refs = self._probe(fresh, index)
+        fresh = new_refs.groupBy(*REF).agg(F.min("ref_at").alias("ref_at"))
+        first = not self.batches
+        if first and last:
+            self.touched = set(range(self.buckets))
+            delta, fresh = seen.unionByName(dropped).withColumn("bucket", self._bucket()), fresh.withColumn("bucket", self._bucket())
+        else:
+            delta, fresh = staged(seen.unionByName(dropped).withColumn("bucket", self._bucket()), "arrived-parents"), staged(fresh.withColumn("bucket", self._bucket()), "arrived")
+            self.touched = {r[0] for r in delta.select("bucket").unionByName(fresh.select("bucket")).distinct().collect()}  # at most the number of buckets
+        known = delta if first else self.index.read(self.touched).unionByName(delta)
+        index = known.groupBy("bucket", *KEY).agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.max("deleted_at").alias("deleted_at"))
+        if not last:
+            self.index.replace(index, self.touched)
+            index = self.index.read(self.touched)
+        if first:
+            refs = counted = fresh
         else:
-            changed = staged(delta.select(*KEY).unionByName(fresh.select(*KEY)).distinct(), "changed")
-            touched = self.refs.join(changed, KEY, "left_semi").drop("status")
-            rest = self.refs.join(changed, KEY, "left_anti")
-            again = touched.unionByName(fresh).groupBy(*REF).agg(F.min("ref_at").alias("ref_at"))
-            refs = rest.unionByName(self._probe(again, index))
-        self.index, self.refs = index, refs if last else staged(refs, "references")
+            refs = self.waiting.read(self.touched).unionByName(self.held.read(self.touched)).drop("status").unionByName(fresh)
+            counted = refs.select(*KEY)
+            refs = refs.groupBy("bucket", *REF).agg(F.min("ref_at").alias("ref_at"))
+        judged = split_hot_join(refs, index.drop("bucket"), KEY, self.hot_rows, counted=counted).withColumn("status", _status())
+        judged = judged.select(*REF, "ref_at", "status", "bucket")
+        if last:
+            orphans, untouched = judged.where(F.col("status") != HELD), set(range(self.buckets)) - self.touched
+            self.last = orphans.unionByName(self.waiting.read(untouched)) if untouched & set(self.waiting.held) else orphans
+        else:
+            judged = staged(judged, "judged")
+            self.waiting.replace(judged.where(F.col("status") != HELD), self.touched)
+            self.held.replace(judged.where(F.col("status") == HELD), self.touched)
         self.batches += 1
+        if self.snapshot_every and self.batches % self.snapshot_every == 0:
+            self.kept.append(staged(self.snapshot().select(F.lit(self.batches).alias("batch"), "*"), "snapshot"))
         return self
 
-    def _probe(self, refs: DataFrame, index: DataFrame) -> DataFrame:
-        found = split_hot_join(refs, index, KEY, self.hot_rows)
-        return found.withColumn("status", _status()).select(*REF, "ref_at", "status")
-
     def orphans(self) -> DataFrame:
         """The references whose status is not ``held``."""
-        if self.refs is None:
-            return self.spark.createDataFrame([], _REFS)
-        return self.refs.where(F.col("status") != HELD)
+        return (self.waiting.read() if self.last is None else self.last).drop("bucket")
 
     def snapshot(self, period: str = "month") -> DataFrame:
         """Orphans per referring table, field and period of the reference's arrival, by status."""
         rows = self.orphans().withColumn("period", F.date_trunc(period, "ref_at"))
         return rows.groupBy("ref_table", "ref_field", "period").agg(F.count("*").alias("orphans"), *[F.count_if(F.col("status") == s).alias(s) for s in (MISSING, LATE, DELETED)])
+
+    def snapshots(self) -> DataFrame:
+        """The snapshots kept so far, with the number of the batch after which they were taken."""
+        return united(self.kept) if self.kept else self.spark.createDataFrame([], _COUNTS)

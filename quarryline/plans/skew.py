@@ -5,18 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scan import same
 
-def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = 500_000, how: str = "left") -> DataFrame:
-    """``left`` joined to ``right``, which is unique in ``keys``; result as of a plain join with null-safe keys left unmatched.
 
-    Keys with more than ``hot_rows`` left rows are few (at most rows / hot_rows). Their left rows are spread over salts,
-    and only their right rows are repeated for each salt, so no task gets more than about ``hot_rows`` rows of a key.
-    The rows of ``left`` are counted per key before anything moves; without hot keys the join stays plain.
+def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = 500_000, how: str = "left", counted: DataFrame | None = None) -> DataFrame:
+    """``left`` joined to ``right`` on equal keys, nulls equal to nulls; the columns of ``left``, then the others of ``right``.
+
+    Keys with more than ``hot_rows`` left rows, or one in 10,000 of all if that is more, are hot; there are at most 10,000.
+    Their left rows are spread over salts, and only their right rows are repeated for each salt, so no task gets more than about that many rows of a
+    key. ``counted`` is what the rows per key are counted on, if that is cheaper to read than ``left`` and has no fewer of a key.
+    Without hot keys the join stays plain.
     """
-    counts = left.groupBy(*keys).count().where(F.col("count") > hot_rows)
-    hot = counts.withColumn("_salts", F.ceil(F.col("count") / hot_rows).cast("int")).drop("count")
-    if left.count() <= hot_rows or hot.isEmpty():
-        return left.join(right, keys, how)
-    spread = left.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*left.columns), F.col("_salts"))).cast("int")).drop("_salts")
-    copies = right.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
-    return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
+    counted = left if counted is None else counted
+    rows = counted.count()
+    hot: list = []
+    if rows > hot_rows:
+        most = max(hot_rows, rows // 10_000)
+        counts = counted.groupBy(*keys).count().where(F.col("count") > most)
+        hot = counts.withColumn("_salts", F.ceil(F.col("count") / most).cast("int")).drop("count").collect()
+    others = [c for c in right.columns if c not in keys]
+    if not hot:
+        return left.join(right, same(left, right, keys), how).select(*[left[c] for c in left.columns], *[right[c] for c in others])
+    few = left.sparkSession.createDataFrame(hot, left.select(*keys, F.lit(0).alias("_salts")).schema)
+    spread = left.join(F.broadcast(few), same(left, few, keys), "left").select(*[left[c] for c in left.columns], F.coalesce("_salts", F.lit(1)).alias("_of"))
+    spread = spread.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.col("_of")).cast("int")).drop("_of")
+    copies = right.join(F.broadcast(few), same(right, few, keys), "left").select(*[right[c] for c in right.columns], F.coalesce("_salts", F.lit(1)).alias("_of"))
+    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))).drop("_of")
+    return spread.join(copies, same(spread, copies, [*keys, "_salt"]), how).select(*[spread[c] for c in left.columns], *[copies[c] for c in others])

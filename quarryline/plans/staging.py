@@ -10,7 +10,11 @@ import atexit
 import tempfile
 import uuid
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -36,6 +40,38 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Buckets:
+    """A table in buckets, of which a write replaces only those it names.
+
+    Every write goes to a folder of its own; which folder holds a bucket's rows now is kept here, at most a path per bucket.
+    Rows have an INT ``bucket``. Large buckets are written by several tasks.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, schema: str):
+        self.spark, self.name, self.schema = spark, name, StructType.fromDDL(schema)
+        self.held: dict[int, str] = {}
+
+    def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
+        """The rows of some buckets, or of all."""
+        paths = [self.held[b] for b in sorted(self.held if buckets is None else set(buckets) & set(self.held))]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def replace(self, rows: DataFrame, buckets: Iterable[int]) -> None:
+        """The named buckets now hold ``rows``; all others stay."""
+        path = f"{shared_folder(self.spark)}/{self.name}-{uuid.uuid4().hex}"
+        rows.hint("rebalance", "bucket").withColumn("in", F.col("bucket")).write.partitionBy("in").parquet(path)
+        _written.append((self.spark, path))
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        listed = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+        made = {int(n[3:]) for n in (f.getPath().getName() for f in listed) if n.startswith("in=")}
+        for b in buckets:
+            self.held.pop(b, None)
+        self.held |= {b: f"{path}/in={b}" for b in made}
+
+
 @atexit.register
 def _drop() -> None:
     for spark, path in _written:

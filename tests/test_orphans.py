@@ -79,6 +79,30 @@ def test_late_deleted_and_back(spark):
 def test_hot_keys_are_split_and_lose_nothing(spark):
     left = spark.range(900).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"), F.col("id").alias("v"))
     left = left.unionByName(spark.createDataFrame([(None, -1)], "k string, v bigint"))
-    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, w int")
-    plain = sorted(map(str, left.join(right, ["k"], "left").select("k", "v", "w").collect()))
+    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), (None, 4)], "k string, w int")
+    plain = sorted(map(str, left.join(right, left["k"].eqNullSafe(right["k"]), "left").select(left["k"], "v", "w").collect()))
     assert sorted(map(str, split_hot_join(left, right, ["k"], 50).select("k", "v", "w").collect())) == plain
+
+
+def test_null_entities_and_repeats_over_batches(spark):
+    refs = [(None, "a", ["x", "q"], 10), (None, "a", ["x", "q"], 200), ("e", "b", ["y"], 10), ("e", "b", ["y"], 250)]
+    parents = [(None, "q", 5), ("e", "y", 300)]
+    ledger = OrphanLedger(spark, buckets=8, snapshot_every=1)
+    for low, high in ((0, 100), (100, 220), (220, 10**9)):
+        ledger.advance(*batch(spark, refs, parents, [], low, high))
+    assert collect(ledger) == {(None, "a", "x", "missing"), ("e", "b", "y", "late")} == brute(refs, parents, [])
+    assert [(r["batch"], r["orphans"], r["late"]) for r in ledger.snapshots().orderBy("batch").collect()] == [(1, 2, 0), (2, 2, 0), (3, 2, 1)]
+
+
+def test_a_batch_costs_what_it_concerns(spark):
+    """The tenth batch touches as few buckets, and rewrites as few rows, as the second."""
+    ledger, cost = OrphanLedger(spark, buckets=256), []
+    for n in range(10):
+        refs = [(f"e{n}", f"r{i}", [f"k{i % 7}", "gone"], n) for i in range(40)]
+        parents = [(f"e{n}", f"k{i}", n) for i in range(7)]
+        before = dict(ledger.held.held)
+        ledger.advance(*batch(spark, refs, parents, []))
+        changed = {b for b, path in ledger.held.held.items() if before.get(b) != path}
+        assert changed <= ledger.touched and len(ledger.touched) <= ledger.spread
+        cost.append(ledger.held.read(changed).count())
+    assert max(cost[1:]) <= 2 * cost[1] and ledger.orphans().count() == 400
