@@ -6,8 +6,8 @@ merges the lists, and lists and complements are read off at the end.
 
 A list is kept per entity and *block* of time, an interval belonging to the block its start falls into. A block of
 ``block_ms`` holds at most that many disjoint intervals, however many rows the entity has, so no state grows with the
-data. What reaches from one block into later ones is one number, the latest end so far, carried by a running maximum
-over the occupied blocks of the entity (8,766 a year for blocks of an hour).
+data. What reaches from one block into later ones is one number, the latest end so far. It is carried in two steps: by a
+window over the blocks of one *stretch* (``STRETCH`` blocks), and by a window over the stretches' own ends, a number each.
 """
 
 from __future__ import annotations
@@ -19,7 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOUR_MS = 3_600_000
+from ..plans.scan import null_safe_join
+from ..plans.staging import staged
+
+HOUR_MS, STRETCH = 3_600_000, 256
 _LISTS = "start_ms array<bigint>, end_ms array<bigint>"
 
 
@@ -126,7 +129,7 @@ def _merge(keys: list[str]):
     return run
 
 
-def interval_lists(df: DataFrame, keys: list[str], start: str, end: str, block_ms: int = HOUR_MS, fan_in: int = 256, task_rows: int = 131_072) -> DataFrame:
+def interval_lists(df: DataFrame, keys: list[str], start: str, end: str, block_ms: int = HOUR_MS, fan_in: int = 16, task_rows: int = 131_072) -> DataFrame:
     """The merged aggregate: ``keys, block, start_ms, end_ms`` with sorted lists of disjoint intervals.
 
     ``start`` and ``end`` are BIGINT milliseconds. Rows with a null time or ``end <= start`` cover nothing. Null keys are
@@ -147,16 +150,19 @@ def interval_lists(df: DataFrame, keys: list[str], start: str, end: str, block_m
 
 
 def _openings(lists: DataFrame, keys: list[str]) -> DataFrame:
-    """Per block: ``opens``, the intervals that no earlier one reaches, each with the end of the coverage before it."""
-    by = [F.col(k) for k in keys]
-    before = Window.partitionBy(*by).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = lists.withColumn("last_end", F.element_at("end_ms", -1)).withColumn("carry", F.max("last_end").over(before))
+    """Per block: ``opens``, the intervals that no earlier one reaches, each with the end of the coverage before it; ``last_end``; ``stretch``."""
+    lists = staged(lists.withColumn("stretch", F.floor(F.col("block") / STRETCH)).withColumn("last_end", F.element_at("end_ms", -1)), "lists")
+    before = lambda *of: Window.partitionBy(*of).rowsBetween(Window.unboundedPreceding, -1)
+    ends = lists.groupBy(*keys, "stretch").agg(F.max("last_end").alias("reach"))
+    ends = ends.withColumn("reach", F.max("reach").over(before(*keys).orderBy("stretch")))
+    carried = null_safe_join(lists, ends, [*keys, "stretch"])
+    carried = carried.withColumn("carry", F.greatest("reach", F.max("last_end").over(before(*keys, "stretch").orderBy("block"))))
     opens = F.expr(
         """filter(transform(start_ms, (s, i) -> struct(s AS start_ms,
              if(i = 0, carry, greatest(carry, end_ms[greatest(i - 1, 0)])) AS before_ms)),
            x -> x.before_ms IS NULL OR x.start_ms > x.before_ms)"""
     )
-    return carried.select(*by, "block", "last_end", opens.alias("opens"))
+    return carried.select(*keys, "stretch", "block", "last_end", opens.alias("opens"))
 
 
 def gaps(df: DataFrame, keys: list[str], start: str, end: str, **options: int) -> DataFrame:
@@ -167,14 +173,20 @@ def gaps(df: DataFrame, keys: list[str], start: str, end: str, **options: int) -
 
 
 def covered_periods(df: DataFrame, keys: list[str], start: str, end: str, **options: int) -> DataFrame:
-    """``keys, period_start_ms, period_end_ms``: the continuous covered periods of each entity."""
-    opens = _openings(interval_lists(df, keys, start, end, **options), keys)
-    by = [F.col(k) for k in keys]
-    later = Window.partitionBy(*by).orderBy("block").rowsBetween(1, Window.unboundedFollowing)
-    whole = Window.partitionBy(*by)
-    closed = opens.withColumn("next_before", F.first(F.expr("try_element_at(opens, 1).before_ms"), ignorenulls=True).over(later)).withColumn("total_end", F.max("last_end").over(whole))
+    """``keys, period_start_ms, period_end_ms``: the continuous covered periods of each entity.
+
+    A period ends where the coverage before the next opening does, or at the entity's last end.
+    """
+    opens = staged(_openings(interval_lists(df, keys, start, end, **options), keys), "openings").withColumn("next_of", F.expr("try_element_at(opens, 1).before_ms"))
+    after = lambda *of: Window.partitionBy(*of).rowsBetween(1, Window.unboundedFollowing)
+    stretches = opens.groupBy(*keys, "stretch").agg(F.min("next_of").alias("next_of"), F.max("last_end").alias("last_end"))
+    # Ends before openings grow with time, so the first is the least.
+    later = F.min("next_of").over(after(*keys).orderBy("stretch"))
+    stretches = stretches.select(*keys, "stretch", F.coalesce(later, F.max("last_end").over(Window.partitionBy(*keys))).alias("beyond"))
+    closed = null_safe_join(opens, stretches, [*keys, "stretch"])
+    closed = closed.withColumn("next_before", F.coalesce(F.min("next_of").over(after(*keys, "stretch").orderBy("block")), "beyond"))
     periods = F.expr(
         """transform(opens, (o, i) -> struct(o.start_ms AS period_start_ms,
-             if(i + 1 < size(opens), opens[least(i + 1, size(opens) - 1)].before_ms, coalesce(next_before, total_end)) AS period_end_ms))"""
+             if(i + 1 < size(opens), opens[least(i + 1, size(opens) - 1)].before_ms, next_before) AS period_end_ms))"""
     )
-    return closed.select(*by, F.explode(periods).alias("p")).select(*keys, "p.*")
+    return closed.select(*keys, F.explode(periods).alias("p")).select(*keys, "p.*")

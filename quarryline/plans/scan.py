@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 HOUR_MS = 3_600_000
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality of the keys of two frames."""
-    condition = left[keys[0]].eqNullSafe(right[keys[0]])
-    for k in keys[1:]:
-        condition &= left[k].eqNullSafe(right[k])
-    return condition
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined to ``right`` on equal keys, nulls equal to nulls: the columns of ``left``, then the others of ``right``.
+
+    ``how`` is inner, left, left_semi or left_anti. No other column may be in both.
+    """
+    renamed = right.select(*[F.col(k).alias(f"_right_{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on &= F.col(k).eqNullSafe(F.col(f"_right_{i}"))
+    return left.join(renamed, on, how).drop(*[f"_right_{i}" for i in range(len(keys))])
 
 
 def with_position(df: DataFrame, keys: list[str], time_ms: str, ties: list[str], block_ms: int = HOUR_MS, name: str = "pos") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import same
+from .scan import null_safe_join
 
 
 def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = 500_000, how: str = "left", counted: DataFrame | None = None) -> DataFrame:
@@ -23,12 +23,10 @@ def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows:
         most = max(hot_rows, rows // 10_000)
         counts = counted.groupBy(*keys).count().where(F.col("count") > most)
         hot = counts.withColumn("_salts", F.ceil(F.col("count") / most).cast("int")).drop("count").collect()
-    others = [c for c in right.columns if c not in keys]
     if not hot:
-        return left.join(right, same(left, right, keys), how).select(*[left[c] for c in left.columns], *[right[c] for c in others])
-    few = left.sparkSession.createDataFrame(hot, left.select(*keys, F.lit(0).alias("_salts")).schema)
-    spread = left.join(F.broadcast(few), same(left, few, keys), "left").select(*[left[c] for c in left.columns], F.coalesce("_salts", F.lit(1)).alias("_of"))
-    spread = spread.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.col("_of")).cast("int")).drop("_of")
-    copies = right.join(F.broadcast(few), same(right, few, keys), "left").select(*[right[c] for c in right.columns], F.coalesce("_salts", F.lit(1)).alias("_of"))
-    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))).drop("_of")
-    return spread.join(copies, same(spread, copies, [*keys, "_salt"]), how).select(*[spread[c] for c in left.columns], *[copies[c] for c in others])
+        return null_safe_join(left, right, keys, how)
+    few = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(*keys, F.lit(0).alias("_salts")).schema))
+    salts = F.coalesce("_salts", F.lit(1))
+    spread = null_safe_join(left, few, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), salts).cast("int")).drop("_salts")
+    copies = null_safe_join(right, few, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return null_safe_join(spread, copies, [*keys, "_salt"], how).drop("_salt")
