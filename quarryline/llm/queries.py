@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.scan import null_safe_join
 from ..plans.staging import staged
 from ..sources.tables import first_rows, millis, table
 from . import contamination, mixing, nearest, packing, pii, splitting
 
 CAPACITY, LIMIT, OVERLAP = 1_200, 8_000, 400
-#: Up to so many segments named by chunks go to the tasks as a filter of the segments; more are joined with all of them.
+#: Up to so many segments named by chunks without a text go to the tasks as a filter of the segments; more are joined with all of them.
 NAMED_ROWS = 500_000
 SEGMENT_TOLERANCE_MS, CROP_TOLERANCE_MS = 2_500, 8_000
 
@@ -66,19 +67,24 @@ def p5_pieces(spark: SparkSession, directory: str) -> DataFrame:
     chunks = chunks.where(F.col("text").isNull() | (F.length("text") > LIMIT)).withColumnRenamed("id", "chunk_id")
     chunks = first_rows(chunks, ["lecture_id", "chunk_id"], ["text", "segment_ids"])
     chunks = staged(chunks, "long-chunks")
-    named = chunks.select("lecture_id", "chunk_id", F.col("text").isNull().alias("bare"), F.posexplode_outer("segment_ids").alias("place", "id"))
+    keys = ["lecture_id", "chunk_id"]
+    named = chunks.select(*keys, F.posexplode_outer("segment_ids").alias("place", "id"))
     segments = table(spark, directory, "transcript_segments", "lecture_id", "id", "text", "ingested_at")
-    wanted = named.select("lecture_id", "id").distinct()
-    if chunks.agg(F.coalesce(F.sum(F.size("segment_ids")), F.lit(0))).first()[0] <= NAMED_ROWS:
-        segments = segments.join(F.broadcast(wanted), ["lecture_id", "id"], "left_semi")
-    found = named.join(segments, ["lecture_id", "id"], "left")
-    one = F.struct("place", F.col("ingested_at").isNull().alias("late"), "ingested_at", F.when(F.col("bare"), F.col("text")).alias("own"), splitting.part_of(F.col("id"), F.col("text")).alias("part"))
-    listed = found.groupBy("lecture_id", "chunk_id").agg(F.sort_array(F.collect_list(one)).alias("l"))
-    # A segment delivered twice counts as it first arrived.
-    listed = listed.select(F.col("lecture_id").alias("of_lecture"), F.col("chunk_id").alias("of_chunk"), F.expr("filter(l, (x, i) -> i = 0 OR x.place <> l[greatest(i - 1, 0)].place)").alias("l"))
-    joined = chunks.join(listed, F.col("lecture_id").eqNullSafe(F.col("of_lecture")) & F.col("chunk_id").eqNullSafe(F.col("of_chunk")), "left")
-    content = F.coalesce("text", F.array_join(F.filter(F.transform("l", lambda x: x["own"]), lambda t: t != ""), "\n"))
-    texts = joined.select("lecture_id", "chunk_id", content.alias("text"), F.transform("l", lambda x: x["part"]).alias("parts"))
+
+    def listed(names: DataFrame, of: DataFrame, value: Column) -> DataFrame:
+        """Per chunk the values of its segments in order; a segment delivered twice counts as it first arrived."""
+        one = F.struct("place", F.col("ingested_at").isNull().alias("late"), "ingested_at", value.alias("v"))
+        rows = names.join(of, ["lecture_id", "id"], "left").groupBy(*keys).agg(F.sort_array(F.collect_list(one)).alias("l"))
+        return rows.select(*keys, F.expr("transform(filter(l, (x, i) -> i = 0 OR x.place <> l[greatest(i - 1, 0)].place), x -> x.v)").alias("v"))
+
+    # Of most segments only the length and hash are moved; texts go only to the chunks that have none of their own.
+    parts = listed(named, segments.withColumn("part", splitting.part_of(F.col("id"), F.col("text"))).drop("text"), F.struct(F.coalesce("part.id", "id").alias("id"), F.coalesce("part.size", F.lit(0)).alias("size"), F.coalesce("part.hash", F.lit(0).cast("bigint")).alias("hash")))
+    bare = chunks.where("text IS NULL").select(*keys, F.posexplode("segment_ids").alias("place", "id"))
+    if bare.count() <= NAMED_ROWS:
+        segments = segments.join(F.broadcast(bare.select("lecture_id", "id").distinct()), ["lecture_id", "id"], "left_semi")
+    own = listed(bare, segments, F.col("text")).withColumn("own", F.array_join(F.filter("v", lambda t: t != ""), "\n")).drop("v")
+    rows = null_safe_join(null_safe_join(chunks, parts.withColumnRenamed("v", "parts"), keys, "left"), own, keys, "left")
+    texts = rows.select(*keys, F.coalesce("text", "own").alias("text"), "parts")
     return splitting.split_oversized(texts, ["lecture_id", "chunk_id"], LIMIT, OVERLAP)
 
 
