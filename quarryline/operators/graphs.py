@@ -4,29 +4,52 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.fixpoint import NotConverged, components, reach
 from ..plans.grouped import fold_groups
+from ..plans.scan import null_safe_join, united
 from ..plans.staging import staged
 
-#: Relations whose source depends on their target, and the other way round.
-FORWARD = ("supported_by", "uses", "uses_result", "follows_from", "derived_from", "based_on", "about", "refines", "specialization_of")
+#: Relations whose source depends on their target, those that say so only of sources of some kinds, and those that say the reverse.
+FORWARD = ("supported_by", "follows_from", "derived_from", "based_on", "about", "refines", "specialization_of")
+GUARDED, USERS = ("uses", "uses_result"), ("proof", "proof_step", "equation", "claim")
 BACKWARD = ("leads_to",)
-#: How strongly a relation passes a topic on.
-TOPIC_WEIGHTS = {"refines": 3.0, "about": 3.0, "supports": 2.0, "supported_by": 2.0, "uses": 1.5, "leads_to": 1.5}
+#: How strongly a relation passes a topic on; the others that pass it weigh 1.
+TOPIC_WEIGHTS = {"refines": 3.0, "about": 3.0, "proved_by": 2.5, "has_proof_step": 2.5, "supports": 2.0, "supported_by": 2.0, "uses": 1.5, "leads_to": 1.5}
+TOPIC_RELATIONS = ("follows_from", "derived_from", "based_on", "specializes", "specialization_of", "defined_on", "concerns", "yields", "introduces", "denotes_convergence_in", "proof_step_of", "uses_result", "belongs_to_topic", "reused_in")
+#: Relations from a topic to its member, and from a member to its topic.
+HOLDS, HELD_BY = ("contains", "contains_node", "has_part"), ("part_of", "in_section", "in_topic", "belongs_to_topic")
+
+
+def _relation() -> Column:
+    return F.lower(F.trim("relation"))
 
 
 def dependency_pairs(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, src, dst``: src depends on dst, by ``derived_from`` of the nodes or by the relation of an edge; both ends exist."""
+    """``keys, src, dst``: src depends on dst, by ``derived_from`` of the nodes or by the relation of an edge; both ends exist.
+
+    ``nodes`` has ``id, kind, derived_from``. An edge of ``GUARDED`` counts only if its source is of one of the kinds ``USERS``. Null keys are keys like others.
+    """
     own = nodes.select(*keys, F.col("id").alias("src"), F.explode(F.array_distinct("derived_from")).alias("dst")).withColumn("dst", F.trim("dst"))
-    relation = F.lower(F.trim("relation"))
-    along = edges.where(relation.isin(*FORWARD)).select(*keys, "src", "dst")
-    against = edges.where(relation.isin(*BACKWARD)).select(*keys, F.col("dst").alias("src"), F.col("src").alias("dst"))
+    along = edges.where(_relation().isin(*FORWARD)).select(*keys, "src", "dst")
+    users = nodes.where(F.lower(F.trim("kind")).isin(*USERS)).select(*keys, F.col("id").alias("src"))
+    using = null_safe_join(edges.where(_relation().isin(*GUARDED)).select(*keys, "src", "dst"), users, [*keys, "src"], "left_semi")
+    against = edges.where(_relation().isin(*BACKWARD)).select(*keys, F.col("dst").alias("src"), F.col("src").alias("dst"))
     ids = nodes.select(*keys, "id")
-    pairs = own.unionByName(along).unionByName(against).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
-    return pairs.join(ids.withColumnRenamed("id", "src"), [*keys, "src"], "left_semi").join(ids.withColumnRenamed("id", "dst"), [*keys, "dst"], "left_semi").select(*keys, "src", "dst")
+    pairs = united([own, along, using, against]).where("src IS NOT NULL AND dst IS NOT NULL").distinct()
+    for end in ("src", "dst"):
+        pairs = null_safe_join(pairs, ids.withColumnRenamed("id", end), [*keys, end], "left_semi")
+    return pairs.select(*keys, "src", "dst")
+
+
+def explicit_members(nodes: DataFrame, edges: DataFrame, topics: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, node, topic``: what edges say of topics (``topic``) and their members among ``nodes`` (``id``), in either direction."""
+    down = edges.where(_relation().isin(*HOLDS)).select(*keys, F.col("src").alias("topic"), F.col("dst").alias("node"))
+    up = edges.where(_relation().isin(*HELD_BY)).select(*keys, F.col("dst").alias("topic"), F.col("src").alias("node"))
+    said = null_safe_join(down.unionByName(up).distinct(), topics.select(*keys, "topic"), [*keys, "topic"], "left_semi")
+    return null_safe_join(said, nodes.select(*keys, F.col("id").alias("node")), [*keys, "node"], "left_semi").select(*keys, "node", "topic")
 
 
 def propagate(bad: DataFrame, open_: DataFrame, depends: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,18 +76,21 @@ def chain_components(nodes: DataFrame, edges: DataFrame, keys: list[str], relati
     return components(chosen, lines.select(*keys, "src", "dst"), keys)
 
 
-def spread_topics(members: DataFrame, nodes: DataFrame, edges: DataFrame, keys: list[str], rounds: int = 8, least: float = 1.5) -> DataFrame:
+def spread_topics(members: DataFrame, nodes: DataFrame, edges: DataFrame, keys: list[str], topics: DataFrame | None = None, rounds: int = 8, least: float = 1.5) -> DataFrame:
     """``keys, node, topic, round``: the given memberships (round 0), then at most ``rounds`` rounds of votes.
 
-    In a round every node without a topic takes the one its neighbours give the most weight, if that is at least
-    ``least`` and there is no tie. Rounds are synchronous: votes count from the next round on, so the result does
-    not depend on the order of nodes.
+    In a round every node without a topic, itself no topic, takes the one its neighbours give the most weight, if that is at
+    least ``least`` and there is no tie. Edges count that run between ``nodes`` by a relation that passes topics, each as often as it is
+    given. Rounds are synchronous: votes count from the next round on, so the result does not depend on the order of nodes.
     """
-    relation = F.lower(F.trim("relation"))
-    weight = F.coalesce(*[F.when(relation == r, F.lit(w)) for r, w in TOPIC_WEIGHTS.items()])
+    weight = F.coalesce(*[F.when(_relation() == r, F.lit(w)) for r, w in TOPIC_WEIGHTS.items()], F.when(_relation().isin(*TOPIC_RELATIONS), F.lit(1.0)))
     lines = edges.withColumn("w", weight).where("w IS NOT NULL").select(*keys, "src", "dst", "w")
+    for end in ("src", "dst"):
+        lines = lines.join(nodes.select(*keys, F.col("id").alias(end)), [*keys, end], "left_semi")
     lines = staged(lines.unionByName(lines.select(*keys, F.col("dst").alias("src"), F.col("src").alias("dst"), "w")), "topics")
     ids = nodes.select(*keys, F.col("id").alias("node"))
+    if topics is not None:
+        ids = ids.join(topics.select(*keys, F.col("topic").alias("node")), [*keys, "node"], "left_anti")
     known = staged(members.select(*keys, "node", "topic").distinct().withColumn("round", F.lit(0)), "topics")
     for number in range(1, rounds + 1):
         votes = known.withColumnRenamed("node", "src").join(lines, [*keys, "src"]).groupBy(*keys, F.col("dst").alias("node"), "topic").agg(F.sum("w").alias("w"))

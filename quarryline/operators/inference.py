@@ -8,33 +8,33 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.scan import shifted, with_position
+from ..plans.scan import null_safe_join, shifted, with_position
+from ..plans.staging import staged
 
 
 def sparse_edges(df: DataFrame, keys: list[str], symbols: Column, span: int, gap_ms: int, symbol_gap_ms: int, per_left: int = 2, block_ms: int = 600_000) -> DataFrame:
     """``keys, left_id, right_id, reason``: links of each record to the next ``span`` records at most ``gap_ms`` later, and to the
     ``per_left`` later ones within ``symbol_gap_ms`` that share its rarest symbols.
 
-    ``df`` has ``id, s, e``. A symbol counts if at most a third of the entity's records, or four, have it. Shared symbols
+    ``df`` has ``id, s, e``; null keys form an entity, rows with a null ``s`` link to nothing later. A symbol counts if at most a third of the entity's records, or four, have it. Shared symbols
     are found by a join on symbol and block of time, so a frequent symbol never pairs all its records.
     """
-    placed = with_position(df.select(*keys, "id", "s", "e", symbols.alias("symbols")), keys, "s", ["e", "id"])
+    placed = staged(with_position(df.select(*keys, "id", "s", "e", symbols.alias("symbols")), keys, "s", ["e", "id"]), "placed")
     near = None
     for by in range(1, span + 1):
-        step = shifted(placed.select(*keys, "pos", "id", "e"), keys, "pos", ["id"], -by, "r_")
-        step = step.join(placed.select(*keys, F.col("id").alias("r_id"), F.col("s").alias("rs")), [*keys, "r_id"])
-        step = step.where(F.greatest(F.lit(0), F.col("rs") - F.col("e")) <= gap_ms).select(*keys, F.col("id").alias("left_id"), F.col("r_id").alias("right_id"), F.lit("temporal").alias("reason"))
+        step = shifted(placed, keys, "pos", ["id", "s"], -by, "r_").where("r_s IS NOT NULL")
+        step = step.where(F.greatest(F.lit(0), F.col("r_s") - F.col("e")) <= gap_ms).select(*keys, F.col("id").alias("left_id"), F.col("r_id").alias("right_id"), F.lit("temporal").alias("reason"))
         near = step if near is None else near.unionByName(step)
     each = placed.select(*keys, "id", "pos", "s", "e", F.explode("symbols").alias("symbol"))
     count = each.groupBy(*keys, "symbol").agg(F.count("*").alias("df"))
     total = placed.groupBy(*keys).agg(F.count("*").alias("n"))
-    rare = count.join(total, keys).where(F.col("df") <= F.greatest(F.lit(4), F.floor(F.col("n") / 3))).select(*keys, "symbol", "df")
-    each = each.join(rare, [*keys, "symbol"])
+    rare = null_safe_join(count, total, keys).where(F.col("df") <= F.greatest(F.lit(4), F.floor(F.col("n") / 3))).select(*keys, "symbol", "df")
+    each = null_safe_join(each, rare, [*keys, "symbol"])
     block = lambda c: F.floor(c / block_ms)
     left = each.withColumn("b", F.explode(F.sequence(block(F.col("s")), block(F.greatest("s", "e") + symbol_gap_ms))))
     right = each.select(*keys, "symbol", block(F.col("s")).alias("b"), F.col("id").alias("r_id"), F.col("pos").alias("r_pos"), F.col("s").alias("rs"))
     gap = F.greatest(F.lit(0), F.col("rs") - F.col("e"))
-    pairs = left.join(right, [*keys, "symbol", "b"]).where((F.col("r_pos") > F.col("pos")) & (gap <= symbol_gap_ms))
+    pairs = null_safe_join(left, right, [*keys, "symbol", "b"]).where((F.col("r_pos") > F.col("pos")) & (gap <= symbol_gap_ms))
     scored = pairs.groupBy(*keys, "id", "r_id", "r_pos").agg(F.sum(F.round(1e6 / F.col("df")).cast("bigint")).alias("rarity"), F.min(gap).alias("gap"))
     best = scored.groupBy(*keys, "id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("rarity")).alias("a"), "gap", "r_pos", "r_id"))), 1, per_left).alias("best"))
     shared = best.select(*keys, F.col("id").alias("left_id"), F.explode("best").alias("x")).select(*keys, "left_id", F.col("x.r_id").alias("right_id"), F.lit("shared_symbol").alias("reason"))

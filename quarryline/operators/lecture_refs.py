@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.scan import united
 from ..sources.tables import table
-from .orphans import OrphanLedger, arrivals, clean_key, references, united
+from .orphans import OrphanLedger, arrivals, clean_key, references
 
 #: referring table, column, record, parent table
 LINKS = (

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.grouped import fold_groups
-from ..plans.scan import running, shifted, with_position
+from ..plans.scan import null_safe_join, running, shifted, with_position
+from ..plans.staging import staged
 
 
 def gap_sessions(df: DataFrame, keys: list[str], start: str, end: str, ties: list[str], gap_ms: int, name: str = "session") -> DataFrame:
@@ -25,8 +26,7 @@ def gap_sessions(df: DataFrame, keys: list[str], start: str, end: str, ties: lis
 def count_batches(df: DataFrame, keys: list[str], time: str, ties: list[str], size: int, stride: int) -> DataFrame:
     """Rows repeated for each batch they belong to: ``batch`` b has ``size`` rows from place ``b * stride``, until one reaches the end."""
     placed = with_position(df, keys, time, ties, name="_pos")
-    n = placed.groupBy(*keys).agg(F.count("*").alias("_n"))
-    rows = placed.join(n, keys)
+    rows = null_safe_join(placed, df.groupBy(*keys).agg(F.count("*").alias("_n")), keys)
     last = F.greatest(F.lit(0), F.ceil((F.col("_n") - size) / stride)).cast("bigint")
     first = F.greatest(F.lit(0), F.floor((F.col("_pos") - size) / stride) + 1).cast("bigint")
     rows = rows.withColumn("_to", F.least(last, F.floor(F.col("_pos") / stride).cast("bigint"))).withColumn("_from", first)
@@ -45,8 +45,8 @@ def fold_islands(df: DataFrame, keys: list[str], start: str, end: str, ties: lis
     A fold whose step never looks across ``cut_ms`` without rows gives the same on stretches between such gaps, so
     the tasks get stretches, not entities. ``fold`` gets the rows of one stretch in order, and whether it is the last.
     """
-    split = gap_sessions(df, keys, start, end, ties, cut_ms, "_stretch")
-    split = split.join(split.groupBy(*keys).agg(F.max("_stretch").alias("_end")), keys)
+    split = staged(gap_sessions(df, keys, start, end, ties, cut_ms, "_stretch"), "stretches")
+    split = null_safe_join(split, split.groupBy(*keys).agg(F.max("_stretch").alias("_end")), keys)
     return fold_groups(split, [*keys, "_stretch"], [start, *ties], lambda rows: fold(rows, rows[0]["_stretch"] == rows[0]["_end"]), schema)
 
 
@@ -74,11 +74,12 @@ def overlapping_windows(starts: list[int], ends: list[int], target: int, overlap
 
 def word_sessions(starts: Iterable[int], ends: Iterable[int], closes: Iterable[bool], gap: int, target: int) -> list[int]:
     """Session number per row: a new one after a gap of at least ``gap``, when the session has lasted ``target`` and the row
-    before closes a sentence, or when it would exceed 1.5 times the target."""
+    before closes a sentence, and after the row with which it has lasted 1.5 times the target."""
     out: list[int] = []
     number, opened, before, closed = -1, 0, None, False
     for s, e, c in zip(starts, ends, closes):
-        if before is None or s - before >= gap or (before - opened >= target and closed) or e - opened > 1.5 * target:
+        lasted = None if before is None else before - opened
+        if lasted is None or s - before >= gap or lasted >= target and closed or 2 * lasted >= 3 * target:
             number, opened = number + 1, s
         out.append(number)
         before, closed = e, c

@@ -10,11 +10,10 @@ be cut anywhere: the result is the same as for one batch of everything.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.scan import united
 from ..plans.skew import split_hot_join
 from ..plans.staging import Buckets, staged
 
@@ -50,13 +49,6 @@ def arrivals(df: DataFrame, parent_table: str, entity: str, key: str, arrival: s
     return df.select(F.lit(parent_table).alias("parent_table"), F.col(entity).alias("entity"), clean_key(F.col(key)).alias("ref_key"), F.col(arrival).cast("timestamp").alias("at")).where("ref_key IS NOT NULL")
 
 
-def united(frames: Iterable[DataFrame]) -> DataFrame:
-    first, *rest = frames
-    for df in rest:
-        first = first.unionByName(df)
-    return first
-
-
 def _status() -> Column:
     gone = F.col("deleted_at").isNotNull() & (F.col("last_at").isNull() | (F.col("last_at") <= F.col("deleted_at")))
     return F.when(F.col("first_at").isNull(), MISSING).when(F.col("first_at") > F.col("ref_at"), LATE).when(gone, DELETED).otherwise(HELD)

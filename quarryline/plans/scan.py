@@ -7,12 +7,22 @@ number of rows, so an entity of any size is spread over as many tasks as it need
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOUR_MS = 3_600_000
 
 
+def united(frames: Iterable[DataFrame]) -> DataFrame:
+    """The rows of all frames, by name of column."""
+    first, *rest = frames
+    for df in rest:
+        first = first.unionByName(df)
+    return first
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``left`` joined to ``right`` on equal keys, nulls equal to nulls: the columns of ``left``, then the others of ``right``.
 

@@ -47,9 +47,7 @@ def topic_votes(spark: SparkSession, directory: str) -> DataFrame:
     """Topics of nodes: by the topic that contains them, else by up to eight rounds of weighted votes of neighbours."""
     n, e = base.nodes(spark, directory), base.edges(spark, directory)
     topics = n.where("kind = 'topic'").select("lecture_id", F.col("id").alias("topic"))
-    said = e.where("relation = 'contains'").select("lecture_id", F.col("src").alias("topic"), F.col("dst").alias("node")).unionByName(e.where("relation = 'part_of'").select("lecture_id", F.col("dst").alias("topic"), F.col("src").alias("node")))
-    members = said.join(topics, ["lecture_id", "topic"], "left_semi").join(n.select("lecture_id", F.col("id").alias("node")), ["lecture_id", "node"], "left_semi")
-    return graphs.spread_topics(members, n, e, _L)
+    return graphs.spread_topics(graphs.explicit_members(n, e, topics, _L), n, e, _L, topics)
 
 
 def consensus_closure(spark: SparkSession, directory: str) -> DataFrame:
@@ -89,11 +87,43 @@ def section_order(spark: SparkSession, directory: str) -> DataFrame:
 
 
 _G = """n AS (SELECT DISTINCT lecture_id, id, kind, status FROM graph_nodes), e AS (SELECT DISTINCT edge_id, lecture_id, trim(source) AS src, trim(target) AS dst, relation FROM graph_edges),
-d0 AS (SELECT lecture_id, id AS src, trim(unnest(derived_from)) AS dst FROM graph_nodes UNION SELECT lecture_id, src, dst FROM e WHERE relation IN ('supported_by', 'uses', 'uses_result', 'follows_from', 'derived_from', 'based_on', 'about', 'refines', 'specialization_of') UNION SELECT lecture_id, dst, src FROM e WHERE relation = 'leads_to'),
+d0 AS (SELECT lecture_id, id AS src, trim(unnest(derived_from)) AS dst FROM graph_nodes UNION SELECT lecture_id, src, dst FROM e WHERE relation IN ('supported_by', 'follows_from', 'derived_from', 'based_on', 'about', 'refines', 'specialization_of')
+  UNION SELECT e.lecture_id, src, dst FROM e SEMI JOIN n ON n.lecture_id = e.lecture_id AND n.id = e.src AND n.kind IN ('proof', 'proof_step', 'equation', 'claim') WHERE relation IN ('uses', 'uses_result') UNION SELECT lecture_id, dst, src FROM e WHERE relation = 'leads_to'),
 d AS (SELECT DISTINCT d0.* FROM d0 SEMI JOIN n a ON a.lecture_id = d0.lecture_id AND a.id = d0.src SEMI JOIN n b ON b.lecture_id = d0.lecture_id AND b.id = d0.dst)"""
 _T = f"t AS (SELECT lecture_id, node_id AS id, min({base.ms('start_sec')}) AS t FROM (SELECT DISTINCT lecture_id, id AS node_id, unnest(evidence_ids) AS id FROM graph_nodes) x JOIN (SELECT DISTINCT lecture_id, id, start_sec FROM observations) o USING (lecture_id, id) GROUP BY 1, 2)"
+
+
+def _topic_rounds(rounds: int = 8) -> str:
+    """Rounds of votes written out one after another."""
+    weigh = "CASE WHEN relation IN ('refines', 'about') THEN 3.0 WHEN relation IN ('proved_by', 'has_proof_step') THEN 2.5 WHEN relation IN ('supports', 'supported_by') THEN 2.0 WHEN relation IN ('uses', 'leads_to') THEN 1.5 WHEN relation IN ('follows_from', 'derived_from', 'based_on', 'specializes', 'specialization_of', 'defined_on', 'concerns', 'yields', 'introduces', 'denotes_convergence_in', 'proof_step_of', 'uses_result', 'belongs_to_topic', 'reused_in') THEN 1.0 END"
+    parts = [
+        f"""WITH {_G}, w AS (SELECT lecture_id, src, dst, CAST({weigh} AS DOUBLE) AS w FROM e SEMI JOIN n a ON a.lecture_id = e.lecture_id AND a.id = e.src SEMI JOIN n b ON b.lecture_id = e.lecture_id AND b.id = e.dst WHERE {weigh} IS NOT NULL),
+l AS (SELECT * FROM w UNION ALL SELECT lecture_id, dst, src, w FROM w),
+m AS (SELECT lecture_id, dst AS node, src AS topic FROM e WHERE relation IN ('contains', 'contains_node', 'has_part') UNION SELECT lecture_id, src, dst FROM e WHERE relation IN ('part_of', 'in_section', 'in_topic', 'belongs_to_topic')),
+k0 AS MATERIALIZED (SELECT m.*, 0 AS round FROM m SEMI JOIN n a ON a.lecture_id = m.lecture_id AND a.id = m.node SEMI JOIN n b ON b.lecture_id = m.lecture_id AND b.id = m.topic AND b.kind = 'topic')"""
+    ]
+    for i in range(1, rounds + 1):
+        parts.append(
+            f"""k{i} AS MATERIALIZED (SELECT * FROM k{i - 1} UNION ALL SELECT lecture_id, node, topic, {i} FROM (
+  SELECT k.lecture_id, l.dst AS node, k.topic, sum(l.w) AS s FROM k{i - 1} k JOIN l ON l.lecture_id = k.lecture_id AND l.src = k.node GROUP BY 1, 2, 3) v
+  SEMI JOIN n ON n.lecture_id = v.lecture_id AND n.id = v.node AND n.kind <> 'topic' ANTI JOIN k{i - 1} o ON o.lecture_id = v.lecture_id AND o.node = v.node
+  QUALIFY s = max(s) OVER (PARTITION BY lecture_id, node) AND count(*) OVER (PARTITION BY lecture_id, node, s) = 1 AND s >= 1.5)"""
+        )
+    return ", ".join(parts) + f" SELECT lecture_id, node, topic, round FROM k{rounds}"
+
+
+def _time_rounds(rounds: int = 12) -> str:
+    """Rounds in which nodes without a time take the earliest of what they depend on."""
+    parts = [f"WITH {_G}, {_T}, t0 AS MATERIALIZED (SELECT n.lecture_id, n.id AS node, t FROM n LEFT JOIN t ON t.lecture_id = n.lecture_id AND t.id = n.id)"]
+    for i in range(1, rounds + 1):
+        parts.append(f"t{i} AS MATERIALIZED (SELECT a.lecture_id, a.node, coalesce(a.t, o.t) AS t FROM t{i - 1} a LEFT JOIN (SELECT d.lecture_id, d.src, min(b.t) AS t FROM d JOIN t{i - 1} b ON b.lecture_id = d.lecture_id AND b.node = d.dst GROUP BY 1, 2) o ON o.lecture_id = a.lecture_id AND o.src = a.node)")
+    return ", ".join(parts) + f" SELECT lecture_id, node, t FROM t{rounds}"
+
+
 QUERIES = {f.__name__: f for f in (dependency_pairs, unresolved_closure, proof_support, proof_components, topic_votes, consensus_closure, effective_times, section_assignment, section_order)}
 SQL = {
+    "topic_votes": _topic_rounds(),
+    "effective_times": _time_rounds(),
     "dependency_pairs": f"WITH {_G} SELECT lecture_id, src, dst FROM d",
     "unresolved_closure": f"WITH RECURSIVE {_G}, r AS (SELECT lecture_id, id AS node FROM n WHERE kind = 'provisional_unresolved' UNION SELECT d.lecture_id, d.src FROM r JOIN d ON d.lecture_id = r.lecture_id AND d.dst = r.node JOIN n ON n.lecture_id = d.lecture_id AND n.id = d.src WHERE n.status = 'active' AND n.kind <> 'provisional_unresolved') SELECT * FROM r",
     "proof_support": f"WITH RECURSIVE {_G}, s AS (SELECT lecture_id, src AS a, dst AS b FROM e WHERE relation = 'supported_by' UNION SELECT lecture_id, dst, src FROM e WHERE relation IN ('supports', 'leads_to')), r AS (SELECT lecture_id, id AS node FROM n WHERE kind = 'claim' AND status = 'suppressed' UNION SELECT s.lecture_id, b FROM r JOIN s ON s.lecture_id = r.lecture_id AND s.a = r.node WHERE b IS NOT NULL) SELECT * FROM r",

@@ -12,7 +12,7 @@ from . import base
 from .base import OBS, ms
 
 #: Commands of structure that link nothing.
-_STRUCTURE = ("\\in", "\\quad", "\\text", "\\to", "\\le", "\\ge", "\\left", "\\right", "\\frac", "\\begin", "\\end", "\\cdot")
+_STRUCTURE = tuple("\\" + name for name in "in quad qquad text forall exists bigl bigr lVert rVert lvert rvert to neq le ge Longrightarrow mathbb left right frac begin end cdot".split())
 
 
 def sparse_edges(spark: SparkSession, directory: str) -> DataFrame:

@@ -37,7 +37,7 @@ def gap_sessions(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def span_sessions(spark: SparkSession, directory: str) -> DataFrame:
-    """Passages of about 20 s: cut at pauses of a second, at sentence ends past the target, and at 1.5 times the target."""
+    """Passages of about 20 s: cut at pauses of a second, at sentence ends past the target, and once 1.5 times the target has passed."""
 
     def fold(rows: list[dict], final: bool) -> list[dict]:
         closes = [(r["text"] or "").rstrip().endswith((".", "!", "?")) for r in rows]
