@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from difflib import SequenceMatcher
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,70 +10,81 @@ from pyspark.sql import functions as F
 
 from .ordered import fold_islands
 
+#: From what score on records are one, the score of equal wording, and the weights of time and wording.
 MERGE_AT, EXACT_AT, TIME_SHARE, TEXT_SHARE = 0.78, 0.95, 0.45, 0.55
 
 
-def _squeezed(text: str | None) -> str:
+def squeezed(text: str | None) -> str:
     return "".join((text or "").split()).lower()
 
 
-def _words(text: str | None) -> frozenset[str]:
-    cleaned = "".join(c if c.isalnum() or c in "_\\" else " " for c in (text or "").lower())
-    return frozenset(cleaned.split())
-
-
-def alike(a: str | None, b: str | None) -> float:
-    """Matching-block ratio of two texts without white space, in lower case; 0 if either is empty."""
-    a, b = _squeezed(a), _squeezed(b)
-    return SequenceMatcher(None, a, b).ratio() if a and b else 0.0
-
-
-def likeness(a: dict, b: dict) -> float:
-    """How surely two records ``s, e, text, latex`` of one kind are one event: overlap in time and best likeness of texts."""
-    shared = min(a["e"], b["e"]) - max(a["s"], b["s"])
-    score = 0.0
-    if shared > 0:
-        overlap = min(1.0, shared / max(1e-3, min(a["e"] - a["s"], b["e"] - b["s"])))
-        x, y = _words(a["text"]), _words(b["text"])
-        words = len(x & y) / len(x | y) if x and y else 0.0
-        score = TIME_SHARE * overlap + TEXT_SHARE * max(alike(a["latex"], b["latex"]), alike(a["text"], b["text"]), words)
-    for field in ("latex", "text"):
-        if a[field] and b[field] and _squeezed(a[field]) == _squeezed(b[field]):
-            score = max(score, EXACT_AT)
-    return score
-
-
-def reconcile_rows(rows: list[dict]) -> list[tuple[dict, int]]:
-    """Each record, in order, merged into the earlier one it is most like (the first on a tie), or kept.
-
-    Returns the records with the index of the one that stands for them. A merge widens the interval and
-    raises the confidence; a text or formula is replaced by a longer one of at least the confidence reached.
+def ratio(a: str, b: str, least: float = 0.0) -> float:
+    """Matching-block ratio of two squeezed texts; 0 if either is empty or if bounds show that it is below ``least``."""
+    if not a or not b:
+        return 0.0
+    if a == b:
+        return 1.0
+    m = SequenceMatcher(None, a, b)
+    return m.ratio() if m.real_quick_ratio() >= least and m.quick_ratio() >= least else 0.0
+
+
+class Reading:
+    """A record as it is compared: its span, how sure it is, and its wordings with what likeness needs of them."""
+
+    def __init__(self, row: dict):
+        self.start, self.end, self.sure = row["s"], row["e"], row["confidence"]
+        self.worded(row["text"], row["latex"])
+
+    def worded(self, text: str | None, formula: str | None) -> None:
+        self.text, self.formula = text, formula
+        self.keys = squeezed(formula), squeezed(text)
+        self.bag = frozenset("".join(c if c.isalnum() or c in "_\\" else " " for c in (text or "").lower()).split())
+
+    def likeness(self, other: Reading, least: float = 0.0) -> float:
+        """How surely two readings are of one event; 0 where it is certain to be below ``least``."""
+        equal = EXACT_AT if any(x and x == y for x, y in zip(self.keys, other.keys)) else 0.0
+        common = min(self.end, other.end) - max(self.start, other.start)
+        if common <= 0:
+            return equal
+        time = TIME_SHARE * min(1.0, common / max(1e-3, min(self.end - self.start, other.end - other.start)))
+        wanted = (max(least, equal) - time) / TEXT_SHARE
+        if wanted > 1:
+            return equal
+        union = len(self.bag | other.bag)
+        wording = max(len(self.bag & other.bag) / union if self.bag and other.bag else 0.0, *(ratio(x, y, wanted) for x, y in zip(self.keys, other.keys)))
+        return max(equal, time + TEXT_SHARE * wording)
+
+    def take(self, other: Reading) -> None:
+        """Stand for another reading too: cover its span, be as sure as the surer, and use its wording where that is longer and as sure."""
+        self.start, self.end, self.sure = min(self.start, other.start), max(self.end, other.end), max(self.sure, other.sure)
+        if other.sure == self.sure:
+            longer = len((other.text or "").strip()) > len((self.text or "").strip())
+            fuller = bool(other.formula) and len(other.formula) >= len(self.formula or "")
+            self.worded(other.text if longer else self.text, other.formula if fuller else self.formula)
+
+
+def reconcile_rows(rows: Iterable[dict]) -> list[tuple[int, Reading]]:
+    """For each record, in order of time, the place of the one that stands for it, and that one's reading at the end.
+
+    A record joins the standing one it is most like, the earlier on a tie, or stands for itself. Only records that still
+    reach into the time of the one at hand are compared, so the work follows how many run at once, not how many there are.
     """
-    out: list[tuple[dict, int]] = []
-    kept: list[int] = []
-    for i, row in enumerate(rows):
-        row = dict(row)
-        best, best_score = None, 0.0
-        for k in kept:
-            other = out[k][0]
-            if min(other["e"], row["e"]) >= max(other["s"], row["s"]):
-                score = likeness(other, row)
-                if score > best_score:
-                    best, best_score = k, score
-        if best is None or best_score < MERGE_AT:
-            kept.append(i)
-            out.append((row, i))
-            continue
-        other = out[best][0]
-        other["s"], other["e"] = min(other["s"], row["s"]), max(other["e"], row["e"])
-        other["confidence"] = max(other["confidence"], row["confidence"])
-        if row["confidence"] >= other["confidence"]:
-            if len((row["text"] or "").strip()) > len((other["text"] or "").strip()):
-                other["text"] = row["text"]
-            if row["latex"] and len(row["latex"]) >= len(other["latex"] or ""):
-                other["latex"] = row["latex"]
-        out.append((row, best))
-    return out
+    standing: list[tuple[int, Reading]] = []
+    running: list[int] = []  # of those that may still touch later records
+    stands_for: list[int] = []
+    for place, row in enumerate(rows):
+        reading = Reading(row)
+        running = [i for i in running if standing[i][1].end >= reading.start]
+        scores = [(standing[i][1].likeness(reading, MERGE_AT), -i) for i in running if standing[i][1].start <= reading.end]
+        score, chosen = max(scores, default=(0.0, 0))
+        if score >= MERGE_AT:
+            standing[-chosen][1].take(reading)
+            stands_for.append(-chosen)
+        else:
+            running.append(len(standing))
+            stands_for.append(len(standing))
+            standing.append((place, reading))
+    return [standing[i] for i in stands_for]
 
 
 def reconcile(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -87,8 +99,8 @@ def reconcile(df: DataFrame, keys: list[str]) -> DataFrame:
     typed = ", ".join(f"`{k}` string" for k in keys)
 
     def fold(part: list[dict], final: bool) -> list[dict]:
-        merged = reconcile_rows(part)
-        return [{**{k: r[k] for k in keys}, "id": r["id"], "canonical_id": merged[i][0]["id"], **{c: merged[i][0][c] for c in ("s", "e", "confidence")}} for r, i in merged]
+        found = zip(part, reconcile_rows(part))
+        return [{**{k: r[k] for k in keys}, "id": r["id"], "canonical_id": part[first]["id"], "s": whole.start, "e": whole.end, "confidence": whole.sure} for r, (first, whole) in found]
 
     schema = f"{typed}, id string, canonical_id string, s bigint, e bigint, confidence double"
     usable = F.col("s") <= F.col("e")
