@@ -1,188 +1,30 @@
-"""Changes to a property graph: transactional patches, event-sourced status, guarded replacements, merges."""
+"""Changes to a property graph: absorbed nodes, event-sourced status, guarded replacements, merges. See ``patches`` for patches."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NODES = "id string, kind string, title string, semantic_text string, latex string, evidence_ids array<string>, derived_from array<string>, aliases array<string>, status string, alternative_group string"
-EDGES = "source string, target string, relation string, evidence_ids array<string>"
-DISPOSITIONS = "evidence_id string, disposition string"
-VIOLATIONS = "id string, category string, severity int, message string"
-_FIELDS = [f.split()[0] for f in NODES.split(", ")]
-_CLEARABLE = ("semantic_text", "latex", "alternative_group")
-
+from ..plans.scan import null_safe_join
 
 class PatchError(ValueError):
     """A patch that would break the graph; the state stays as it was."""
 
 
-@dataclass(frozen=True)
-class GraphState:
-    """The tables of one property graph. ``apply`` gives a new state or raises; a state is never changed."""
-
-    nodes: DataFrame
-    edges: DataFrame
-    evidence: DataFrame  # id
-    dispositions: DataFrame
-    violations: DataFrame
-
-    @property
-    def spark(self) -> SparkSession:
-        return self.nodes.sparkSession
-
-    @classmethod
-    def empty(cls, spark: SparkSession, evidence: list[str]) -> GraphState:
-        make = lambda schema: spark.createDataFrame([], schema)
-        return cls(make(NODES), make(EDGES), spark.createDataFrame([(e,) for e in evidence], "id string"), make(DISPOSITIONS), make(VIOLATIONS))
-
-    def apply(self, operations: list[dict]) -> GraphState:
-        """All operations in order, or none: the result is checked before it is given out.
-
-        Operations have ``op`` and its fields: add_node, add_derived_node, merge_nodes, split_node, retype_node,
-        replace_node, add_alias, add_relation, attach_evidence, mark_evidence, mark_alternative, suppress_node,
-        add_violation, resolve_violation. In replace_node a field that is present with None clears the field, one
-        that is absent leaves it.
-        """
-        state = self
-        for operation in operations:
-            state = getattr(state, f"_{operation['op']}")(operation)
-        state = state._absorb()
-        state.check()
-        return state
-
-    # -- lookups
-    def _require(self, ids: list[str], what: str = "node") -> None:
-        table = self.nodes if what == "node" else self.evidence
-        known = {r["id"] for r in table.where(F.col("id").isin(*ids)).select("id").distinct().collect()} if ids else set()
-        if lost := sorted(set(ids) - known):
-            raise PatchError(f"unknown {what}: {', '.join(lost)}")
-
-    def _rows(self, nodes: list[dict]) -> DataFrame:
-        rows = [tuple({"status": "active", "evidence_ids": [], "derived_from": [], "aliases": [], **n}.get(f) for f in _FIELDS) for n in nodes]
-        return self.spark.createDataFrame(rows, NODES)
-
-    def _edit(self, node_id: str, **columns: Column) -> GraphState:
-        self._require([node_id])
-        hit = F.col("id") == node_id
-        return replace(self, nodes=self.nodes.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in columns.items()}))
-
-    # -- operations
-    def _add_node(self, op: dict) -> GraphState:
-        node = op["node"]
-        if not self.nodes.where(F.col("id") == node["id"]).isEmpty():
-            raise PatchError(f"node exists: {node['id']}")
-        self._require(node.get("evidence_ids", []), "evidence")
-        self._require(node.get("derived_from", []))
-        return replace(self, nodes=self.nodes.unionByName(self._rows([node])))
-
-    _add_derived_node = _add_node
-
-    def _merge_nodes(self, op: dict) -> GraphState:
-        ids, target = op["node_ids"], op["node"]
-        self._require(ids)
-        old = self.nodes.where(F.col("id").isin(*ids))
-        if target["id"] not in ids and not self.nodes.where(F.col("id") == target["id"]).isEmpty():
-            raise PatchError(f"node exists: {target['id']}")
-        merged = old.agg(*[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("evidence_ids", "derived_from", "aliases")]).first()
-        node = {**target, "evidence_ids": sorted({*(merged[0] or []), *target.get("evidence_ids", [])}), "derived_from": [d for d in merged[1] or [] if d not in ids], "aliases": sorted({*(merged[2] or []), *ids} - {target["id"]})}
-        to = lambda c: F.when(F.col(c).isin(*ids), target["id"]).otherwise(F.col(c))
-        nodes = self.nodes.where(~F.col("id").isin(*ids)).withColumn("derived_from", F.array_distinct(F.transform("derived_from", lambda x: F.when(x.isin(*ids), target["id"]).otherwise(x))))
-        edges = self.edges.withColumns({"source": to("source"), "target": to("target")}).where("source <> target").dropDuplicates(["source", "target", "relation"])
-        return replace(self, nodes=nodes.unionByName(self._rows([node])), edges=edges)
-
-    def _split_node(self, op: dict) -> GraphState:
-        parts, old = op["nodes"], op["node_id"]
-        self._require([old])
-        if len(parts) < 2:
-            raise PatchError("a split gives two nodes or more")
-        held = set(self.nodes.where(F.col("id") == old).first()["evidence_ids"] or [])
-        if lost := sorted(held - {e for p in parts for e in p.get("evidence_ids", [])}):
-            raise PatchError(f"the split would drop evidence: {', '.join(lost)}")
-        nodes = self.nodes.where(F.col("id") != old).unionByName(self._rows(parts))
-        return replace(self, nodes=nodes, edges=self.edges.where((F.col("source") != old) & (F.col("target") != old)))
-
-    def _retype_node(self, op: dict) -> GraphState:
-        return self._edit(op["node_id"], kind=F.lit(op["kind"]))
-
-    def _replace_node(self, op: dict) -> GraphState:
-        fields = {k: v for k, v in op.items() if k in _FIELDS and k not in ("id",)}
-        if bad := [k for k, v in fields.items() if v is None and k not in _CLEARABLE]:
-            raise PatchError(f"cannot be cleared: {', '.join(bad)}")
-        make = lambda v: F.array(*map(F.lit, v)).cast("array<string>") if isinstance(v, list) else F.lit(v).cast("string")
-        return self._edit(op["node_id"], **{k: make(v) for k, v in fields.items()})
-
-    def _add_alias(self, op: dict) -> GraphState:
-        return self._edit(op["node_id"], aliases=F.array_union(F.coalesce("aliases", F.array().cast("array<string>")), F.array(F.lit(op["alias"]))))
-
-    def _add_relation(self, op: dict) -> GraphState:
-        self._require([op["source"], op["target"]])
-        row = self.spark.createDataFrame([(op["source"], op["target"], op["relation"], op.get("evidence_ids", []))], EDGES)
-        return replace(self, edges=self.edges.join(row, ["source", "target", "relation"], "left_anti").select("source", "target", "relation", "evidence_ids").unionByName(row))
-
-    def _attach_evidence(self, op: dict) -> GraphState:
-        self._require(op["evidence_ids"], "evidence")
-        return self._edit(op["node_id"], evidence_ids=F.array_union("evidence_ids", F.array(*map(F.lit, op["evidence_ids"]))))
-
-    def _mark_evidence(self, op: dict, keep: bool = False) -> GraphState:
-        self._require(op["evidence_ids"], "evidence")
-        rows = self.spark.createDataFrame([(e, op["disposition"]) for e in op["evidence_ids"]], DISPOSITIONS)
-        if keep:
-            return replace(self, dispositions=self.dispositions.unionByName(rows.join(self.dispositions, "evidence_id", "left_anti")))
-        return replace(self, dispositions=self.dispositions.join(rows, "evidence_id", "left_anti").unionByName(rows))
-
-    def _mark_alternative(self, op: dict) -> GraphState:
-        return self._edit(op["node_id"], status=F.lit("alternative"), alternative_group=F.lit(op["group"]))
-
-    def _suppress_node(self, op: dict) -> GraphState:
-        state = self._edit(op["node_id"], status=F.lit("suppressed"))
-        held = list(self.nodes.where(F.col("id") == op["node_id"]).first()["evidence_ids"] or [])
-        return state._mark_evidence({"evidence_ids": held, "disposition": op.get("disposition", "suppressed")}, keep=True) if held else state
-
-    def _add_violation(self, op: dict) -> GraphState:
-        row = self.spark.createDataFrame([(op["id"], op.get("category", "structure"), int(op.get("severity", 1)), op.get("message", ""))], VIOLATIONS)
-        return replace(self, violations=self.violations.where(F.col("id") != op["id"]).unionByName(row))
-
-    def _resolve_violation(self, op: dict) -> GraphState:
-        if self.violations.where(F.col("id") == op["id"]).isEmpty():
-            raise PatchError(f"unknown violation: {op['id']}")
-        return replace(self, violations=self.violations.where(F.col("id") != op["id"]))
-
-    def _absorb(self) -> GraphState:
-        return replace(self, nodes=suppress_absorbed(self.nodes, [], self.dispositions.where("disposition <> 'frontier_ambiguous'")))
-
-    def check(self) -> None:
-        """Unique ids, edges once and between nodes, evidence and dependencies that exist."""
-        ids = self.nodes.select("id")
-        problems = {
-            "repeated node id": ids.groupBy("id").count().where("count > 1"),
-            "repeated edge": self.edges.groupBy("source", "target", "relation").count().where("count > 1"),
-            "edge without source": self.edges.join(ids.withColumnRenamed("id", "source"), "source", "left_anti"),
-            "edge without target": self.edges.join(ids.withColumnRenamed("id", "target"), "target", "left_anti"),
-            "unknown evidence": self.nodes.select(F.explode("evidence_ids").alias("id")).join(self.evidence, "id", "left_anti"),
-            "unknown dependency": self.nodes.select(F.explode("derived_from").alias("id")).join(ids, "id", "left_anti"),
-        }
-        for what, rows in problems.items():
-            if not rows.isEmpty():
-                raise PatchError(what)
-
-    def signature(self) -> str:
-        """A hash of the content that does not depend on the order of rows."""
-        rows = [df.select(F.xxhash64(F.to_json(F.struct(*sorted(df.columns)))).alias("h")).agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.col("h") % 1_000_003).alias("s")).first() for df in (self.nodes, self.edges, self.dispositions, self.violations)]
-        return ":".join(f"{r['n']}.{r['x']}.{r['s']}" for r in rows)
+#: Kinds that hold evidence only to give it a place.
+PLACES = ("topic", "section", "subsection")
 
 
 def suppress_absorbed(nodes: DataFrame, keys: list[str], disposed: DataFrame | None = None) -> DataFrame:
-    """The nodes, provisional ones suppressed if all their evidence is held by active nodes of final kind or disposed of."""
-    firm = nodes.where("status = 'active' AND NOT startswith(kind, 'provisional')").select(*keys, F.explode("evidence_ids").alias("_e"))
+    """The nodes, provisional ones suppressed if all their evidence is held by active nodes of final kind, no mere places, or disposed of."""
+    final = "status = 'active' AND NOT startswith(coalesce(kind, ''), 'provisional_')"
+    firm = nodes.where(final).where(~F.coalesce(F.lower(F.trim("kind")).isin(*PLACES), F.lit(False))).select(*keys, F.explode("evidence_ids").alias("_e"))
     if disposed is not None:
         firm = firm.unionByName(disposed.select(*keys, F.col("evidence_id").alias("_e")))
-    firm = firm.distinct().withColumn("_held", F.lit(True))
-    soft = nodes.where("startswith(kind, 'provisional') AND status = 'active'").select(*keys, "id", F.explode("evidence_ids").alias("_e"))
-    gone = soft.join(firm, [*keys, "_e"], "left").groupBy(*keys, "id").agg(F.bool_and(F.coalesce("_held", F.lit(False))).alias("_gone")).where("_gone")
-    joined = nodes.join(gone, [*keys, "id"], "left")
+    firm = firm.where("_e IS NOT NULL").distinct().withColumn("_held", F.lit(True))
+    soft = nodes.where("startswith(kind, 'provisional_') AND status = 'active'").select(*keys, "id", F.explode("evidence_ids").alias("_e"))
+    gone = null_safe_join(soft, firm, [*keys, "_e"], "left").groupBy(*keys, "id").agg(F.bool_and(F.coalesce("_held", F.lit(False))).alias("_gone")).where("_gone")
+    joined = null_safe_join(nodes, gone, [*keys, "id"], "left")
     return joined.withColumn("status", F.when(F.col("_gone"), "suppressed").otherwise(F.col("status"))).select(*nodes.columns)
 
 

@@ -75,5 +75,5 @@ SQL = {
     "guarded_patches": f"WITH o AS ({OBS}), p AS (SELECT o.lecture_id, o.id, CASE WHEN t.kind IS NULL THEN 'no target' WHEN NOT coalesce(length(trim(o.text)) > 0, false) THEN 'empty' WHEN NOT coalesce({ms('t.start_sec')} <= {ms('o.start_sec')}, false) THEN 'not earlier' WHEN NOT coalesce(o.confidence >= 0.6, false) THEN 'low confidence' ELSE 'ok' END AS reason FROM o LEFT JOIN o t ON t.lecture_id = o.lecture_id AND t.id = o.target_observation_id WHERE o.kind = 'correction') SELECT lecture_id, id, reason = 'ok' AS applied, reason FROM p",
     "merged_nodes": f"WITH {_X}, n AS (SELECT DISTINCT lecture_id, id FROM graph_nodes), r AS (SELECT n.lecture_id, coalesce(into_id, n.id) AS id, x.e FROM n LEFT JOIN m ON m.lecture_id = n.lecture_id AND m.id = n.id LEFT JOIN x ON x.lecture_id = n.lecture_id AND x.id = n.id) SELECT lecture_id, id, coalesce(string_agg(DISTINCT e, ' ' ORDER BY e), '') AS evidence FROM r GROUP BY 1, 2",
     "merged_edges": f"WITH {_X}, e AS (SELECT DISTINCT lecture_id, trim(source) AS s, trim(target) AS t, relation FROM graph_edges), r AS (SELECT e.lecture_id, coalesce(a.into_id, s) AS src, coalesce(b.into_id, t) AS dst, relation FROM e LEFT JOIN m a ON a.lecture_id = e.lecture_id AND a.id = s LEFT JOIN m b ON b.lecture_id = e.lecture_id AND b.id = t) SELECT DISTINCT * FROM r WHERE src <> dst",
-    "absorbed_nodes": f"WITH {_X}, f AS (SELECT DISTINCT lecture_id, e FROM x WHERE status = 'active' AND NOT starts_with(kind, 'provisional')) SELECT x.lecture_id, id FROM x LEFT JOIN f ON f.lecture_id = x.lecture_id AND f.e = x.e WHERE status = 'active' AND starts_with(kind, 'provisional') GROUP BY 1, 2 HAVING bool_and(f.e IS NOT NULL)",
+    "absorbed_nodes": f"WITH {_X}, f AS (SELECT DISTINCT lecture_id, e FROM x WHERE status = 'active' AND NOT starts_with(kind, 'provisional') AND kind NOT IN ('topic', 'section', 'subsection')) SELECT x.lecture_id, id FROM x LEFT JOIN f ON f.lecture_id = x.lecture_id AND f.e = x.e WHERE status = 'active' AND starts_with(kind, 'provisional') GROUP BY 1, 2 HAVING bool_and(f.e IS NOT NULL)",
 }

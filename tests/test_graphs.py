@@ -4,7 +4,7 @@ import random
 import pytest
 
 from quarryline.operators import graphs, inference, sets
-from quarryline.operators.patching import GraphState, PatchError, event_status, guarded
+from quarryline.operators.patching import event_status, guarded
 from quarryline.plans.fixpoint import components, reach, resolve_aliases
 from quarryline.queries.graphs import topic_votes
 from pyspark.sql import functions as F
@@ -92,26 +92,6 @@ def test_reconcile(spark):
     assert got == {"o1": ("o1", 90, 105, 0.95), "o2": ("o1", 90, 105, 0.95), "o3": ("o3", 104, 110, 0.5), "o4": ("o4", None, 3, 0.0)}
 
 
-def test_patches_are_all_or_nothing(spark):
-    base = GraphState.empty(spark, ["e1", "e2"])
-    two = base.apply([{"op": "add_node", "node": {"id": f"n{i}", "kind": "event", "evidence_ids": [f"e{i}"]}} for i in (1, 2)] + [{"op": "add_relation", "source": "n1", "target": "n2", "relation": "leads_to"}])
-    merged = two.apply([{"op": "merge_nodes", "node_ids": ["n1", "n2"], "node": {"id": "m", "kind": "event"}}])
-    row = merged.nodes.first()
-    assert (row["id"], row["evidence_ids"], row["aliases"]) == ("m", ["e1", "e2"], ["n1", "n2"]) and merged.edges.isEmpty()
-    with pytest.raises(PatchError, match="drop evidence"):
-        merged.apply([{"op": "split_node", "node_id": "m", "nodes": [{"id": "a", "kind": "x", "evidence_ids": ["e1"]}, {"id": "b", "kind": "x"}]}])
-    for bad in ({"op": "retype_node", "node_id": "gone", "kind": "x"}, {"op": "add_node", "node": {"id": "m", "kind": "x"}}, {"op": "attach_evidence", "node_id": "m", "evidence_ids": ["e9"]}, {"op": "resolve_violation", "id": "v"}, {"op": "replace_node", "node_id": "m", "kind": None}):
-        with pytest.raises(PatchError):
-            merged.apply([{"op": "add_alias", "node_id": "m", "alias": "z"}, bad])
-    assert merged.nodes.first()["aliases"] == ["n1", "n2"]
-    after = merged.apply([{"op": "replace_node", "node_id": "m", "latex": "x", "title": "t"}, {"op": "replace_node", "node_id": "m", "latex": None}, {"op": "add_violation", "id": "v", "severity": 2}, {"op": "suppress_node", "node_id": "m"}])
-    row = after.nodes.first()
-    assert (row["latex"], row["title"], row["status"]) == (None, "t", "suppressed") and after.dispositions.count() == 2 and after.violations.count() == 1
-    assert after.signature() != merged.signature() == merged.apply([]).signature()
-    soft = base.apply([{"op": "add_node", "node": {"id": "p", "kind": "provisional_event", "evidence_ids": ["e1"]}}, {"op": "add_node", "node": {"id": "f", "kind": "event", "evidence_ids": ["e1"]}}])
-    assert {r["id"]: r["status"] for r in soft.nodes.collect()} == {"p": "suppressed", "f": "active"}
-
-
 def test_events_and_guards(spark):
     claims = spark.createDataFrame([("k", x) for x in "abc"], "k string, id string")
     events = spark.createDataFrame([("k", "a", "correction", 1, "e1"), ("k", "a", "retraction", 2, "e2"), ("k", "b", "correction", None, "e3"), ("k", None, "correction", 1, "e4")], "k string, target string, kind string, at bigint, event_id string")
