@@ -37,7 +37,9 @@ def test_tex():
     assert tex.outer_split(r"a;{b;c};\left(d;e\right);f", ";") == ["a", "{b;c}", r"\left(d;e\right)", "f"]
     long = "; ".join(["x_{1;2} + y"] * 9)
     assert tex.laid_out(long).count(r"\\") == 8 and tex.laid_out("a;b") == "a;b" and tex.laid_out("x" * 200) == "x" * 200
-    assert tex.without_overlap("a" * 10 + "b" * 50, "b" * 50 + "c") == "c" and tex.without_overlap("ab", "bc") == "bc"
+    assert tex.without_overlap("a" * 10 + "b" * 50, "b" * 50 + "c") == "a" * 10 + "b" * 50 + "c" and tex.without_overlap("ab ", " bc") == "ab\n\nbc"
+    line = "one two three four five six seven eight nine ten"
+    assert tex.without_overlap("start " + line, line.replace(" ", "\n", 3) + " more") == "start " + line + " more"
 
 
 def test_json():
@@ -97,3 +99,29 @@ def test_streams(spark, tmp_path):
     once = status.first_arrivals(stream, ["k"], "t").writeStream.format("memory").queryName("firsts").outputMode("append").trigger(availableNow=True).start()
     once.awaitTermination(120)
     assert sorted(r["k"] for r in spark.table("firsts").collect()) == ["u", "v"]
+
+
+def test_layout_follows_the_weightiest_joints():
+    items = ",".join(f"A_{{{i}}}" for i in range(1, 30))
+    rows = tex.laid_out(items).split("\n")
+    assert rows[0] == r"\begin{multlined}" and rows[-1] == r"\end{multlined}" and len(rows) == 5 and "".join(rows[1:-1]).replace(" \\\\", "").replace(" ", "") == items
+    assert all(len(r) <= 78 + 3 for r in rows)
+    chain = " = ".join(f"f_{{{i}}}(x) + g_{{{i}}}(x)" for i in range(6))
+    assert tex.laid_out(chain).startswith("\\begin{aligned}\nf_{0}(x) + g_{0}(x) &=f_{1}(x)") and tex.laid_out(chain).count("&=") == 5
+    assert "aligned" not in tex.laid_out(", ".join(f"x_{{{i}}} = {i}" for i in range(20)))  # a list of equalities is no chain
+    step = r" \Longrightarrow ".join(["a" * 40, "b" * 40, "c" * 20])
+    assert tex.laid_out(step).split("\n")[2] == r"&\Longrightarrow\ " + "b" * 40 + r" \\"
+    braces = r"\tilde{\beta}=\left\{\,\bigcap_{k=1}^{m}V(x,\,\varphi_k,\,\varepsilon)\;\Big|\;x\in X,\;\varepsilon>0\,\right\}"
+    assert tex.laid_out(braces, 24) == braces
+    assert tex.laid_out(r"\frac{a;b}{c;d}+\frac{e;f}{g;h}", 10) == r"\frac{a;b}{c;d}+\frac{e;f}{g;h}"
+
+
+def test_headings():
+    assert tex.heading("Топология на X* и пространство H") == "Топология на $X^*$ и пространство $H$"
+    assert tex.heading("Сходимость f_n к f") == "Сходимость $f_n$ к $f$"
+    assert tex.heading(r"Связь \xi_n и \sigma_k") == r"Связь $\xi_n$ и $\sigma_k$"
+    assert tex.heading("A norm on X and I") == "A norm on $X$ and I" and tex.heading("plain words") == "plain words"
+    assert tex.heading(r"\(x ≤ y\) и $z$") == r"$x \le y$ и $z$"
+    for symbol in "αβγδεϵζηθικλμνξοπρστυφϕχψωΓΔΘΛΞΠΣΦΨΩ":
+        made = tex.heading(f"Сходимость {symbol}_n")
+        assert made.count("$") == 2 and "_{n}" in made
