@@ -5,6 +5,10 @@ from __future__ import annotations
 import json
 import re
 
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from .tex import batched
 
 _STRING = re.compile(r'"(?:[^"\\]|\\.)*"?', re.DOTALL)
@@ -59,3 +63,9 @@ def cut_off(text: str) -> bool:
 
 
 json_repair, json_unfence = batched(repaired), batched(unfenced)
+
+
+@F.pandas_udf(T.BooleanType())
+def json_cut(texts: pd.Series) -> pd.Series:
+    """``cut_off`` of JSON texts; null gives null."""
+    return texts.map(cut_off, na_action="ignore").astype("boolean")

@@ -68,8 +68,8 @@ def resolve_aliases(aliases: DataFrame, keys: list[str], max_rounds: int = 40) -
         moved = staged(moved.select(*keys, "alias", F.col("next").alias("target"), "low", "was"), "aliases")
         ended = moved.where("target <> was").isEmpty()
         hops = moved.drop("was")
-        if ended:
-            return hops.select(*keys, "alias", F.col("target").alias("canonical"))
+        if ended:  # all targets stand still, some of them perhaps on a circle that a power of two goes round
+            break
         if hops.join(links.select(*keys, F.col("alias").alias("target")), [*keys, "target"], "left_semi").isEmpty():
             return hops.select(*keys, "alias", F.col("target").alias("canonical"))
         if _ == max_rounds // 2:  # 2^20 links: what still moves runs in a cycle

@@ -20,7 +20,13 @@ def literature(spark: SparkSession, folder: str, piece_chars: int, pattern: str
     return rows.select("path", "piece_no", F.expr(f"substring(t, piece_no * {piece_chars} + 1, {piece_chars})").alias("text"))
 
 
-def artifacts(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """JSON artifacts below a folder by a declared schema; files that do not parse give rows of nulls in ``_corrupt``'s company and are left out."""
-    rows = spark.read.schema(f"{schema}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", "true").option("multiLine", "true").json(folder)
+def artifacts(spark: SparkSession, folder: str, schema: str, whole: bool = True) -> DataFrame:
+    """JSON artifacts below a folder by a declared schema, a file each or, unless ``whole``, a line each; those that do not parse give rows of nulls in ``_corrupt``'s company and are left out."""
+    rows = spark.read.schema(f"{schema}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", "true").option("multiLine", whole).json(folder)
     return rows.where("_corrupt IS NULL").drop("_corrupt")
+
+
+def united_artifacts(spark: SparkSession, folder: str, schema: str, keys: list[str], value: str) -> DataFrame:
+    """``keys, <value>s``: the distinct values, sorted, of all artifacts, a line each, below a folder that have the keys; nulls are left out."""
+    rows = artifacts(spark, folder, schema, whole=False)
+    return rows.groupBy(*keys).agg(F.array_sort(F.collect_set(value)).alias(f"{value}s"))

@@ -39,6 +39,12 @@ def test_aliases_with_chains_and_cycles(spark):
     assert got == {"a": "d", "b": "d", "c": "d", "x": "x", "y": "x", "z": "x", "t": "x", "0": "x"}
 
 
+def test_aliases_in_circles_of_two_and_four(spark):
+    links = [("k", "b", "a"), ("k", "a", "b"), ("k", "t", "b"), *[("j", f"n{i}", f"n{(i + 1) % 4}") for i in range(4)], ("j", "s", "n2"), ("i", "p", "q")]
+    got = {(r["k"], r["alias"]): r["canonical"] for r in resolve_aliases(spark.createDataFrame(links, "k string, alias string, target string"), ["k"]).collect()}
+    assert got == {("k", "a"): "a", ("k", "b"): "a", ("k", "t"): "a", **{("j", f"n{i}"): "n0" for i in range(4)}, ("j", "s"): "n0", ("i", "p"): "q"}
+
+
 def test_kahn():
     assert graphs.kahn([(2, "a"), (1, "b"), (None, "c"), (0, "d")], {"d": ["c"], "b": ["a"], "c": ["zz"]}) == ["a", "b", "c", "d"]
     assert graphs.kahn([(1, "a"), (0, "b"), (5, "c")], {"a": ["b"], "b": ["a"]}) == ["c", "b", "a"]
