@@ -137,3 +137,9 @@ def without(c: Column, pattern: str) -> Column:
     """A text without the sentences that match; null if none is left."""
     left = F.filter(sentences(c), lambda s: ~s.rlike(pattern))
     return F.when(F.size(left) > 0, F.array_join(left, " "))
+
+
+def is_formula(c: Column) -> Column:
+    """Whether a fragment is mathematics alone: not blank, no delimiters of its own, and nothing Cyrillic outside ``\\text{}``."""
+    clean = F.trim(without_controls(c))
+    return F.coalesce((clean != "") & ~clean.rlike(r"\$|\\\[|\\\]") & ~F.regexp_replace(clean, r"\\text\{[^{}]*\}", "").rlike("[А-Яа-яЁё]"), F.lit(False))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("problems", "shaping", "texts", "joining", "totals", "windowing", "ranking", "sets", "patching", "patches", "graphs", "inference", "numeric", "functional", "evidence", "upkeep")
+FAMILIES = ("problems", "shaping", "texts", "joining", "totals", "windowing", "ranking", "sets", "patching", "patches", "graphs", "inference", "numeric", "functional", "evidence", "upkeep", "notes")
 
 
 def modules() -> list:
