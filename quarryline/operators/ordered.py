@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,57 +50,74 @@ def fold_islands(df: DataFrame, keys: list[str], start: str, end: str, ties: lis
     return fold_groups(split, [*keys, "_stretch"], [start, *ties], lambda rows: fold(rows, rows[0]["_stretch"] == rows[0]["_end"]), schema)
 
 
-def overlapping_windows(starts: list[int], ends: list[int], target: int, overlap: int, final: bool = True) -> list[tuple[int, int]]:
-    """Windows ``(first, last)`` of consecutive rows: each as long as ``target`` allows, the next begins at the first later
-    row that ends within ``overlap`` of the end of the window, and at least one row on; the first with the last row ends
-    the entity, so rows that are not its ``final`` stretch go on until no row is left."""
+def window_step(start: str, end: str, target: int, overlap: int):
+    """Runs of ``plans.chains``: windows as long as ``target`` allows; the next begins at the first later row that ends within ``overlap`` of
+    the end of the window, and at least one row on; the one with the last row is the last."""
     if not 0 <= overlap < target:
         raise ValueError("the overlap must be less than the target")
-    out: list[tuple[int, int]] = []
-    first, n = 0, len(starts)
-    while first < n:
-        last = first
+
+    def step(values: dict[str, list], first: int, more: bool) -> tuple[int | None, int] | None:
+        starts, ends = values[start], values[end]
+        last, n = first, len(starts)
         while last + 1 < n and ends[last + 1] - starts[first] <= target:
             last += 1
-        out.append((first, last))
-        if final and last == n - 1:
-            break
-        after = first + 1
-        while after < last + 1 and ends[after] <= ends[last] - overlap:
-            after += 1
-        first = after
-    return out
+        if last + 1 == n:
+            return None if more else (None, last)
+        return next((i for i in range(first + 1, last + 1) if ends[i] > ends[last] - overlap), last + 1), last
+
+    return step
+
+
+def passage_step(start: str, end: str, closes: str, gap: int, target: int):
+    """Runs of ``plans.chains``: a new passage after a gap of at least ``gap``, when it has lasted ``target`` and the row before closes a
+    sentence, and after the row with which it has lasted 1.5 times the target."""
+
+    def step(values: dict[str, list], first: int, more: bool) -> tuple[int | None, int] | None:
+        starts, ends, closed = values[start], values[end], values[closes]
+        for i in range(first + 1, len(starts)):
+            lasted = ends[i - 1] - starts[first]
+            if starts[i] - ends[i - 1] >= gap or lasted >= target and closed[i - 1] or 2 * lasted >= 3 * target:
+                return i, i - 1
+        return None if more else (None, len(starts) - 1)
+
+    return step
+
 
+def speech_step(start: str, end: str, most: int, gap: int):
+    """Runs of ``plans.chains``: intervals joined while the pause is at most ``gap`` and the whole at most ``most``."""
 
-def word_sessions(starts: Iterable[int], ends: Iterable[int], closes: Iterable[bool], gap: int, target: int) -> list[int]:
-    """Session number per row: a new one after a gap of at least ``gap``, when the session has lasted ``target`` and the row
-    before closes a sentence, and after the row with which it has lasted 1.5 times the target."""
-    out: list[int] = []
-    number, opened, before, closed = -1, 0, None, False
-    for s, e, c in zip(starts, ends, closes):
-        lasted = None if before is None else before - opened
-        if lasted is None or s - before >= gap or lasted >= target and closed or 2 * lasted >= 3 * target:
-            number, opened = number + 1, s
-        out.append(number)
-        before, closed = e, c
+    def step(values: dict[str, list], first: int, more: bool) -> tuple[int | None, int] | None:
+        starts, ends = values[start], values[end]
+        reach = ends[first]
+        for i in range(first + 1, len(starts)):
+            if starts[i] - reach > gap or max(ends[i], reach) - starts[first] > most:
+                return i, i - 1
+            reach = max(reach, ends[i])
+        return None if more else (None, len(starts) - 1)
+
+    return step
+
+
+def all_runs(values: dict[str, list], step) -> list[tuple[int, int]]:
+    """``(first, last)`` of the runs of whole columns, one after another."""
+    out, at = [], 0 if next(iter(values.values())) else None
+    while at is not None:
+        following, last = step(values, at, False)
+        out.append((at, last))
+        at = following
     return out
 
 
+def piece_starts(start: Column, end: Column, most: int, least: int = 50) -> Column:
+    """Where the pieces of an interval begin, see ``pieces``."""
+    begins = F.sequence(start, end - 1, F.lit(most).cast("bigint"))
+    return F.filter(begins, lambda x: (end - x > least) | (x == start))
+
+
 def pieces(start: int, end: int, most: int, least: int = 50) -> list[tuple[int, int]]:
     """An interval in pieces of ``most``; a last piece of ``least`` or less is left out unless it is the only one."""
     cuts = [(a, min(a + most, end)) for a in range(start, end, most)]
     return cuts[:-1] if len(cuts) > 1 and cuts[-1][1] - cuts[-1][0] <= least else cuts
 
 
-def capped_merge(intervals: list[tuple[int, int]], most: int, gap: int) -> list[tuple[int, int]]:
-    """Sorted intervals joined while the pause is at most ``gap`` and the whole at most ``most``."""
-    out: list[tuple[int, int]] = []
-    for start, end in intervals:
-        if out and start - out[-1][1] <= gap and max(end, out[-1][1]) - out[-1][0] <= most:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((start, end))
-    return out
-
-
-__all__ = ["capped_merge", "pieces", "count_batches", "fold_islands", "forward_fill", "gap_sessions", "overlapping_windows", "running", "shifted", "with_position", "word_sessions"]
+__all__ = ["all_runs", "pieces", "passage_step", "speech_step", "window_step", "count_batches", "fold_islands", "forward_fill", "gap_sessions", "running", "shifted", "with_position"]

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import heapq
 from bisect import bisect_left
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import total_ordering
 
 import numpy as np
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..plans.grouped import fold_groups
-from ..plans.scan import running, with_position
+from ..plans.scan import null_safe_join, running, with_position
+from ..plans.staging import staged
 from .ordered import gap_sessions
 
 
@@ -72,18 +81,73 @@ def budget_prefix(df: DataFrame, keys: list[str], time: str, ties: list[str], si
     return running(placed, keys, "_pos", size, "sum", "used").where(F.col("used") <= budget).drop("_pos")
 
 
-def lexical_top(queries: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
+_LEXICAL = r"[\p{L}\p{N}_]{3,}"
+
+
+def _best_texts(shared, limit: int, shape: pa.Schema):
+    """Of the texts of a task the best ``limit`` per query, from the words of the queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, counts, of_word = shared.value
+        find = regex.compile(_LEXICAL).findall
+        best: list[list[tuple]] = [[] for _ in ids]  # heaps, the worst first: share, then the larger id
+        for batch in batches:
+            for text_id, text in zip(batch.column("text_id").to_pylist(), batch.column("text").to_pylist()):
+                met = [of_word[w] for w in set(find((text or "").lower())) if w in of_word]
+                if not met:
+                    continue
+                hits = np.bincount(np.concatenate(met), minlength=len(ids))
+                for q in np.flatnonzero(hits).tolist():
+                    entry = (hits[q] / counts[q], _Later(text_id))
+                    if len(best[q]) < limit:
+                        heapq.heappush(best[q], entry)
+                    elif best[q][0] < entry:
+                        heapq.heapreplace(best[q], entry)
+        rows = [(ids[q], e[1].value, float(e[0])) for q, heap in enumerate(best) for e in heap]
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows) if rows else [[]] * 3, shape)], schema=shape)
+
+    return run
+
+
+@total_ordering
+@dataclass(frozen=True, eq=False)
+class _Later:
+    """An id by which the smaller one is the better, and null the best."""
+
+    value: object
+
+    def __eq__(self, other: object) -> bool:
+        return self.value == other.value
+
+    def __lt__(self, other: _Later) -> bool:
+        return other.value is None and self.value is not None or (self.value is not None and other.value is not None and self.value > other.value)
+
+
+def lexical_top(queries: DataFrame, texts: DataFrame, limit: int, broadcast_words: int = 1_000_000) -> DataFrame:
     """``query_id, text_id, score, rank``: share of a query's distinct words of three letters or more that a text has.
 
-    Joined by word. Words of a text are distinct before the join and scores are summed before ranking.
+    While the queries have at most ``broadcast_words`` words in all, these go to the tasks, a text is scored where it is read, and a task
+    gives out its best ``limit`` per query: frequent words make no hot keys. Beyond that queries and texts are joined by word. Null and
+    repeated ids are ids like others; texts with none of a query's words do not rank.
     """
-    words = lambda c: F.explode(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}_]{3,}"), F.lit(0))))
-    q = queries.select("query_id", words(F.col("query")).alias("w"))
-    n = q.groupBy("query_id").agg(F.count("*").alias("n"))
-    t = texts.select("text_id", words(F.col("text")).alias("w")).join(q.select("w").distinct(), "w", "left_semi")
-    hits = q.join(t, "w").groupBy("query_id", "text_id").agg(F.count("*").alias("k")).join(n, "query_id")
-    scored = hits.select("query_id", "text_id", (F.col("k") / F.col("n")).alias("score"))
-    return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("text_id")], limit)
+    words = lambda c: F.explode(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(_LEXICAL), F.lit(0))))
+    q = staged(queries.select("query_id", words(F.col("query")).alias("w")), "query-words")
+    if q.count() <= broadcast_words:
+        rows = q.toArrow()
+        place: dict = {}
+        of_word: dict[str, list[int]] = {}
+        for query_id, word in zip(rows.column("query_id").to_pylist(), rows.column("w").to_pylist()):
+            of_word.setdefault(word, []).append(place.setdefault(query_id, len(place)))
+        counts = np.bincount(np.concatenate(list(of_word.values())), minlength=len(place)) if of_word else np.zeros(0, int)
+        shared = q.sparkSession.sparkContext.broadcast((list(place), counts, {w: np.array(i) for w, i in of_word.items()}))
+        kinds = f"query_id {queries.schema['query_id'].dataType.simpleString()}, text_id {texts.schema['text_id'].dataType.simpleString()}, score double"
+        scored = texts.select("text_id", "text").mapInArrow(_best_texts(shared, limit, to_arrow_schema(StructType.fromDDL(kinds))), kinds)
+    else:
+        n = q.groupBy("query_id").agg(F.count("*").alias("n"))
+        t = texts.select("text_id", words(F.col("text")).alias("w")).join(q.select("w").distinct(), "w", "left_semi")
+        hits = null_safe_join(q.join(t, "w").groupBy("query_id", "text_id").agg(F.count("*").alias("k")), n, ["query_id"])
+        scored = hits.select("query_id", "text_id", (F.col("k") / F.col("n")).alias("score"))
+    return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc_nulls_first("text_id")], limit)
 
 
 def suppress_boxes(boxes: np.ndarray, least: float) -> list[int]:

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from ..operators import editing
 from ..operators.joins import overlap_join
 from ..operators.ranking import top_per_key
-from ..plans.scan import running, shifted, with_position
+from ..plans.scan import neighbours, running, shifted, with_position
 from ..sources.sinks import rendered
 from ..sources.tables import millis, table
 from . import base
 from .base import BLOCK, CHUNK, OBS, ms
 
+#: Blocks of so many consecutive numbers, where rows are ordered by the number in their id.
+ORDINALS = 50_000
+
 
 def focus_windows(spark: SparkSession, directory: str) -> DataFrame:
     """Windows that matter for each correction: the one it names, and those within 30 s of it."""
@@ -53,15 +56,15 @@ def edge_times(spark: SparkSession, directory: str) -> DataFrame:
 def previous_tails(spark: SparkSession, directory: str) -> DataFrame:
     """For each block, the last 100 characters of the two before it."""
     b = base.blocks(spark, directory).withColumn("n", F.regexp_extract("id", r"_([0-9]+)$", 1).try_cast("bigint"))
-    p = with_position(b.select("lecture_id", "id", "latex", "n"), ["lecture_id"], "n", ["id"])
-    p = shifted(shifted(p, ["lecture_id"], "pos", ["latex"], 2, "b2_"), ["lecture_id"], "pos", ["latex"], 1, "b1_")
+    p = with_position(b.select("lecture_id", "id", "latex", "n"), ["lecture_id"], "n", ["id"], ORDINALS)
+    p = neighbours(p, ["lecture_id"], "pos", ["latex"], {"b2_": 2, "b1_": 1})
     return p.select("lecture_id", "id", F.right(F.concat_ws("\n", "b2_latex", "b1_latex"), F.lit(100)).alias("tail"))
 
 
 def rendered_blocks(spark: SparkSession, directory: str) -> DataFrame:
     """Blocks as TeX, with a heading where the title differs from the one before."""
     b = base.blocks(spark, directory).withColumn("n", F.regexp_extract("id", r"_([0-9]+)$", 1).try_cast("bigint"))
-    p = shifted(with_position(b.select("lecture_id", "id", "block_type", "title", "latex", "n"), ["lecture_id"], "n", ["id"]), ["lecture_id"], "pos", ["title"], 1, "before_")
+    p = shifted(with_position(b.select("lecture_id", "id", "block_type", "title", "latex", "n"), ["lecture_id"], "n", ["id"], ORDINALS), ["lecture_id"], "pos", ["title"], 1, "before_")
     fresh = (F.trim("title") != "") & ~F.col("title").eqNullSafe(F.col("before_title"))
     head = F.when(fresh, F.concat(F.lit("\\section{"), "title", F.lit("}\n"))).otherwise("")
     return p.select("lecture_id", "id", F.concat(head, rendered(F.col("block_type"), F.lit(None).cast("string"), F.col("latex"))).alias("tex"))
@@ -70,7 +73,7 @@ def rendered_blocks(spark: SparkSession, directory: str) -> DataFrame:
 def neighbour_kinds(spark: SparkSession, directory: str) -> DataFrame:
     """Consecutive blocks of one type and title as one."""
     b = base.blocks(spark, directory).withColumn("n", F.regexp_extract("id", r"_([0-9]+)$", 1).try_cast("bigint"))
-    p = with_position(b.select("lecture_id", "id", "block_type", "title", "n"), ["lecture_id"], "n", ["id"], name="place")
+    p = with_position(b.select("lecture_id", "id", "block_type", "title", "n"), ["lecture_id"], "n", ["id"], ORDINALS, name="place")
     return editing.collapse_neighbours(p, ["lecture_id"], "place", F.concat_ws("\x1f", "block_type", F.coalesce("title", F.lit(""))))
 
 

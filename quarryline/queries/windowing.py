@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from itertools import groupby
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ordered
 from ..operators.intervals import covered_periods
+from ..plans.chains import runs
+from ..plans.scan import neighbours
 from . import base
 from .base import OBS, SEG, ms
 
@@ -20,14 +20,11 @@ def _timed(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def chunk_windows(spark: SparkSession, directory: str) -> DataFrame:
-    """Overlapping windows of at most eight minutes on segment ends, in stretches between gaps longer than a window."""
-
-    def fold(rows: list[dict], final: bool) -> list[dict]:
-        found = ordered.overlapping_windows([r["s"] for r in rows], [r["e"] for r in rows], TARGET_MS, OVERLAP_MS, final)
-        return [{"lecture_id": rows[a]["lecture_id"], "first_id": rows[a]["id"], "last_id": rows[b]["id"], "start_ms": rows[a]["s"], "end_ms": rows[b]["e"], "segments": b - a + 1} for a, b in found]
-
+    """Overlapping windows of at most eight minutes on segment ends."""
+    emit = lambda v, a, b: {"first_id": v["id"][a], "last_id": v["id"][b], "start_ms": v["s"][a], "end_ms": v["e"][b], "segments": b - a + 1}
     rows = _timed(spark, directory).select("lecture_id", "id", "s", "e")
-    return ordered.fold_islands(rows, ["lecture_id"], "s", "e", ["e", "id"], TARGET_MS, fold, "lecture_id string, first_id string, last_id string, start_ms bigint, end_ms bigint, segments bigint")
+    step = ordered.window_step("s", "e", TARGET_MS, OVERLAP_MS)
+    return runs(rows, ["lecture_id"], "s", ["e", "id"], ["e", "id"], TARGET_MS, step, emit, "lecture_id string, first_id string, last_id string, start_ms bigint, end_ms bigint, segments bigint")
 
 
 def gap_sessions(spark: SparkSession, directory: str) -> DataFrame:
@@ -38,15 +35,10 @@ def gap_sessions(spark: SparkSession, directory: str) -> DataFrame:
 
 def span_sessions(spark: SparkSession, directory: str) -> DataFrame:
     """Passages of about 20 s: cut at pauses of a second, at sentence ends past the target, and once 1.5 times the target has passed."""
-
-    def fold(rows: list[dict], final: bool) -> list[dict]:
-        closes = [(r["text"] or "").rstrip().endswith((".", "!", "?")) for r in rows]
-        numbers = ordered.word_sessions([r["s"] for r in rows], [r["e"] for r in rows], closes, 1000, SPAN_MS)
-        made = [list(g) for _, g in groupby(rows, key=lambda r, n=iter(numbers): next(n))]
-        return [{"lecture_id": g[0]["lecture_id"], "first_id": g[0]["id"], "start_ms": g[0]["s"], "end_ms": g[-1]["e"], "segments": len(g)} for g in made]
-
-    rows = _timed(spark, directory).select("lecture_id", "id", "s", "e", "text")
-    return ordered.fold_islands(rows, ["lecture_id"], "s", "e", ["e", "id"], GAP_MS, fold, "lecture_id string, first_id string, start_ms bigint, end_ms bigint, segments bigint")
+    emit = lambda v, a, b: {"first_id": v["id"][a], "start_ms": v["s"][a], "end_ms": v["e"][b], "segments": b - a + 1}
+    rows = _timed(spark, directory).select("lecture_id", "id", "s", "e", F.coalesce(F.rtrim("text").rlike(r"[.!?]$"), F.lit(False)).alias("closes"))
+    step = ordered.passage_step("s", "e", "closes", 1000, SPAN_MS)
+    return runs(rows, ["lecture_id"], "s", ["e", "id"], ["e", "id", "closes"], 2 * SPAN_MS, step, emit, "lecture_id string, first_id string, start_ms bigint, end_ms bigint, segments bigint")
 
 
 def count_batches(spark: SparkSession, directory: str) -> DataFrame:
@@ -76,8 +68,7 @@ def neighbour_context(spark: SparkSession, directory: str) -> DataFrame:
     """The two observations before and after each."""
     o = base.observations(spark, directory).where("s IS NOT NULL").select("lecture_id", "id", "s", "e")
     p = ordered.with_position(o, ["lecture_id"], "s", ["e", "id"])
-    for by, prefix in ((2, "b2_"), (1, "b1_"), (-1, "a1_"), (-2, "a2_")):
-        p = ordered.shifted(p, ["lecture_id"], "pos", ["id"], by, prefix)
+    p = neighbours(p, ["lecture_id"], "pos", ["id"], {"b2_": 2, "b1_": 1, "a1_": -1, "a2_": -2})
     return p.select("lecture_id", "id", F.concat_ws(" ", "b2_id", "b1_id", "a1_id", "a2_id").alias("neighbours"))
 
 
@@ -89,13 +80,10 @@ def merged_speech(spark: SparkSession, directory: str) -> DataFrame:
 
 def capped_speech(spark: SparkSession, directory: str) -> DataFrame:
     """Speech joined over pauses of up to 800 ms into parts of at most 30 s."""
-
-    def fold(rows: list[dict], final: bool) -> list[dict]:
-        parts = sorted(p for r in rows for p in ordered.pieces(r["s"], r["e"], 30_000))
-        return [{"lecture_id": rows[0]["lecture_id"], "start_ms": a, "end_ms": b} for a, b in ordered.capped_merge(parts, 30_000, 800)]
-
-    rows = _timed(spark, directory).select("lecture_id", "id", "s", "e")
-    return ordered.fold_islands(rows, ["lecture_id"], "s", "e", ["e", "id"], 801, fold, "lecture_id string, start_ms bigint, end_ms bigint")
+    rows = _timed(spark, directory).select("lecture_id", "e", F.explode(ordered.piece_starts(F.col("s"), F.col("e"), 30_000)).alias("a"))
+    rows = rows.select("lecture_id", F.col("a").alias("s"), F.least("e", F.col("a") + 30_000).alias("e"))
+    emit = lambda v, a, b: {"start_ms": v["s"][a], "end_ms": max(v["e"][a : b + 1])}
+    return runs(rows, ["lecture_id"], "s", ["e"], ["e"], 60_000, ordered.speech_step("s", "e", 30_000, 800), emit, "lecture_id string, start_ms bigint, end_ms bigint")
 
 
 def probe_times(spark: SparkSession, directory: str) -> DataFrame:

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from quarryline.operators import ordered
 from quarryline.operators.joins import asof_join, nearest_time, overlap_join
-from quarryline.operators.ranking import next_fit, suppress, suppress_boxes, uniform_picks
-from quarryline.plans.scan import running, shifted, with_position
+from quarryline.operators.ranking import lexical_top, next_fit, suppress, suppress_boxes, uniform_picks
+from quarryline.plans.chains import runs
+from quarryline.plans.scan import neighbours, running, shifted, with_position
 
 
 def frame(spark, seed=1, n=300):
@@ -53,30 +54,86 @@ def test_gap_sessions_and_batches(spark):
     assert {n: sorted(r["t"] for r in b.collect() if r["batch"] == n) for n in range(4)} == {0: [0, 1, 2, 3], 1: [3, 4, 5, 6], 2: [6, 7, 8, 9], 3: [9, 10]}
 
 
+def windows(starts, ends, target, overlap):
+    return ordered.all_runs({"s": starts, "e": ends}, ordered.window_step("s", "e", target, overlap))
+
+
 def test_overlapping_windows():
     starts, ends = [0, 60, 120, 180], [60, 120, 180, 240]
-    assert ordered.overlapping_windows(starts, ends, 150, 0) == [(0, 1), (2, 3)]
-    assert ordered.overlapping_windows(starts, ends, 180, 70) == [(0, 2), (1, 3)]
-    assert ordered.overlapping_windows([], [], 180, 70) == []
-    assert ordered.overlapping_windows([0], [999], 180, 70) == [(0, 0)]
+    assert windows(starts, ends, 150, 0) == [(0, 1), (2, 3)]
+    assert windows(starts, ends, 180, 70) == [(0, 2), (1, 3)]
+    assert windows([], [], 180, 70) == []
+    assert windows([0], [999], 180, 70) == [(0, 0)]
+
+
+def test_passages():
+    values = {"s": [0, 10, 21, 1030, 1100], "e": [9, 20, 30, 1090, 1200], "c": [False, True, False, False, False]}
+    assert ordered.all_runs(values, ordered.passage_step("s", "e", "c", 1000, 15)) == [(0, 1), (2, 2), (3, 3), (4, 4)]
+    values = {"s": [0, 10, 30, 40], "e": [9, 29, 35, 50], "c": [False] * 4}
+    assert ordered.all_runs(values, ordered.passage_step("s", "e", "c", 1000, 18)) == [(0, 1), (2, 3)]  # cut after the row that passes
+
+
+def test_runs_in_blocks_are_the_runs_of_the_whole(spark):
+    rng = random.Random(11)
+    rows = []
+    for key, n in (("hot", 900), ("a", 3), (None, 40), ("b", 1)):
+        at = 0
+        for i in range(n):
+            at += rng.choice([1, 4, 9, 9, 30] if i % 50 else [400])
+            rows.append((key, f"r{i:04}", at, at + rng.choice([2, 6, 12])))
+    df = spark.createDataFrame(rows, "k string, id string, s bigint, e bigint").repartition(5)
+    steps = ((ordered.window_step("s", "e", 60, 20), 60), (ordered.passage_step("s", "e", "odd", 25, 40), 100), (ordered.speech_step("s", "e", 50, 5), 60))
+    for step, span in steps:
+        want = set()
+        for key in ("hot", "a", None, "b"):
+            own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[2], r[3], r[1]))
+            values = {"s": [r[2] for r in own], "e": [r[3] for r in own], "odd": [r[1][-1] in "13579" for r in own]}
+            want |= {(key, own[x][1], own[y][1]) for x, y in ordered.all_runs(values, step)}
+        for block, halo in ((1000, 1000), (64, 32), (16, 1)):
+            source = df.withColumn("odd", F.substring("id", 5, 1).cast("int") % 2 == 1)
+            got = runs(source, ["k"], "s", ["e", "id"], ["id", "e", "odd"], span, step, lambda v, x, y: {"first": v["id"][x], "last": v["id"][y]}, "k string, first string, last string", block, halo).collect()
+            assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert runs(source.limit(0), ["k"], "s", ["e", "id"], ["id", "e", "odd"], span, step, lambda v, x, y: {}, "k string").collect() == []
+
+
+def test_an_uninterrupted_lecture_is_split(spark):
+    """A lecture without a pause: windows of 96 rows each, whatever the number of blocks."""
+    df = spark.range(200_000).select(F.lit(None).cast("string").alias("k"), F.col("id").cast("string").alias("id"), (F.col("id") * 5_000).alias("s"), (F.col("id") * 5_000 + 5_000).alias("e"))
+    got = runs(df, ["k"], "s", ["e"], ["e"], 480_000, ordered.window_step("s", "e", 480_000, 120_000), lambda v, x, y: {"rows": y - x + 1}, "k string, rows int").groupBy("rows").count().collect()
+    assert {r["rows"]: r["count"] for r in got} == {96: 2777, 56: 1} or sum(r["count"] for r in got) == 1 + -(-(200_000 - 96) // 72)
+
+
+def test_neighbours(spark):
+    rows, df = frame(spark, 7)
+    placed = with_position(df, ["k"], "t", ["id"])
+    got = {r["id"]: (r["b_id"], r["a_id"]) for r in neighbours(placed, ["k"], "pos", ["id"], {"b_": 2, "a_": -1}, 8).collect()}
+    assert len(got) == len(rows)
+    for own in in_order(rows).values():
+        ids = [None, None, *[r[1] for r in own], None]
+        assert all(got[r[1]] == (ids[i], ids[i + 3]) for i, r in enumerate(own))
+
+
+def test_ties_are_placed_alike_in_every_evaluation(spark):
+    df = spark.range(2000).select(F.lit("k").alias("k"), F.lit(5).cast("bigint").alias("t"), (F.col("id") * 7919 % 2000).alias("v"))
+    place = lambda d: {r["v"]: r["pos"] for r in with_position(d, ["k"], "t", []).collect()}
+    assert place(df) == place(df.repartition(7, "v"))
 
 
-def test_windows_split_at_gaps_are_the_windows_of_the_whole():
-    rng = random.Random(3)
-    for _ in range(60):
-        starts, t = [], 0
-        for _ in range(rng.randrange(1, 25)):
-            t += rng.choice([5, 10, 15, 200])
-            starts.append(t)
-        ends = [s + rng.choice([2, 5]) for s in starts]
-        whole = ordered.overlapping_windows(starts, ends, 40, 15)
-        cuts = [0, *[i for i in range(1, len(starts)) if starts[i] - max(ends[:i]) >= 40], len(starts)]
-        parts = [(a + f, a + x) for a, b in zip(cuts, cuts[1:]) for f, x in ordered.overlapping_windows(starts[a:b], ends[a:b], 40, 15, b == len(starts))]
-        assert parts == whole
+def test_folds_and_batches_keep_null_keys(spark):
+    df = spark.createDataFrame([(None, "x", 0, 5), (None, "y", 6, 9), ("a", "z", 1, 2)], "k string, id string, s bigint, e bigint")
+    folded = ordered.fold_islands(df, ["k"], "s", "e", ["e", "id"], 100, lambda part, final: [{"k": part[0]["k"], "n": len(part)}], "k string, n int").collect()
+    assert {(r["k"], r["n"]) for r in folded} == {(None, 2), ("a", 1)}
+    assert ordered.count_batches(df.withColumnRenamed("s", "t"), ["k"], "t", ["id"], 4, 3).count() == 3
 
 
-def test_word_sessions():
-    assert ordered.word_sessions([0, 10, 21, 1030, 1100], [9, 20, 30, 1090, 1200], [False, True, False, False, False], 1000, 15) == [0, 0, 1, 2, 3]
+def test_best_texts_by_map_and_by_join(spark):
+    rng = random.Random(12)
+    vocabulary = [f"word{i}" for i in range(30)]
+    texts = spark.createDataFrame([(i if i else None, " ".join(rng.choices(vocabulary, k=rng.choice([0, 3, 12])))) for i in range(200)] + [(500, None)], "text_id bigint, text string")
+    queries = spark.createDataFrame([(q, " ".join(rng.choices(vocabulary, k=6))) for q in range(9)] + [(9, None), (10, "no")], "query_id bigint, query string")
+    one = sorted(map(str, lexical_top(queries, texts, 4).collect()))
+    assert one == sorted(map(str, lexical_top(queries, texts, 4, broadcast_words=0).collect())) and len(one) == 36
+    assert lexical_top(queries.limit(0), texts, 4).collect() == []
 
 
 def test_joins_on_time(spark):
@@ -116,7 +173,8 @@ def test_suppression_and_packing(spark):
 
 def test_pieces_and_caps():
     assert ordered.pieces(0, 100, 40) == [(0, 40), (40, 80)] and ordered.pieces(0, 20, 40) == [(0, 20)] and ordered.pieces(0, 140, 40, 10) == [(0, 40), (40, 80), (80, 120), (120, 140)]
-    assert ordered.capped_merge([(0, 5), (6, 9), (30, 31), (32, 50)], 15, 3) == [(0, 9), (30, 31), (32, 50)]
+    values = {"s": [0, 6, 30, 32], "e": [5, 9, 31, 50]}
+    assert ordered.all_runs(values, ordered.speech_step("s", "e", 15, 3)) == [(0, 1), (2, 2), (3, 3)]
 
 
 def test_edits(spark):
