@@ -47,4 +47,12 @@ def event_properties(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (escaped_blocks, laid_out_formulas, formula_gate, target_likeness, event_properties)}
-SQL = {"event_properties": "SELECT event_id, CAST(props ->> '$.k' AS BIGINT) AS k FROM events"}
+_ESCAPE = "replace({0}, chr(92), chr(1))"
+for _c in "&%$#_{}":
+    _ESCAPE = f"replace({_ESCAPE}, '{_c.replace('{', '{{').replace('}', '}}')}', chr(92) || '{_c.replace('{', '{{').replace('}', '}}')}')"
+_ESCAPE = f"replace(replace(replace({_ESCAPE}, '~', '\\textasciitilde{{{{}}}}'), '^', '\\textasciicircum{{{{}}}}'), chr(1), '\\textbackslash{{{{}}}}')"
+SQL = {
+    "event_properties": "SELECT event_id, CAST(props ->> '$.k' AS BIGINT) AS k FROM events",
+    "escaped_blocks": f"""WITH n AS (SELECT DISTINCT lecture_id, id, title, string_split(title, '$') AS p FROM graph_nodes WHERE title <> '')
+SELECT lecture_id, id, CASE WHEN len(p) % 2 = 0 THEN {_ESCAPE.format('title')} ELSE array_to_string(list_transform(p, lambda x, i: CASE WHEN i % 2 = 1 THEN {_ESCAPE.format('x')} ELSE x END), '$') END AS title FROM n""",
+}

@@ -122,6 +122,13 @@ def _time_rounds(rounds: int = 12) -> str:
 
 QUERIES = {f.__name__: f for f in (dependency_pairs, unresolved_closure, proof_support, proof_components, topic_votes, consensus_closure, effective_times, section_assignment, section_order)}
 SQL = {
+    "section_order": _time_rounds().rsplit(" SELECT", 1)[0].replace("WITH ", "WITH RECURSIVE ", 1)
+    + """, x AS MATERIALIZED (SELECT lecture_id, node, t, CAST(floor(t / 360000) AS BIGINT) AS section FROM t12 WHERE t IS NOT NULL),
+y AS MATERIALIZED (SELECT x.lecture_id, x.section, x.node, x.t, coalesce(list(q.node) FILTER (q.node IS NOT NULL), []) AS needs FROM x LEFT JOIN d ON d.lecture_id = x.lecture_id AND d.src = x.node AND d.dst <> x.node LEFT JOIN x q ON q.lecture_id = d.lecture_id AND q.node = d.dst AND q.section = x.section GROUP BY 1, 2, 3, 4),
+z AS (SELECT lecture_id, section, CAST([] AS VARCHAR[]) AS done FROM (SELECT DISTINCT lecture_id, section FROM y) UNION ALL
+  SELECT z.lecture_id, z.section, list_append(done, first(y.node ORDER BY y.t, y.node)) FROM z JOIN y ON y.lecture_id = z.lecture_id AND y.section = z.section WHERE NOT list_contains(done, y.node) AND list_has_all(done, needs) GROUP BY z.lecture_id, z.section, done),
+f AS (SELECT lecture_id, section, arg_max(done, len(done)) AS done FROM z GROUP BY 1, 2)
+SELECT y.lecture_id, y.section, y.node, CAST(CASE WHEN list_contains(done, y.node) THEN list_position(done, y.node) - 1 ELSE len(done) + row_number() OVER (PARTITION BY y.lecture_id, y.section, list_contains(done, y.node) ORDER BY y.t, y.node) - 1 END AS INT) AS place FROM y JOIN f ON f.lecture_id = y.lecture_id AND f.section = y.section""",
     "topic_votes": _topic_rounds(),
     "effective_times": _time_rounds(),
     "dependency_pairs": f"WITH {_G} SELECT lecture_id, src, dst FROM d",

@@ -58,6 +58,12 @@ def best_candidates(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (sparse_edges, beam_readings, choice_marginals, pareto_windows, best_candidates)}
 SQL = {
+    "beam_readings": f"""WITH RECURSIVE p AS (SELECT lecture_id, window_id, id, kind, coalesce(confidence, 0.5) AS c, row_number() OVER (PARTITION BY lecture_id, window_id ORDER BY id) AS i, count(*) OVER (PARTITION BY lecture_id, window_id) AS n FROM ({OBS})),
+u AS (SELECT *, lag(kind) OVER (PARTITION BY lecture_id, window_id ORDER BY i) AS before FROM p), g AS (SELECT u.*, x.r, x.o, CASE x.r WHEN '+' THEN 2 * c - 1 WHEN '?' THEN 0.0 ELSE -0.15 - 0.7 * c END AS own FROM u, (VALUES ('+', 0), ('?', 1), ('-', 2)) x(r, o)),
+w AS (SELECT lecture_id, window_id, CAST(0 AS BIGINT) AS i, CAST(1 AS BIGINT) AS rank, CAST(0 AS DOUBLE) AS score, CAST([] AS VARCHAR[]) AS path FROM (SELECT DISTINCT lecture_id, window_id FROM p) UNION ALL
+  SELECT lecture_id, window_id, i, rank, score, path FROM (SELECT g.lecture_id, g.window_id, g.i, w.score + g.own + CASE WHEN w.i > 0 AND g.kind = g.before THEN CASE WHEN w.path[w.i] = g.r THEN 0.25 ELSE -0.25 END ELSE 0 END AS score, list_append(w.path, g.r) AS path,
+    row_number() OVER (PARTITION BY g.lecture_id, g.window_id ORDER BY w.score + g.own + CASE WHEN w.i > 0 AND g.kind = g.before THEN CASE WHEN w.path[w.i] = g.r THEN 0.25 ELSE -0.25 END ELSE 0 END DESC, w.rank, g.o) AS rank FROM w JOIN g ON g.lecture_id = w.lecture_id AND g.window_id = w.window_id AND g.i = w.i + 1) WHERE rank <= 16)
+SELECT p.lecture_id, p.window_id, p.id, w.path[p.i] AS reading, round(w.score, 6) AS score FROM p JOIN w ON w.lecture_id = p.lecture_id AND w.window_id = p.window_id AND w.i = p.n AND w.rank = 1""",
     "sparse_edges": rf"""WITH o AS (SELECT lecture_id, id, {ms('start_sec')} AS s, {ms('end_sec')} AS e, list_filter(list_distinct(regexp_extract_all(coalesce(latex, ''), '\\[A-Za-z]+|[A-Za-z]')), lambda x: length(x) > 1 AND x NOT IN ({', '.join(f"'{x}'" for x in _STRUCTURE)})) AS y FROM ({OBS}) WHERE start_sec IS NOT NULL AND end_sec IS NOT NULL),
 p AS (SELECT *, row_number() OVER (PARTITION BY lecture_id ORDER BY s, e, id) AS pos, count(*) OVER (PARTITION BY lecture_id) AS n FROM o),
 t AS (SELECT lecture_id, id, pos, s, e, n, unnest(y) AS g FROM p), f AS (SELECT lecture_id, g, count(*) AS df FROM t GROUP BY 1, 2),

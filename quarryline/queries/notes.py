@@ -244,6 +244,7 @@ SQL = {
     "record_symbols": f"WITH {_O}, s AS (SELECT lecture_id, window_id, id AS place, {_SQUEEZE.format('latex')} AS symbol FROM o WHERE kind = 'equation' AND latex IS NOT NULL), p AS (SELECT lecture_id, window_id, id, {_SQUEEZE.format('concat_ws(chr(32), text, latex)')} AS probe FROM o WHERE kind = 'claim'), j AS (SELECT p.lecture_id, p.window_id, p.id, symbol, place, symbol <> '' AND contains(probe, symbol) AS hit FROM p JOIN s ON s.lecture_id = p.lecture_id AND s.window_id = p.window_id), a AS (SELECT *, bool_or(hit) OVER (PARTITION BY lecture_id, window_id, id) AS has FROM j), q AS (SELECT *, row_number() OVER (PARTITION BY lecture_id, window_id, id ORDER BY place DESC, symbol DESC) AS n FROM a WHERE hit OR NOT has) SELECT lecture_id, window_id, id, symbol FROM q WHERE n <= CASE WHEN has THEN 2 ELSE 1 END",
     "evidence_catalog": f"WITH {_O}, a AS (SELECT DISTINCT o.lecture_id, window_id, trim(unnest(refs)) AS ref FROM o JOIN r USING (lecture_id, id)), b AS (SELECT DISTINCT lecture_id, id AS window_id, trim(unnest(segment_ids)) AS ref FROM ({CHUNK})) SELECT *, true AS direct, 'observation' AS origin FROM a WHERE ref <> '' UNION ALL SELECT *, false, 'window' FROM b ANTI JOIN a USING (lecture_id, window_id, ref) WHERE ref <> ''",
     "boundary_records": f"WITH {_O}, p AS (SELECT lecture_id, window_id, id, coalesce(kind = 'equation', false) AS l, coalesce(kind = 'claim', false) AS r FROM o), q AS (SELECT *, bool_or(l OR r) OVER w AS has, sum(CAST(l AS INT)) OVER (PARTITION BY lecture_id, window_id ORDER BY id DESC) AS nl, sum(CAST(r AS INT)) OVER (PARTITION BY lecture_id, window_id ORDER BY id) AS nr, row_number() OVER (PARTITION BY lecture_id, window_id ORDER BY id) - 1 AS i, count(*) OVER w // 2 AS m FROM p WINDOW w AS (PARTITION BY lecture_id, window_id)) SELECT lecture_id, window_id, id FROM q WHERE l AND nl <= 2 OR r AND nr <= 2 OR NOT has AND i BETWEEN m - 2 AND m + 1",
+    "timeless_words": "SELECT DISTINCT lecture_id, id, CAST(to_json(list_transform(words, lambda x: {'text': x.text})) AS VARCHAR) AS words FROM transcript_segments WHERE len(words) > 0",
     "references_within": f"WITH {_O}, c AS ({CHUNK}), x AS (SELECT o.lecture_id, o.id, list_filter(refs, lambda v: list_contains(segment_ids, v)) AS l FROM o JOIN r USING (lecture_id, id) JOIN c ON c.lecture_id = o.lecture_id AND c.id = o.window_id) SELECT lecture_id, id, array_to_string({_ONCE.format('l')}, ' ') AS refs FROM x",
     "local_requests": f"WITH r AS (SELECT DISTINCT lecture_id, regexp_extract(id, '^(window_[0-9]+)', 1) AS window_id, {ms('ts_sec')} AS t FROM visual_requests WHERE ts_sec IS NOT NULL), c AS (SELECT lecture_id, id AS window_id, {ms('start_sec')} AS s, {ms('end_sec')} AS e FROM ({CHUNK})), j AS (SELECT r.*, s, e, t BETWEEN s AND e AS inside FROM r JOIN c USING (lecture_id, window_id) WHERE s IS NOT NULL AND e IS NOT NULL) SELECT lecture_id, window_id, coalesce(string_agg(t, ' ' ORDER BY t) FILTER (inside), CAST(first(t ORDER BY abs(t - (s + e) / 2.0), t) AS VARCHAR)) AS times FROM j GROUP BY 1, 2",
     "concatenated_windows": f"WITH {_O}, x AS (SELECT lecture_id, window_id, flatten(list(coalesce(refs, []) ORDER BY id)) AS a, list(kind ORDER BY id) AS k FROM o JOIN r USING (lecture_id, id) GROUP BY 1, 2) SELECT lecture_id, window_id, array_to_string(a, ' ') AS refs, array_to_string({_ONCE.format('k')}, ' ') AS kinds FROM x",

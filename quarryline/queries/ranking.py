@@ -86,6 +86,21 @@ def sampled_events(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (deduped_requests, low_confidence_top, lexical_top, next_fit_payloads, budget_prefixes, diverse_crops, suppressed_boxes, uniform_frames, sampled_events)}
 _C = "SELECT DISTINCT lower(trim(lecture_id)) AS lecture_id, id, ts_sec, detector_confidence AS score FROM formula_crops WHERE ts_sec IS NOT NULL"
 SQL = {
+    "deduped_requests": f"""WITH RECURSIVE r AS (SELECT DISTINCT lower(trim(lecture_id)) AS lecture_id, id, {ms('ts_sec')} AS at_ms, priority FROM visual_requests WHERE ts_sec IS NOT NULL), p AS (SELECT *, row_number() OVER (PARTITION BY lecture_id ORDER BY priority DESC, at_ms, id) AS i FROM r),
+w AS (SELECT lecture_id, id, at_ms, priority, i, true AS kept, [at_ms] AS k FROM p WHERE i = 1 UNION ALL
+  SELECT p.lecture_id, p.id, p.at_ms, p.priority, p.i, len(list_filter(k, lambda x: abs(x - p.at_ms) <= 20000)) = 0, CASE WHEN len(list_filter(k, lambda x: abs(x - p.at_ms) <= 20000)) = 0 THEN list_append(k, p.at_ms) ELSE k END FROM w JOIN p ON p.lecture_id = w.lecture_id AND p.i = w.i + 1)
+SELECT lecture_id, id, at_ms, priority FROM w WHERE kept""",
+    "suppressed_boxes": """WITH RECURSIVE c AS (SELECT DISTINCT lower(trim(lecture_id)) AS lecture_id, id, CAST(floor(ts_sec) AS BIGINT) AS second, bbox, coalesce(detector_confidence, 0) AS score FROM formula_crops WHERE ts_sec IS NOT NULL AND len(bbox) = 4),
+p AS (SELECT *, greatest(bbox[3] - bbox[1], 1) * greatest(bbox[4] - bbox[2], 1) AS area, row_number() OVER (PARTITION BY lecture_id, second ORDER BY score DESC, id) AS i FROM c),
+w AS (SELECT lecture_id, second, id, i, true AS kept, [{'b': bbox, 'a': area}] AS k FROM p WHERE i = 1 UNION ALL
+  SELECT lecture_id, second, id, i, NOT over, CASE WHEN over THEN k ELSE list_append(k, {'b': bbox, 'a': area}) END FROM (SELECT p.lecture_id, p.second, p.id, p.i, p.bbox, p.area, k,
+    len(list_filter(k, lambda x: greatest(least(x.b[3], p.bbox[3]) - greatest(x.b[1], p.bbox[1]), 0) * greatest(least(x.b[4], p.bbox[4]) - greatest(x.b[2], p.bbox[2]), 0)
+      >= 0.7 * (x.a + p.area - greatest(least(x.b[3], p.bbox[3]) - greatest(x.b[1], p.bbox[1]), 0) * greatest(least(x.b[4], p.bbox[4]) - greatest(x.b[2], p.bbox[2]), 0)))) > 0 AS over FROM w JOIN p ON p.lecture_id = w.lecture_id AND p.second = w.second AND p.i = w.i + 1))
+SELECT lecture_id, second, id FROM w WHERE kept""",
+    "next_fit_payloads": f"""WITH RECURSIVE o AS ({OBS}), p AS (SELECT lecture_id, window_id, coalesce(length(text), 0) + coalesce(length(latex), 0) + 1 AS n, row_number() OVER (PARTITION BY lecture_id, window_id ORDER BY id) AS i FROM o),
+w AS (SELECT lecture_id, window_id, i, n, 0 AS bin, n AS used, 1 AS items FROM p WHERE i = 1 UNION ALL
+  SELECT p.lecture_id, p.window_id, p.i, p.n, bin + CAST(used + p.n > 2000 OR items >= 24 AS INT), CASE WHEN used + p.n > 2000 OR items >= 24 THEN p.n ELSE used + p.n END, CASE WHEN used + p.n > 2000 OR items >= 24 THEN 1 ELSE items + 1 END FROM w JOIN p ON p.lecture_id = w.lecture_id AND p.window_id = w.window_id AND p.i = w.i + 1)
+SELECT lecture_id, window_id, bin, count(*) AS items, sum(n) AS characters FROM w GROUP BY 1, 2, 3""",
     "low_confidence_top": f"WITH c AS (SELECT DISTINCT lecture_id, id AS window_id, unnest(segment_ids) AS id FROM ({base.CHUNK})), s AS ({SEG}) SELECT c.lecture_id, window_id, c.id, row_number() OVER (PARTITION BY c.lecture_id, window_id ORDER BY confidence, start_sec NULLS FIRST, c.id) AS rank FROM c JOIN s ON c.lecture_id = s.lecture_id AND c.id = s.id WHERE confidence < 0.6 QUALIFY rank <= 2",
     "lexical_top": r"WITH q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{3,}')) AS w FROM eval_items), n AS (SELECT item_id, count(*) AS n FROM q GROUP BY 1), t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{3,}')) AS w FROM documents), h AS (SELECT item_id, doc_id, count(*) AS k FROM q JOIN t USING (w) GROUP BY 1, 2) SELECT item_id AS query_id, doc_id AS text_id, round(k / n, 6) AS score, row_number() OVER (PARTITION BY item_id ORDER BY k / n DESC, doc_id) AS rank FROM h JOIN n USING (item_id) QUALIFY rank <= 5",
     "budget_prefixes": f"WITH o AS (SELECT lecture_id, id, {ms('start_sec')} AS s, coalesce(length(text), 0) AS n FROM ({OBS}) WHERE start_sec IS NOT NULL) SELECT lecture_id, id, sum(n) OVER (PARTITION BY lecture_id ORDER BY s, id ROWS UNBOUNDED PRECEDING) AS used FROM o QUALIFY used <= 20000",

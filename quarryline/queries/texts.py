@@ -85,7 +85,17 @@ _case = lambda i: "CASE " + " ".join(f"WHEN regexp_matches(text, '{r[0].replace(
 _RU = lambda p: p.replace("(?iu)", "(?i)").replace("'", "''")
 _tok = r"list_distinct(regexp_extract_all(lower(coalesce({}, '')), '[\p{{L}}\p{{N}}_\\]+'))"
 QUERIES = {f.__name__: f for f in (rule_requests, correction_signals, normal_texts, jaccard_targets, clock_times, symbol_sets, node_sentences, signature_sets, tex_balance, safe_ids, content_hashes)}
+_NARRATION = "(?i)(на доске|лектор|on the board|the lecturer|an der tafel|au tableau|видно ли|can you all see)"
+_SETS = r"""list_sort(list_distinct(list_filter(regexp_extract_all(translate(coalesce({0}, ''), '−', '-'), '[\p{{L}}\p{{M}}\p{{Nd}}_]+'), lambda v: regexp_full_match(v, '[A-Za-z]')))) AS "{1}s", list_sort(list_distinct(regexp_extract_all(translate(coalesce({0}, ''), '−', '-'), '[0-9]+'))) AS {1}n,
+list_distinct(list_transform(regexp_extract_all(translate(coalesce({0}, ''), '−', '-'), '[A-Za-z][A-Za-z0-9_()]*\s*=\s*-?[A-Za-z][A-Za-z0-9_()]*'), lambda x: regexp_replace(x, '\s+', '', 'g'))) AS {1}e"""
 SQL = {
+    "node_sentences": rf"""WITH n AS (SELECT DISTINCT lecture_id, id, title, semantic_text FROM graph_nodes),
+x AS (SELECT lecture_id, id, list_filter(list_concat([title], coalesce(list_filter(string_split(regexp_replace(semantic_text, '([.!?])\s+([A-ZА-ЯЁ])', '\1' || chr(30) || '\2', 'g'), chr(30)), lambda v: trim(v, ' ') <> ''), [])), lambda v: trim(v, ' ') <> '') AS l FROM n),
+y AS (SELECT lecture_id, id, list_filter(list_filter(l, lambda v, i: list_position(l, v) = i), lambda v: NOT regexp_matches(v, '{_NARRATION}')) AS l FROM x)
+SELECT lecture_id, id, CAST(generate_subscripts(l, 1) - 1 AS INT) AS unit_no, unnest(l) AS unit FROM y""",
+    "signature_sets": rf"""WITH n AS (SELECT DISTINCT lecture_id, id, title, semantic_text FROM graph_nodes), x AS (SELECT *, {_SETS.format('semantic_text', 'a')}, {_SETS.format('title', 'b')} FROM n)
+SELECT lecture_id, id, array_to_string("as", ' ') AS symbols, array_to_string(an, ' ') AS numbers, CASE WHEN trim(coalesce(title, ''), ' ') = '' THEN 'empty' WHEN regexp_matches(title, '{_NARRATION}') THEN 'narration' WHEN an <> bn THEN 'numbers'
+WHEN len(list_filter(bs, lambda v: NOT list_contains("as", v))) > 0 THEN 'new symbols' WHEN len(list_filter(be, lambda v: NOT list_contains(ae, v))) > 0 THEN 'new equality' WHEN length(title) > 2 * length(semantic_text) THEN 'too long' ELSE 'ok' END AS verdict FROM x""",
     "rule_requests": f"WITH s AS ({SEG}) SELECT lecture_id, id AS segment_id, {_case(1)} AS reason, {_case(2)} AS priority, CAST(floor(({base.ms('start_sec')} + {base.ms('end_sec')}) / 2) AS BIGINT) AS at_ms FROM s WHERE reason IS NOT NULL",
     "correction_signals": f"WITH s AS ({SEG}) SELECT lecture_id, id AS segment_id FROM s WHERE regexp_matches(text, '{_RU(T.CORRECTION)}')",
     "normal_texts": rf"WITH o AS ({OBS}) SELECT lecture_id, id, lower(regexp_replace(coalesce(latex, ''), '\s+', '', 'g')) AS latex_key, lower(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS text_key, len({_tok.format('text')}) AS n_tokens FROM o",

@@ -190,6 +190,11 @@ FROM p JOIN x ON x.lecture_id = p.lecture_id AND x.id = p.id JOIN y ON y.lecture
     "pruned_windows": f'WITH w AS (SELECT concat_ws(chr(47), lecture_id, window_id) AS "window", count(*) FILTER (kind = {_UNRESOLVED}) AS unresolved, count(*) FILTER (coalesce(confidence, 0) < 0.8) AS low, -count(*) AS fewer FROM ({OBS}) WHERE window_id IS NOT NULL GROUP BY 1) SELECT * FROM w WHERE unresolved = (SELECT min(unresolved) FROM w) ORDER BY low, fewer, "window" LIMIT 25',
     "canonical_sources": "SELECT doc_id, CASE lower(trim(CASE WHEN trim(lang, ' ') <> '' THEN lang WHEN trim(source, ' ') <> '' THEN source END, ' ')) WHEN 'en' THEN 'en' WHEN 'de' THEN 'de' WHEN 'fr' THEN 'fr' WHEN 'ru' THEN 'ru' WHEN 'eng' THEN 'en' ELSE 'other' END AS lang FROM documents",
     "reindexed_segments": f"SELECT lecture_id, id, row_number() OVER (PARTITION BY lecture_id ORDER BY {ms('start_sec')}, {ms('end_sec')} NULLS FIRST, id) - 1 AS pos FROM ({SEG}) WHERE start_sec IS NOT NULL",
+    "halved_windows": f"""WITH RECURSIVE p AS (SELECT lecture_id, window_id, id, coalesce(length(text), 0) AS n, row_number() OVER (PARTITION BY lecture_id, window_id ORDER BY id) - 1 AS i FROM ({OBS}) WHERE window_id IS NOT NULL),
+t AS (SELECT *, sum(n) OVER (PARTITION BY lecture_id, window_id ORDER BY i) AS upto, count(*) OVER (PARTITION BY lecture_id, window_id) AS k FROM p),
+c AS (SELECT lecture_id, window_id, list(upto ORDER BY i) AS u, list(id ORDER BY i) AS ids, max(k) AS k FROM t GROUP BY 1, 2),
+w AS (SELECT lecture_id, window_id, u, ids, CAST(0 AS BIGINT) AS a, k AS b FROM c UNION ALL SELECT lecture_id, window_id, u, ids, unnest([a, a + (b - a) // 2]), unnest([a + (b - a) // 2, b]) FROM w WHERE b - a > 1 AND u[b] - coalesce(u[a], 0) > 400)
+SELECT lecture_id, window_id, ids[a + 1] AS first_id, CAST(b - a AS INT) AS rows, CAST(u[b] - coalesce(u[a], 0) AS INT) AS characters FROM w WHERE b - a = 1 OR u[b] - coalesce(u[a], 0) <= 400""",
     "artifact_windows": f"SELECT lecture_id, id, array_to_string(list_sort(list_distinct(list_filter(segment_ids, lambda x: x IS NOT NULL))), ' ') AS segment_ids FROM ({CHUNK}) WHERE len(segment_ids) > 0",
     "written_lectures": rf"""WITH b AS ({BLOCK}), t AS (SELECT lecture_id, coalesce(latex, '') AS body, block_type, CASE WHEN trim(title, ' ') <> '' THEN '[' || title || ']' ELSE '' END AS head FROM b WHERE lecture_id IS NOT NULL),
 x AS (SELECT lecture_id, CASE WHEN block_type = 'equation' THEN '\[' || chr(10) || body || chr(10) || '\]' WHEN block_type IN ('definition', 'theorem', 'lemma', 'proof', 'example', 'remark', 'exercise') THEN '\begin{{' || block_type || '}}' || head || chr(10) || body || chr(10) || '\end{{' || block_type || '}}' ELSE body END AS tex FROM t)

@@ -105,7 +105,18 @@ QUERIES = {f.__name__: f for f in (chunk_windows, gap_sessions, span_sessions, c
 _S = f"s AS (SELECT lecture_id, id, {ms('start_sec')} AS s, {ms('end_sec')} AS e, text FROM ({SEG}) WHERE {ms('end_sec')} > {ms('start_sec')})"
 _O = f"o AS (SELECT lecture_id, id, {ms('start_sec')} AS s, {ms('end_sec')} AS e, kind FROM ({OBS}) WHERE start_sec IS NOT NULL)"
 _BY = "OVER (PARTITION BY lecture_id ORDER BY s, e NULLS FIRST, id"
+_P = f"p AS (SELECT *, row_number() {_BY}) - 1 AS i, lag(s) {_BY}) AS ps, lag(e) {_BY}) AS pe, lag(coalesce(regexp_matches(rtrim(text, ' '), '[.!?]$'), false)) {_BY}) AS pc, count(*) OVER (PARTITION BY lecture_id) AS n FROM s)"
 SQL = {
+    "span_sessions": f"""WITH RECURSIVE {_S}, {_P}, x AS (SELECT a.lecture_id, a.i, min(b.i) AS nx FROM p a JOIN p b ON b.lecture_id = a.lecture_id AND b.i > a.i AND b.ps >= a.s AND b.ps < a.s + {2 * SPAN_MS}
+  AND (b.s - b.pe >= 1000 OR (b.pe - a.s >= {SPAN_MS} AND b.pc) OR 2 * (b.pe - a.s) >= {3 * SPAN_MS}) GROUP BY 1, 2),
+w AS (SELECT lecture_id, CAST(0 AS BIGINT) AS i FROM p WHERE i = 0 UNION ALL SELECT x.lecture_id, x.nx FROM w JOIN x ON x.lecture_id = w.lecture_id AND x.i = w.i)
+SELECT w.lecture_id, a.id AS first_id, a.s AS start_ms, b.e AS end_ms, b.i - a.i + 1 AS segments FROM w JOIN p a ON a.lecture_id = w.lecture_id AND a.i = w.i LEFT JOIN x ON x.lecture_id = w.lecture_id AND x.i = w.i JOIN p b ON b.lecture_id = w.lecture_id AND b.i = coalesce(x.nx, a.n) - 1""",
+    "capped_speech": f"""WITH RECURSIVE {_S}, c AS (SELECT lecture_id, e, s AS s0, unnest(range(s, e, 30000)) AS a FROM s), q AS (SELECT lecture_id, a AS s, least(e, a + 30000) AS e FROM c WHERE e - a > 50 OR a = s0),
+p AS (SELECT *, row_number() OVER w - 1 AS i, lag(s) OVER w AS ps, count(*) OVER (PARTITION BY lecture_id) AS n FROM q WINDOW w AS (PARTITION BY lecture_id ORDER BY s, e)),
+r AS (SELECT a.lecture_id, a.i, a.s AS s0, b.i AS j, b.s, b.e, max(b.e) OVER (PARTITION BY a.lecture_id, a.i ORDER BY b.i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach, max(b.e) OVER (PARTITION BY a.lecture_id, a.i) AS top FROM p a JOIN p b ON b.lecture_id = a.lecture_id AND (b.i = a.i OR (b.i > a.i AND b.ps < a.s + 60000))),
+x AS (SELECT lecture_id, i, s0, min(j) FILTER (cut) AS nx, coalesce(arg_min(reach, j) FILTER (cut), max(top)) AS e FROM (SELECT *, reach IS NOT NULL AND (s - reach > 800 OR greatest(e, reach) - s0 > 30000) AS cut FROM r) GROUP BY 1, 2, 3),
+w AS (SELECT lecture_id, CAST(0 AS BIGINT) AS i FROM p WHERE i = 0 UNION ALL SELECT x.lecture_id, x.nx FROM w JOIN x ON x.lecture_id = w.lecture_id AND x.i = w.i WHERE x.nx IS NOT NULL)
+SELECT x.lecture_id, x.s0 AS start_ms, x.e AS end_ms FROM w JOIN x ON x.lecture_id = w.lecture_id AND x.i = w.i""",
     "chunk_windows": f"""WITH RECURSIVE {_S}, p AS (SELECT lecture_id, id, s, e, row_number() {_BY}) - 1 AS i, count(*) OVER (PARTITION BY lecture_id) AS n FROM s),
 l AS (SELECT a.lecture_id, a.i, a.n, coalesce(min(b.i), a.n) - 1 AS z FROM p a LEFT JOIN p b ON a.lecture_id = b.lecture_id AND b.i > a.i AND b.e - a.s > {TARGET_MS} GROUP BY 1, 2, 3),
 x AS (SELECT l.lecture_id, l.i, l.z, l.n, min(k.i) AS following FROM l JOIN p y ON y.lecture_id = l.lecture_id AND y.i = l.z LEFT JOIN p k ON k.lecture_id = l.lecture_id AND k.i > l.i AND k.i <= l.z + 1 AND (k.i = l.z + 1 OR k.e > y.e - {OVERLAP_MS}) GROUP BY 1, 2, 3, 4),
