@@ -7,7 +7,7 @@ the final classifier, a logistic regression on the votes and the shape of a span
 
 Three stages. Words are counted exactly, in a table of their own, and what a word is (given name, surname, ...) follows
 from *rates* alone, so a corpus delivered many times over gives the same names. Given names beyond the seed list are
-learned: a word that mostly stands before surnames or patronymics. Then a map over the documents proposes spans with
+learned: a word that often stands beside different surnames, or before patronymics. Then a map over the documents proposes spans with
 their votes, and the counts per pattern of votes, of which there are few, train the model. The table of words goes to
 the tasks as a broadcast while it has at most ``lexicon_words`` rows; beyond that each text gets its own words' rows by a join.
 """
@@ -84,7 +84,10 @@ _RU_LANE = r"(?:ая|ой|ый|ий|ов|ев),\s\d+-\d+"
 _RU_TOWN = r"(?:(?:\d{6},\s)?(?<!\p{L}\.\s?)(?<!\p{L})(?-i:г\.\s?|город\s|Г\.\s?(?=\p{Lu}{3}))\p{Cyrillic}[\p{Cyrillic}-]+,\s|\d{6},\s(?:\p{Cyrillic}[\p{Cyrillic}-]+,\s)?)"
 _RU = rf"{_RU_TOWN}?(?:(?<!\p{{L}}){_RU_KIND}\s{_RU_NAME}{_RU_HOUSE}|(?<!\p{{L}}){_RU_NAME}\s{_RU_KIND}{_RU_HOUSE})|{_RU_TOWN}(?=(?-i:\p{{Lu}})){_RU_NAME}{_RU_HOUSE}|(?<!\p{{L}})(?:\p{{Lu}}[\p{{Cyrillic}}-]+\s)?\p{{Cyrillic}}+{_RU_LANE}(?!-)"
 _DE_END, _DE_AT = r"(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|damm)", r"(?<!\p{L})(?:Am|An\sder|Im|Auf\sdem|Zum|Zur)\s\p{L}+"
-_DE_STREET = rf"(?:(?<!\p{{L}})\p{{L}}[\p{{L}}-]*{_DE_END}|{_DE_AT})\s\d{{1,4}}\s?[a-z]?\b"
+#: A street of two words begins with an adjective or the name of a place, not with a word that any street may follow.
+_DE_NO_NAME = r"(?:d(?:er|ie|en|iese|ieser|iesen)|(?:k|m|s|d)?eine[rn]?|unsere[rn]?|ihre[rn]?|jede[rn]?|welche[rn]?|alle[rn]?|über|unter|hinter|weiter|immer|wieder)"
+_DE_TWO = rf"(?<!\p{{L}})(?!{_DE_NO_NAME}\s)\p{{L}}[\p{{L}}-]+(?:er|e|en)\s{_DE_END}"
+_DE_STREET = rf"(?:{_DE_TWO}|(?<!\p{{L}})\p{{L}}[\p{{L}}-]*{_DE_END}|{_DE_AT})\s\d{{1,4}}(?:\s?[a-z])?\b"
 _DE_TOWN = r"(?<!\d)\d{5}\s\p{L}[\p{L}-]+"
 _DE = rf"{_DE_TOWN},\s{_DE_STREET}|{_DE_STREET}(?:,\s{_DE_TOWN})?"
 _FR_KIND = r"(?:rue|avenue|av\.|boulevard|bd|impasse|chemin|place|allée|quai|cours|route|square)"
@@ -271,7 +274,7 @@ def _numbers(text: str) -> Iterator[Candidate]:
         else:
             kind, shape = ID, name[2:]
             strict = shape in ("ssn", "coded", "dashed", "numbered", "insee")
-            votes = (1 if strict else 0, 1 if id_cue else -1 if phone_cue else 0, -1 if unit else 0, -1 if run else 0, 1 if alone or follows else 0, 1 if regex.match(r",\s\p{L}|\)|:\s|\s(?:gefunden|retrouvée)", right) else 0)
+            votes = (1 if strict else 0, 1 if id_cue else -1 if phone_cue else 0, -1 if unit else 0, -1 if run else 0, 1 if alone or follows else 0, 1 if regex.match(r",\s\p{L}|\)|:\s", right) else 0)
         yield Candidate(kind, begin, end, shape, votes)
 
 
@@ -555,19 +558,26 @@ def lexicon_of(documents: DataFrame) -> DataFrame:
     Classes follow from rates, never from sizes: a surname (``S``) stands beside a given name in a tenth of its occurrences
     and is capitalised in two fifths; ``R`` is beside one as often but mostly in lower case; a common word (``c``) is so in less than
     2 of 1,000, or of 100 if mostly in lower case, and beside initials and titles in less than a tenth; ``N`` is another word mostly
-    capitalised. A word is a given name (``G``) if half of its occurrences stand before surnames, of which two are different, or
-    before patronymics; words beside learned names count as beside a given name. Words without a class are left out.
+    capitalised. A word is a given name (``G``) if a tenth of its occurrences stand beside surnames, of which two are different, or before
+    patronymics, at least half of that tenth before them, and if it is capitalised in three fifths; words beside learned names
+    count as beside a given name. Words without a class are left out.
     """
     rows = documents.select("text").mapInArrow(_statistics(), _WORD_ROWS)
     counted = staged(rows.groupBy("word", "mate").agg(*[F.sum(c).alias(c) for c in _COUNTS]), "words")
     words, pairs = counted.where("mate IS NULL").drop("mate"), counted.where("mate IS NOT NULL").select("word", "mate", F.col("total").alias("n"))
-    before = pairs.join(words.where(_surname()).select(F.col("word").alias("mate")), "mate").withColumn("sure", F.lit(False)).select("word", "mate", "n", "sure")
-    before = before.unionByName(pairs.where(F.col("mate") == _BEFORE_PATRONYMIC).withColumn("sure", F.lit(True)))
-    often = before.groupBy("word").agg(F.sum("n").alias("before"), F.count("*").alias("mates"), F.max("sure").alias("sure"))
+    sure = words.where(_surname()).select(F.col("word").alias("sure"))
+    before = pairs.join(sure, F.col("mate") == F.col("sure")).select("word", "mate", "n", F.lit("before").alias("where"))
+    after = pairs.join(sure, F.col("word") == F.col("sure")).select(F.col("mate").alias("word"), F.col("word").alias("mate"), "n", F.lit("after").alias("where"))
+    father = pairs.where(F.col("mate") == _BEFORE_PATRONYMIC).withColumn("where", F.lit("father"))
+    met = before.unionByName(after).unionByName(father).groupBy("word").agg(F.sum("n").alias("met"), F.sum(F.when(F.col("where") != "after", F.col("n"))).alias("led"), F.count_distinct("mate").alias("mates"), F.bool_or(F.col("where") == "father").alias("father"))
     listed = [*_RESULT, *_TITLES, *_FOLLOWS, *_GIVEN]
-    learned = words.join(often, "word").where("before >= 0.5 * total AND capital >= 0.9 * total AND (mates >= 2 OR sure)").where(~_surname() & ~F.col("word").isin(listed)).select("word", F.lit(True).alias("learned"))
+    likely = "met >= 0.1 * total AND led >= 0.05 * total AND capital >= 0.6 * total AND (mates >= 2 OR father)"
+    learned = words.join(met, "word").where(likely).where(~_surname() & ~F.col("word").isin(listed)).select("word", F.lit(True).alias("learned"))
     learned = staged(learned, "given")
-    extra = pairs.join(learned, "word").where(F.col("mate") != _BEFORE_PATRONYMIC).groupBy(F.col("mate").alias("word")).agg(F.sum("n").alias("extra"))
+    beside = pairs.where(F.col("mate") != _BEFORE_PATRONYMIC)
+    right = beside.join(learned, "word").select(F.col("mate").alias("word"), "n")
+    left = beside.join(learned.withColumnRenamed("word", "mate"), "mate").select("word", "n")
+    extra = right.unionByName(left).groupBy("word").agg(F.sum("n").alias("extra"))
     joined = words.join(learned, "word", "left").join(extra, "word", "left").withColumn("by", F.col("near") + F.coalesce("extra", F.lit(0)))
     follows = [w for w in _FOLLOWS if " " not in w]
     kind = (

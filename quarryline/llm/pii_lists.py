@@ -11,12 +11,12 @@ GIVEN = {
 #: Digits in words.
 NUMBER_WORDS = tuple("zero oh one two three four five six seven eight nine null eins zwei drei vier fünf sechs sieben acht neun zéro un deux trois quatre cinq sept huit neuf ноль один два три четыре пять шесть семь восемь девять".split())
 
-PHONE_CUES = ("phone", "telephone", "tel.", "tel", "tél", "tél.", "тел", "тел.", "телефон", "телефон тот же", "номер", "звоните", "number is", "call", "mobile", "anrufen", "bitte", "appelez", "appelez le", "or", "или", "oder", "ou")
-ID_CUES = ("ssn", "id", "id no", "снилс", "паспорт", "инн", "студенческий", "student no", "student no.", "card", "graded", "ausweis", "matr.-nr", "matr.-nr.", "matrikelnummer", "carte", "n° étudiant", "étudiant", "passport", "insurance", "sécu")
-ADDRESS_CUES = ("address", "sent to", "return it to", "sheets to", "lives at", "адресу", "тут", "адрес", "живёт", "adresse", "wohnt", "au", "abzugeben", "permanence", "hours", "an")
-NAME_CUES = ("by", "with", "thank", "scribe", "contact", "contact;", "контакт", "контакт;", "hours", "консультации", "sprechstunde", "permanence", "from", "конспект", "mitschrift", "notes de", "so", "так", "тут", "then", "you", "вы", "and", "и", "und", "et", "an", "mr", "mrs", "--", "user")
+PHONE_CUES = ("phone", "telephone", "tel.", "tel", "tél", "tél.", "тел", "тел.", "телефон", "номер", "звоните", "number is", "call", "mobile", "anrufen", "bitte", "appelez", "appelez le", "or", "или", "oder", "ou")
+ID_CUES = ("ssn", "id", "id no", "снилс", "паспорт", "инн", "студенческий", "student no", "student no.", "card", "ausweis", "matr.-nr", "matr.-nr.", "matrikelnummer", "carte", "n° étudiant", "étudiant", "passport", "insurance", "sécu")
+ADDRESS_CUES = ("address", "sent to", "lives at", "адресу", "тут", "адрес", "живёт", "adresse", "wohnt", "au", "permanence", "an")
+NAME_CUES = ("by", "with", "thank", "scribe", "contact", "contact;", "контакт", "контакт;", "консультации", "sprechstunde", "permanence", "from", "конспект", "mitschrift", "notes de", "so", "так", "тут", "then", "you", "вы", "and", "и", "und", "et", "an", "mr", "mrs", "--", "user")
 TITLES = ("prof", "dr", "mr", "mrs", "ms", "miss", "herr", "frau", "dipl", "m", "mme", "mlle", "проф", "доц", "д-р", "г-н", "г-жа", "акад", "professor", "doctor")
-NAME_FOLLOWS = ("missed", "asked", "asks", "said", "says", "wrote", "fehlt", "fragt", "fragte", "sagte", "demande", "demanda", "a demandé", "manque", "спрашивает", "спросил", "спросила", "студенческий", "in the back row", "с последнего ряда", "for the scan", "and", "и", "und", "et")
+NAME_FOLLOWS = ("missed", "asked", "asks", "said", "says", "wrote", "fehlt", "fragt", "fragte", "sagte", "demande", "demanda", "a demandé", "manque", "спрашивает", "спросил", "спросила", "студенческий", "and", "и", "und", "et")
 
 #: Nouns of mathematical results, spaces and methods: a person's name beside one is part of its name.
 RESULT_NOUNS = (

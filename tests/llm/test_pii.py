@@ -95,7 +95,7 @@ def test_empty_table(documents):
 
 
 #: Addresses whose only sign of one is an abbreviation, a place or a preposition.
-BARE = ["Kelmoorstr. 66b, 00047 Orvathstadt", "12 av. Foch, 00020 Orville", "An der Lohe 5", "Auf dem Berg 12", "Zur Mühle 3a", "город Речной, Садовая, д. 5", "г. Речной, Садовая, д. 5", "000042, Садовая, д. 5", "Садовая, 5-12", "Садовая наб. 7", "12 Orchard Hill Rd", "Gartenweg 7b", "17 bis, rue des Tilleuls"]
+BARE = ["Kelmoorstr. 66b, 00047 Orvathstadt", "Orvather Straße 142", "00024 Neustadt, Alte Gasse 63b", "Lange Str. 5, 00040 Neustadt", "12 av. Foch, 00020 Orville", "An der Lohe 5", "Auf dem Berg 12", "Zur Mühle 3a", "город Речной, Садовая, д. 5", "г. Речной, Садовая, д. 5", "000042, Садовая, д. 5", "Садовая, 5-12", "Садовая наб. 7", "12 Orchard Hill Rd", "Gartenweg 7b", "17 bis, rue des Tilleuls"]
 
 
 @pytest.mark.parametrize("address", BARE)
