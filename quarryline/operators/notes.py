@@ -276,3 +276,18 @@ def surviving(rows: DataFrame, column: str, alive: DataFrame, keys: list[str]) -
 def closed(episodes: DataFrame) -> DataFrame:
     """Episodes with ``open`` as status ``closed``."""
     return episodes.withColumn("status", F.when(F.lower("status") == "open", "closed").otherwise(F.col("status")))
+
+
+def routed(items: DataFrame, placed: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, id, section``: each item (``id, related``) with the sections of the placed rows (``id, section``) it relates to or, where there are none, the last section of its entity."""
+    each = items.select(*keys, "id", F.explode("related").alias("_ref")).distinct()
+    near = null_safe_join(each, placed.select(*keys, F.col("id").alias("_ref"), "section"), [*keys, "_ref"]).select(*keys, "id", "section").distinct()
+    last = placed.groupBy(*keys).agg(F.max("section").alias("section"))
+    rest = null_safe_join(items.select(*keys, "id"), near, [*keys, "id"], "left_anti")
+    return near.unionByName(null_safe_join(rest, last, keys).select(*keys, "id", "section"))
+
+
+def unique_matches(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, id, match``: rows of ``left`` (``id, content``) with the one row of ``right`` that has the same content; contents that several have, null and empty ones match nothing."""
+    one = right.where("content <> ''").groupBy(*keys, "content").agg(F.min("id").alias("match"), F.count_distinct("id").alias("_n")).where("_n = 1")
+    return null_safe_join(left.where("content <> ''"), one.drop("_n"), [*keys, "content"]).select(*keys, "id", "match")

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -342,3 +342,33 @@ def apply_patches(graphs: Graphs, patches: DataFrame) -> tuple[Graphs, DataFrame
     new = of("violation").select(*keys, "id", F.from_json("body", "category string, severity int, message string").alias("x")).select(*keys, "id", "x.*")
     violations = null_safe_join(graphs.violations, of("violation", "resolved").select(*keys, "id"), [*keys, "id"], "left_anti").unionByName(new)
     return Graphs(keys, nodes, edges, graphs.evidence, dispositions, violations), outcome
+
+
+def expand(graphs: Graphs, common: DataFrame, branches: DataFrame) -> tuple[Graphs, DataFrame]:
+    """Each graph under the common operations and then under those of each of its branches: graphs told apart by ``keys, branch``, and the outcome per branch.
+
+    ``common`` is as for ``apply_patches``, ``branches`` has a ``branch`` (STRING) besides. Branches of a graph are few: each is a copy of it. A
+    branch that is refused has its graph as it was before the common operations. Graphs without branches are left out.
+    """
+    keys = [*graphs.keys, "branch"]
+    names = staged(branches.select(*keys).distinct(), "branches")
+
+    def spread(df: DataFrame) -> DataFrame:
+        copies = null_safe_join(df.withColumn("_one", F.lit(1)), names, graphs.keys)
+        return copies.select(*keys, *[c for c in df.columns if c not in graphs.keys])
+
+    first = spread(common.select(*graphs.keys, F.col("seq").cast("int").alias("seq"), "operation"))
+    after = null_safe_join(branches.select(*keys, F.col("seq").cast("int").alias("seq"), "operation"), first.groupBy(*keys).agg(F.max("seq").alias("_last")), keys, "left")
+    steps = first.unionByName(after.select(*keys, (F.col("seq") + F.coalesce("_last", F.lit(-1)) + 1).alias("seq"), "operation"))
+    return apply_patches(Graphs(keys, *map(spread, (graphs.nodes, graphs.edges, graphs.evidence, graphs.dispositions, graphs.violations))), steps)
+
+
+def frontier(graphs: Graphs, keys: list[str], width: int) -> DataFrame:
+    """``keys, branch, violations, active, rank``: the ``width`` best different graphs of each entity: little severity of violations, then many active nodes, then by signature."""
+    by = [*keys, "branch"]
+    weight = graphs.violations.groupBy(*by).agg(F.sum("severity").alias("violations"))
+    active = graphs.nodes.groupBy(*by).agg(F.count_if(F.col("status") == "active").alias("active"))
+    rows = null_safe_join(null_safe_join(graphs.signatures(), active, by, "left"), weight, by, "left").withColumn("violations", F.coalesce("violations", F.lit(0)))
+    once = rows.groupBy(*keys, "signature").agg(F.min_by(F.struct("branch", "violations", "active"), "branch").alias("x")).select(*keys, "signature", "x.*")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("violations", F.desc("active"), "signature"))
+    return once.withColumn("rank", place).where(F.col("rank") <= width).select(*keys, "branch", "violations", "active", "rank")

@@ -233,13 +233,30 @@ def section_payloads(spark: SparkSession, directory: str) -> DataFrame:
     return rows.join(inside, ["lecture_id", "section"], "left").select("lecture_id", "section", "nodes", F.coalesce("relations", F.lit(0)).alias("relations"))
 
 
-QUERIES = {f.__name__: f for f in (window_symbols, record_symbols, evidence_catalog, boundary_records, timeless_words, references_within, local_requests, concatenated_windows, outline_coverage, section_headers, window_anchors, sampled_offsets, new_records, request_times, renamed_titles, reading_candidates, corrected_records, patch_verdicts, node_support, unsafe_records, board_replacements, speculative_blocks, node_plan_faults, grouped_records, chunk_faults, surviving_evidence, closed_episodes, equation_types, section_payloads)}
+def routed_alternatives(spark: SparkSession, directory: str) -> DataFrame:
+    """Alternatives and suppressed nodes with the six minutes of what they derive from, or the last of the lecture."""
+    n = base.nodes(spark, directory)
+    placed = node_times(spark, directory).where("start_ms IS NOT NULL").select("lecture_id", F.col("node_id").alias("id"), F.floor(F.col("start_ms") / 360_000).alias("section"))
+    aside = n.where("status <> 'active'").select("lecture_id", "id", F.coalesce("derived_from", F.array().cast("array<string>")).alias("related"))
+    return notes.routed(aside, placed, ["lecture_id"])
+
+
+def promoted_formulas(spark: SparkSession, directory: str) -> DataFrame:
+    """Nodes whose formula is just that of one observation of the lecture."""
+    n = base.nodes(spark, directory).select("lecture_id", "id", T.squeezed(F.col("latex")).alias("content"))
+    o = base.observations(spark, directory).select("lecture_id", "id", T.squeezed(F.col("latex")).alias("content"))
+    return notes.unique_matches(n, o, ["lecture_id"]).select("lecture_id", "id", F.col("match").alias("observation_id"))
+
+
+QUERIES = {f.__name__: f for f in (routed_alternatives, promoted_formulas, window_symbols, record_symbols, evidence_catalog, boundary_records, timeless_words, references_within, local_requests, concatenated_windows, outline_coverage, section_headers, window_anchors, sampled_offsets, new_records, request_times, renamed_titles, reading_candidates, corrected_records, patch_verdicts, node_support, unsafe_records, board_replacements, speculative_blocks, node_plan_faults, grouped_records, chunk_faults, surviving_evidence, closed_episodes, equation_types, section_payloads)}
 
 _O = f"o AS ({OBS}), r AS (SELECT lecture_id, id, arg_min(evidence_refs, ingested_at) AS refs FROM observations GROUP BY 1, 2)"
 _N = "n AS (SELECT lecture_id, id, min(kind) AS kind, min(status) AS status, min(title) AS title, min(latex) AS latex, min(semantic_text) AS semantic_text, arg_min(evidence_ids, ingested_at) AS ev, arg_min(derived_from, ingested_at) AS der FROM graph_nodes GROUP BY 1, 2)"
 _SQUEEZE = r"lower(regexp_replace(coalesce({0}, ''), '\s+', '', 'g'))"
 _ONCE = "list_filter({0}, lambda v, i: list_position({0}, v) = i)"
 SQL = {
+    "routed_alternatives": f"WITH {_N}, t AS (SELECT lecture_id, node_id AS id, CAST(floor(min({ms('start_sec')}) / 360000) AS BIGINT) AS section FROM (SELECT DISTINCT lecture_id, id AS node_id, unnest(evidence_ids) AS id FROM graph_nodes) x JOIN (SELECT DISTINCT lecture_id, id, start_sec FROM observations WHERE start_sec IS NOT NULL) o USING (lecture_id, id) GROUP BY 1, 2), a AS (SELECT lecture_id, id, der FROM n WHERE status <> 'active'), r AS (SELECT DISTINCT e.lecture_id, e.id, section FROM (SELECT lecture_id, id, unnest(der) AS d FROM a) e JOIN t ON t.lecture_id = e.lecture_id AND t.id = e.d) SELECT * FROM r UNION ALL SELECT a.lecture_id, a.id, l.section FROM a JOIN (SELECT lecture_id, max(section) AS section FROM t GROUP BY 1) l USING (lecture_id) ANTI JOIN r ON r.lecture_id = a.lecture_id AND r.id = a.id",
+    "promoted_formulas": f"WITH {_O}, {_N}, k AS (SELECT lecture_id, {_SQUEEZE.format('latex')} AS c, min(id) AS id, count(DISTINCT id) AS k FROM o GROUP BY 1, 2) SELECT n.lecture_id, n.id, k.id AS observation_id FROM n JOIN k ON k.lecture_id = n.lecture_id AND k.c = {_SQUEEZE.format('n.latex')} WHERE k = 1 AND c <> ''",
     "window_symbols": f"WITH {_O}, c AS ({CHUNK}), k AS (SELECT lecture_id, window_id, id, {ms('start_sec')} AS t FROM o WHERE kind = 'notation'), p AS (SELECT c.lecture_id, c.id AS window_id, k.id, row_number() OVER (PARTITION BY c.lecture_id, c.id ORDER BY k.t DESC, k.id DESC) AS n FROM c JOIN k ON k.lecture_id = c.lecture_id AND k.t <= {ms('c.start_sec')} AND k.window_id IS DISTINCT FROM c.id) SELECT lecture_id, window_id, id FROM p WHERE n <= 4",
     "record_symbols": f"WITH {_O}, s AS (SELECT lecture_id, window_id, id AS place, {_SQUEEZE.format('latex')} AS symbol FROM o WHERE kind = 'equation' AND latex IS NOT NULL), p AS (SELECT lecture_id, window_id, id, {_SQUEEZE.format('concat_ws(chr(32), text, latex)')} AS probe FROM o WHERE kind = 'claim'), j AS (SELECT p.lecture_id, p.window_id, p.id, symbol, place, symbol <> '' AND contains(probe, symbol) AS hit FROM p JOIN s ON s.lecture_id = p.lecture_id AND s.window_id = p.window_id), a AS (SELECT *, bool_or(hit) OVER (PARTITION BY lecture_id, window_id, id) AS has FROM j), q AS (SELECT *, row_number() OVER (PARTITION BY lecture_id, window_id, id ORDER BY place DESC, symbol DESC) AS n FROM a WHERE hit OR NOT has) SELECT lecture_id, window_id, id, symbol FROM q WHERE n <= CASE WHEN has THEN 2 ELSE 1 END",
     "evidence_catalog": f"WITH {_O}, a AS (SELECT DISTINCT o.lecture_id, window_id, trim(unnest(refs)) AS ref FROM o JOIN r USING (lecture_id, id)), b AS (SELECT DISTINCT lecture_id, id AS window_id, trim(unnest(segment_ids)) AS ref FROM ({CHUNK})) SELECT *, true AS direct, 'observation' AS origin FROM a WHERE ref <> '' UNION ALL SELECT *, false, 'window' FROM b ANTI JOIN a USING (lecture_id, window_id, ref) WHERE ref <> ''",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.orphans import clean_key
-from ..operators.patches import Graphs, apply_patches
+from ..operators.patches import Graphs, apply_patches, expand, frontier
 from ..plans.scan import united
 from ..plans.staging import staged
 from . import base
@@ -163,7 +163,26 @@ def graph_signatures(spark: SparkSession, directory: str) -> DataFrame:
     return _graphs(spark, directory).signatures()
 
 
-QUERIES = {f.__name__: f for f in (patched_additions, patched_kinds, patched_fields, patched_aliases, patched_relations, patched_evidence, patched_dispositions, patched_suppressions, patched_alternatives, patched_violations, patched_merges, patched_merge_edges, patched_outcomes, patched_splits, graph_signatures)}
+def expanded_branches(spark: SparkSession, directory: str) -> DataFrame:
+    """Claims given an alias, then two branches: remarks merged, which may be refused, or events made remarks."""
+    g = _graphs(spark, directory)
+    branches = _merges(g, True).withColumn("branch", F.lit("merge")).unionByName(_steps(_of(g, "event"), "retype_node", node_id=F.col("id"), kind=F.lit("remark")).withColumn("branch", F.lit("retype")))
+    after, outcome = expand(g, _steps(_of(g, "claim"), "add_alias", node_id=F.col("id"), alias=F.lit("~")), branches)
+    counted = after.nodes.groupBy("lecture_id", "branch").agg(F.count("*").alias("nodes"), F.count_if(F.array_contains("aliases", "~")).alias("named"))
+    return outcome.join(counted, ["lecture_id", "branch"]).select("lecture_id", "branch", "applied", "nodes", "named")
+
+
+def kept_branches(spark: SparkSession, directory: str) -> DataFrame:
+    """The better of two branches, which resolve one violation or all."""
+    g = _graphs(spark, directory)
+    soft = _of(g, "provisional_unresolved")
+    every = _steps(soft, "resolve_violation", violation_id=F.concat(F.lit("v:"), "id")).withColumn("branch", F.lit("all"))
+    one = _steps(soft.groupBy("lecture_id").agg(F.min("id").alias("id")), "add_alias", node_id=F.col("id"), alias=F.lit("~")).withColumn("branch", F.lit("none"))
+    after, _ = expand(g, _steps(soft.limit(0), "add_alias", node_id=F.col("id"), alias=F.lit("~")), every.unionByName(one))
+    return frontier(after, _L, 1).select("lecture_id", "branch", "violations")
+
+
+QUERIES = {f.__name__: f for f in (expanded_branches, kept_branches, patched_additions, patched_kinds, patched_fields, patched_aliases, patched_relations, patched_evidence, patched_dispositions, patched_suppressions, patched_alternatives, patched_violations, patched_merges, patched_merge_edges, patched_outcomes, patched_splits, graph_signatures)}
 
 _TIDY = "coalesce(list_filter(list_transform({0}, lambda x: trim(x)), lambda x: x <> ''), [])"
 _N = f"""n AS (SELECT lecture_id, id, min(kind) AS kind, min(title) AS title, min(semantic_text) AS semantic_text, min(latex) AS latex, min(status) AS status, {_TIDY.format('arg_min(evidence_ids, ingested_at)')} AS ev, {_TIDY.format('arg_min(derived_from, ingested_at)')} AS der, {_TIDY.format('arg_min(aliases, ingested_at)')} AS al FROM graph_nodes GROUP BY 1, 2),
@@ -187,6 +206,8 @@ SELECT a.lecture_id, a.id, CASE WHEN g.id IS NOT NULL AND p.lecture_id IS NOT NU
     "patched_violations": f"WITH {_N} SELECT lecture_id, 'v:' || id AS id, 'evidence' AS category, 1 AS severity, 'unresolved' AS message FROM n WHERE kind = 'provisional_unresolved' AND status <> 'active' UNION ALL SELECT lecture_id, 'w:' || id, 'math', 2, 'corrected' FROM n WHERE kind = 'provisional_correction'",
     "patched_merges": f"WITH {_N}, {_M}, u AS (SELECT n.lecture_id, coalesce(into_id, n.id) AS id, unnest(ev) AS x FROM n LEFT JOIN r ON r.lecture_id = n.lecture_id AND r.id = n.id), l AS (SELECT lecture_id, id, string_agg(DISTINCT x, ' ' ORDER BY x) AS evidence_ids FROM u GROUP BY 1, 2) SELECT n.lecture_id, n.id, kind, CASE WHEN n.id = c.into_id AND EXISTS (SELECT 1 FROM r WHERE r.lecture_id = n.lecture_id) THEN coalesce(l.evidence_ids, '') ELSE {_LINE.format('ev')} END AS evidence_ids FROM n LEFT JOIN l ON l.lecture_id = n.lecture_id AND l.id = n.id LEFT JOIN c ON c.lecture_id = n.lecture_id ANTI JOIN r ON r.lecture_id = n.lecture_id AND r.id = n.id",
     "patched_merge_edges": f"WITH {_N}, {_M}, m AS (SELECT e.lecture_id, coalesce(a.into_id, source) AS source, coalesce(b.into_id, target) AS target, relation FROM e LEFT JOIN r a ON a.lecture_id = e.lecture_id AND a.id = source LEFT JOIN r b ON b.lecture_id = e.lecture_id AND b.id = target) SELECT DISTINCT * FROM m WHERE source <> target OR NOT EXISTS (SELECT 1 FROM r WHERE r.lecture_id = m.lecture_id)",
+    "expanded_branches": f"WITH {_N}, r AS (SELECT n.lecture_id, id, into_id FROM n JOIN c USING (lecture_id) WHERE kind = 'provisional_remark'), d AS (SELECT lecture_id, id AS who, unnest(der) AS needs FROM n), b AS (SELECT DISTINCT d.lecture_id FROM d JOIN r ON r.lecture_id = d.lecture_id AND r.id = d.needs WHERE d.who <> into_id AND NOT EXISTS (SELECT 1 FROM r q WHERE q.lecture_id = d.lecture_id AND q.id = d.who)), k AS (SELECT lecture_id, count(*) AS k FROM r GROUP BY 1), t AS (SELECT lecture_id, count(*) AS t FROM n GROUP BY 1) SELECT k.lecture_id, 'merge' AS branch, b.lecture_id IS NULL AS applied, CASE WHEN b.lecture_id IS NULL THEN t - k ELSE t END AS nodes, CASE WHEN b.lecture_id IS NULL THEN coalesce(q, 0) ELSE 0 END AS named FROM k JOIN t USING (lecture_id) LEFT JOIN b ON b.lecture_id = k.lecture_id LEFT JOIN (SELECT lecture_id, count(*) AS q FROM n WHERE kind = 'claim' GROUP BY 1) u ON u.lecture_id = k.lecture_id UNION ALL SELECT t.lecture_id, 'retype', true, t, (SELECT count(*) FROM n WHERE n.lecture_id = t.lecture_id AND kind = 'claim') FROM t WHERE EXISTS (SELECT 1 FROM n WHERE n.lecture_id = t.lecture_id AND kind = 'event')",
+    "kept_branches": f"WITH {_N} SELECT DISTINCT lecture_id, 'all' AS branch, 0 AS violations FROM n WHERE kind = 'provisional_unresolved'",
     "patched_outcomes": f"WITH {_N}, r AS (SELECT n.lecture_id, id, into_id FROM n JOIN c USING (lecture_id) WHERE kind = 'provisional_remark'), d AS (SELECT lecture_id, id AS who, unnest(der) AS needs FROM n), b AS (SELECT DISTINCT d.lecture_id FROM d JOIN r ON r.lecture_id = d.lecture_id AND r.id = d.needs WHERE d.who <> into_id AND NOT EXISTS (SELECT 1 FROM r q WHERE q.lecture_id = d.lecture_id AND q.id = d.who)), k AS (SELECT lecture_id, count(*) AS k FROM r GROUP BY 1), t AS (SELECT lecture_id, count(*) AS t FROM n GROUP BY 1) SELECT k.lecture_id, b.lecture_id IS NULL AS applied, CASE WHEN b.lecture_id IS NULL THEN t - k ELSE t END AS nodes FROM k JOIN t USING (lecture_id) LEFT JOIN b ON b.lecture_id = k.lecture_id",
     "patched_splits": f"WITH {_N}, s AS (SELECT lecture_id, id, ev FROM n ANTI JOIN need ON need.lecture_id = n.lecture_id AND need.id = n.id WHERE kind = 'event'), f AS (SELECT * FROM e ANTI JOIN s a ON a.lecture_id = e.lecture_id AND a.id = e.source ANTI JOIN s b ON b.lecture_id = e.lecture_id AND b.id = e.target), z AS (SELECT lecture_id, id, count(*) AS k FROM (SELECT lecture_id, source AS id FROM f UNION ALL SELECT lecture_id, target FROM f WHERE source <> target) GROUP BY 1, 2) SELECT n.lecture_id, n.id, kind, {_LINE.format('ev')} AS evidence_ids, coalesce(k, 0) AS edges FROM n ANTI JOIN s ON s.lecture_id = n.lecture_id AND s.id = n.id LEFT JOIN z ON z.lecture_id = n.lecture_id AND z.id = n.id UNION ALL SELECT lecture_id, id || '.1', 'event', {_LINE.format('ev')}, 0 FROM s UNION ALL SELECT lecture_id, id || '.2', 'remark', '', 0 FROM s",
     "graph_signatures": f"""WITH {_N}, t AS (SELECT lecture_id, concat_ws(chr(31), id, coalesce(kind, chr(0)), coalesce(title, chr(0)), coalesce(semantic_text, chr(0)), coalesce(latex, chr(0)), array_to_string(ev, chr(30)), array_to_string(der, chr(30)), array_to_string(al, chr(30)), coalesce(status, chr(0)), chr(0)) AS t FROM n UNION ALL SELECT lecture_id, concat_ws(chr(31), source, target, coalesce(relation, chr(0)), '') FROM e)
