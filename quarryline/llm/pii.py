@@ -99,7 +99,7 @@ _RU_BARE = regex.compile(r"\d{6},|,\s{1,2}\d+-\d")
 _POSTAL = regex.compile(r"(?<!\d)\d{5,6}(?!\d)|\b(?:apt|flat|appt|кв\.|корп\.|г\.)\s?\d*", _i)
 
 # ---------------------------------------------------------------- names
-_TOKEN = regex.compile(r"\p{L}\p{M}*(?:\p{L}|\p{M})*(?:[-'’]\p{L}+)*")
+_TOKEN = regex.compile(r"\p{L}[\p{L}\p{M}]*(?:[-'’]\p{L}+)*")
 _PATRONYMIC = regex.compile(r"\p{Cyrillic}{2,}(?:ович|евич|ич|овна|евна|ична|инична)", _i)
 _TEXMATH = regex.compile(r"(?<!(?<!\\)\\)(?:\$\$(?P<math>(?:[^$\\]|\\.)*+)\$\$|\$(?![\s$])(?P<math>(?:[^$\\]|\\.)*+)(?<!\s)\$)|\\\[(?P<math>(?:[^\\]|\\[^\[\]])*+)\\\]|\\(?:ref|cite|label|eqref|begin|end)\{[^}]*\}|\\\p{L}+", regex.DOTALL)
 #: What no formula holds: an empty line, or two words in a row that are no commands.
@@ -469,7 +469,7 @@ def fit(patterns: dict[str, int]) -> dict[str, float]:
 
 # ---------------------------------------------------------------- over tables
 _BEFORE_PATRONYMIC = "\x01"
-_TRIGGER, _PAIR, _WORTH = regex.compile("[GPIT]"), regex.compile("u[uP]"), regex.compile("[GPT]|u[uP]|I")
+_TRIGGER, _PAIR, _WORTH, _INITIAL = regex.compile("[GPIT]"), regex.compile("u[uP]"), regex.compile("[GPT]|u[uP]"), regex.compile(r"(?<!\p{L})\p{Lu}\.")
 _WORD_ROWS = "word string, mate string, " + ", ".join(f"{c} bigint" for c in _COUNTS)
 
 
@@ -513,11 +513,11 @@ def _statistics(flush: int = 400_000):
                 if not text:
                     continue
                 emails = [m.span() for m in _EMAIL.finditer(text)] if "@" in text else []
-                text = _blank(text, emails + list(_tex(text)))
+                text = _blank(text, emails + (list(_tex(text)) if "$" in text or "\\" in text else []))
                 words = _TOKEN.findall(text)
                 seen.update(words)
                 marks = "".join([triggers[w] for w in words])
-                if not _WORTH.search(marks):
+                if not _WORTH.search(marks) and not ("I" in marks and _INITIAL.search(text)):
                     continue
                 spans = [m.span() for m in _TOKEN.finditer(text)]
                 for m in _TRIGGER.finditer(marks):
