@@ -46,3 +46,13 @@ def echoes(text: str, hotwords: list[str], least: float = 0.88) -> bool:
         return False
     bare = lambda s: re.sub(r"\W+", "", s).lower()
     return SequenceMatcher(None, bare(text), bare(" ".join(hotwords)), autojunk=False).ratio() >= least
+
+
+def echo_of(hotwords: list[str]):
+    """``echoes`` of a list of hotwords, as a function of a text column; null gives null."""
+
+    @F.pandas_udf(T.BooleanType())
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: echoes(t, hotwords), na_action="ignore").astype("boolean")
+
+    return run

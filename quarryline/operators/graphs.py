@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..plans.fixpoint import NotConverged, components, reach
 from ..plans.grouped import fold_groups
 from ..plans.scan import null_safe_join, united
-from ..plans.staging import staged
+from ..plans.staging import release, staged
 
 #: Relations whose source depends on their target, those that say so only of sources of some kinds, and those that say the reverse.
 FORWARD = ("supported_by", "follows_from", "derived_from", "based_on", "about", "refines", "specialization_of")
@@ -117,7 +117,10 @@ def earliest_times(own: DataFrame, depends: DataFrame, keys: list[str], max_roun
         offers = staged(offers, "times")
         if offers.isEmpty():
             return timed
+        before = timed
         timed = staged(timed.join(offers, [*keys, "node"], "left").select(*keys, "node", F.coalesce("t", "offer").alias("t")), "times")
+        release(before)
+        release(offers)
     raise NotConverged(f"earliest_times: {max_rounds} rounds")
 
 

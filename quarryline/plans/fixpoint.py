@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import staged
+from .staging import release, staged
 
 
 class NotConverged(RuntimeError):
@@ -40,16 +40,16 @@ def components(nodes: DataFrame, edges: DataFrame, keys: list[str], max_rounds:
     cols = [*keys, "node"]
     both = edges.select(*keys, F.col("src").alias("a"), F.col("dst").alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
     both = staged(both.unionByName(both.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = staged(nodes.select(*cols).where("node IS NOT NULL").distinct().withColumn("component", F.col("node")), "labels")
+    held = labels = staged(nodes.select(*cols).where("node IS NOT NULL").distinct().withColumn("component", F.col("node")), "labels")
     for _ in range(max_rounds):
         sent = labels.withColumnRenamed("node", "a").join(both, [*keys, "a"]).groupBy(*keys, F.col("b").alias("node")).agg(F.min("component").alias("offer"))
         lower = labels.join(sent, cols, "left").select(*cols, F.col("component").alias("old"), F.least("component", F.coalesce("offer", "component")).alias("component"))
         jump = labels.select(*keys, F.col("node").alias("component"), F.col("component").alias("further"))
         after = lower.join(jump, [*keys, "component"], "left").select(*cols, "old", F.least("component", F.coalesce("further", "component")).alias("component"))
         after = staged(after, "labels")
-        done = after.where("component <> old").isEmpty()
-        labels = after.drop("old")
-        if done:
+        release(held)
+        held, labels = after, after.drop("old")
+        if after.where("component <> old").isEmpty():
             return labels
     raise NotConverged(f"components: {max_rounds} rounds")
 
@@ -61,13 +61,15 @@ def resolve_aliases(aliases: DataFrame, keys: list[str], max_rounds: int = 40) -
     """
     links = aliases.where("alias IS NOT NULL AND target IS NOT NULL AND alias <> target").groupBy(*keys, "alias").agg(F.min("target").alias("target"))
     links = staged(links, "aliases")
-    hops = links.withColumn("low", F.least("alias", "target"))
+    hops, held = links.withColumn("low", F.least("alias", "target")), None
     for _ in range(max_rounds):
         further = hops.select(*keys, F.col("alias").alias("target"), F.col("target").alias("next"), F.col("low").alias("next_low"))
         moved = hops.join(further, [*keys, "target"], "left").select(*keys, "alias", F.coalesce("next", "target").alias("next"), F.least("low", "next_low").alias("low"), F.col("target").alias("was"))
         moved = staged(moved.select(*keys, "alias", F.col("next").alias("target"), "low", "was"), "aliases")
+        if held is not None:
+            release(held)
         ended = moved.where("target <> was").isEmpty()
-        hops = moved.drop("was")
+        hops, held = moved.drop("was"), moved
         if ended:  # all targets stand still, some of them perhaps on a circle that a power of two goes round
             break
         if hops.join(links.select(*keys, F.col("alias").alias("target")), [*keys, "target"], "left_semi").isEmpty():

@@ -9,7 +9,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-
+import weakref
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _written: list[tuple[SparkSession, str]] = []
+_path_of: dict[int, tuple] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,7 +38,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    _path_of[id(read)] = (weakref.ref(read), path)
+    return read
+
+
+def release(df: DataFrame) -> None:
+    """Delete the table behind a frame that ``staged`` gave and nothing reads any more; other frames are let be."""
+    of, path = _path_of.pop(id(df), (lambda: None, ""))
+    if of() is df and path:
+        _delete(df.sparkSession, path)
+        _written.remove((df.sparkSession, path))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 class Buckets:
@@ -76,8 +92,6 @@ class Buckets:
 def _drop() -> None:
     for spark, path in _written:
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001 - the session may be gone, and its folder with it
             return
